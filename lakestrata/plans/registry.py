@@ -311,7 +311,7 @@ _C2B = star.scd2_state_ctes("gold_c2b", "gold_c1", "sil_c2b", ["customer_id"], "
 
 @register("scd2_merge", with_ctes("SELECT * FROM gold_c2b", _C2B))
 def q_scd2_merge(spark, d):
-    t1 = star.gold_customers(spark, d, 1)
+    t1 = star.Gold(spark, d).customers(1)
     src = merge.scd2_prepare(t1, fx.silver_customers(spark, d, "2b"), ["customer_id"], "customer_id_sk")
     return portable(merge.scd2_merge(t1, src, ["customer_id_sk"], fx.B2_ASOF))
 
@@ -368,7 +368,7 @@ def q_scd1_gold(spark, d):
 
 @register("scd1_merge", with_ctes("SELECT * FROM gold_s2"))
 def q_scd1_merge(spark, d):
-    s1 = star.gold_suppliers(spark, d, 1)
+    s1 = star.Gold(spark, d).suppliers(1)
     src = merge.scd1_prepare(s1, fx.silver_suppliers(spark, d, "2"), ["supplier_id"], "supplier_id_sk", fx.B2_ASOF)
     return portable(merge.scd1_merge(s1, src, ["supplier_id_sk"]))
 
@@ -401,17 +401,17 @@ def _fact_sql(mode: str) -> str:
 
 @register("fact_key_lookup", _fact_sql("all"))
 def q_fact_key_lookup(spark, d):
-    return star.gold_orders(spark, d, "all").select(*_FACT_OUT)
+    return star.Gold.shared(spark, d).orders("all").select(*_FACT_OUT)
 
 
 @register("fact_key_lookup_current", _fact_sql("current"))
 def q_fact_key_lookup_current(spark, d):
-    return star.gold_orders(spark, d, "current").select(*_FACT_OUT)
+    return star.Gold.shared(spark, d).orders("current").select(*_FACT_OUT)
 
 
 @register("fact_key_lookup_asof", _fact_sql("as_of"))
 def q_fact_key_lookup_asof(spark, d):
-    return star.gold_orders(spark, d, "as_of").select(*_FACT_OUT)
+    return star.Gold.shared(spark, d).orders("as_of").select(*_FACT_OUT)
 
 
 # Field-level reference metadata with comma lists: one type-2 key, one composite type-1 key.
@@ -432,7 +432,8 @@ REF_FIELDS = [
     AND o.order_date >= c.effective_start_date AND o.order_date < c.effective_end_date
   LEFT JOIN gold_p p ON o.product_id = p.product_id AND CAST(o.supplier_id AS VARCHAR) = p.supplier_id"""))
 def q_multi_ref_lookup(spark, d):
-    dims = {"dim_customers": star.gold_customers(spark, d), "dim_products": star.gold_products(spark, d)}
+    g = star.Gold.shared(spark, d)
+    dims = {"dim_customers": g.customers(), "dim_products": g.products()}
     lookups = lookups_from_specs(reference_specs(REF_FIELDS), dims, as_of=True)
     out = resolve_lookups(fx.silver_orders(spark, d), lookups, as_of_col="order_date")
     return out.select("order_id", "customer_id", "product_id", "supplier_id", "order_date", "customer_id_sk",
@@ -467,7 +468,7 @@ _FACT_TAG_SQL = "CASE WHEN order_date < DATE '1998-07-01' THEN 'DH_ORDERS_A' ELS
 def q_fact_append(spark, d):
     from lakestrata.plans.jobs import append_fact
 
-    fact = star.gold_orders(spark, d, "current").withColumn(
+    fact = star.Gold.shared(spark, d).orders("current").withColumn(
         C.EXTRACT_TAG, F.when(F.col("order_date") < F.lit(fx.B2_ASOF), "DH_ORDERS_A").otherwise("DH_ORDERS_B"))
     fact = fact.select("order_id", "customer_id_sk", "product_id_sk", "quantity", "total_price", "order_date",
                        C.CREATE_DATE, C.UPDATE_DATE, C.EXTRACT_TAG)
@@ -482,8 +483,8 @@ def q_fact_append(spark, d):
 
 # ====================================================================== gold views
 def _views_inputs(spark, d):
-    return (star.gold_orders(spark, d, "current"), star.gold_customers(spark, d), star.gold_products(spark, d),
-            star.gold_suppliers(spark, d))
+    g = star.Gold.shared(spark, d)
+    return g.orders("current"), g.customers(), g.products(), g.suppliers()
 
 
 @register("loyalty_segments", with_ctes("""SELECT c.customer_id, c.name AS customer_name,

@@ -23,34 +23,90 @@ def _d(date) -> str:
 
 
 # ------------------------------------------------------------------------------------ Spark side
+def materialize(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write a state to the shared scratch folder and read it back: the lineage is cut (a lost executor
+    recomputes from the stored files, not from raw data), and the reader gets file statistics for
+    broadcast decisions and pushed-down filters."""
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+class Gold:
+    """The gold layer for one run: every state is computed once, stored, and read back by later steps
+    (as the gold jobs do with their tables)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, store: bool = True):
+        from lakestrata.session import scratch_dir
+
+        self.spark, self.sf_dir, self.store = spark, sf_dir, store
+        self.root = scratch_dir(spark, "gold") if store else None
+        self._cache: dict = {}
+
+    _shared: dict = {}
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Gold":
+        """The gold layer of a data folder, built once per application and then served to every view
+        (views read the stored gold tables, as in the lakehouse)."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in cls._shared:
+            cls._shared[key] = cls(spark, sf_dir)
+        return cls._shared[key]
+
+    def _keep(self, name: str, build) -> DataFrame:
+        if name not in self._cache:
+            df = build()
+            self._cache[name] = materialize(self.spark, df, f"{self.root}/{name}") if self.store else df
+        return self._cache[name]
+
+    def customers(self, upto: int = 2, second: str = "2") -> DataFrame:
+        sp, d = self.spark, self.sf_dir
+        t1 = self._keep("dim_customers_v1", lambda: scd2_first_load(
+            fx.silver_customers(sp, d, "1"), ["customer_id"], "customer_id_sk", fx.B1_ASOF))
+        if upto == 1:
+            return t1
+        return self._keep(f"dim_customers_v2_{second}", lambda: scd2_state(
+            t1, fx.silver_customers(sp, d, second), ["customer_id"], "customer_id_sk", fx.B2_ASOF))
+
+    def suppliers(self, upto: int = 2) -> DataFrame:
+        sp, d = self.spark, self.sf_dir
+        s1 = self._keep("dim_suppliers_v1", lambda: scd1_state(
+            None, fx.silver_suppliers(sp, d, "1"), ["supplier_id"], "supplier_id_sk", fx.B1_ASOF))
+        if upto == 1:
+            return s1
+        return self._keep("dim_suppliers_v2", lambda: scd1_state(
+            s1, fx.silver_suppliers(sp, d, "2"), ["supplier_id"], "supplier_id_sk", fx.B2_ASOF))
+
+    def products(self) -> DataFrame:
+        def build():
+            prod = resolve_lookups(fx.silver_products(self.spark, self.sf_dir),
+                                   [Lookup(self.suppliers(), "supplier_id_sk", ("supplier_id",))], versions="all")
+            return scd2_first_load(prod, ["product_id"], "product_id_sk", fx.B1_ASOF)
+        return self._keep("dim_products_v1", build)
+
+    def orders(self, versions: str = "current") -> DataFrame:
+        lookups = [Lookup(self.customers(), "customer_id_sk", ("customer_id",)),
+                   Lookup(self.products(), "product_id_sk", ("product_id",))]
+        fact = resolve_lookups(fx.silver_orders(self.spark, self.sf_dir), lookups, versions=versions,
+                               as_of_col="order_date")
+        d = F.lit(fx.FACT_ASOF)
+        return fact.withColumn(C.CREATE_DATE, d).withColumn(C.UPDATE_DATE, d)
+
+
 def gold_customers(spark: SparkSession, sf_dir: str, upto: int = 2, second: str = "2") -> DataFrame:
-    t1 = scd2_first_load(fx.silver_customers(spark, sf_dir, "1"), ["customer_id"], "customer_id_sk", fx.B1_ASOF)
-    if upto == 1:
-        return t1
-    return scd2_state(t1, fx.silver_customers(spark, sf_dir, second), ["customer_id"], "customer_id_sk",
-                      fx.B2_ASOF)
+    return Gold(spark, sf_dir).customers(upto, second)
 
 
 def gold_suppliers(spark: SparkSession, sf_dir: str, upto: int = 2) -> DataFrame:
-    s1 = scd1_state(None, fx.silver_suppliers(spark, sf_dir, "1"), ["supplier_id"], "supplier_id_sk", fx.B1_ASOF)
-    if upto == 1:
-        return s1
-    return scd1_state(s1, fx.silver_suppliers(spark, sf_dir, "2"), ["supplier_id"], "supplier_id_sk", fx.B2_ASOF)
+    return Gold(spark, sf_dir).suppliers(upto)
 
 
 def gold_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prod = resolve_lookups(fx.silver_products(spark, sf_dir),
-                           [Lookup(gold_suppliers(spark, sf_dir), "supplier_id_sk", ("supplier_id",))],
-                           versions="all")
-    return scd2_first_load(prod, ["product_id"], "product_id_sk", fx.B1_ASOF)
+    return Gold(spark, sf_dir).products()
 
 
 def gold_orders(spark: SparkSession, sf_dir: str, versions: str = "current") -> DataFrame:
-    lookups = [Lookup(gold_customers(spark, sf_dir), "customer_id_sk", ("customer_id",)),
-               Lookup(gold_products(spark, sf_dir), "product_id_sk", ("product_id",))]
-    fact = resolve_lookups(fx.silver_orders(spark, sf_dir), lookups, versions=versions, as_of_col="order_date")
-    d = F.lit(fx.FACT_ASOF)
-    return fact.withColumn(C.CREATE_DATE, d).withColumn(C.UPDATE_DATE, d)
+    return Gold(spark, sf_dir).orders(versions)
 
 
 def portable(df: DataFrame) -> DataFrame:
