@@ -220,3 +220,20 @@ GOLD_SUPPLIERS = Contract(
 GOLD_PRODUCTS_DEPS = (Dependency("gold.consumer.dim_suppliers", "supplier_id_sk", ("supplier_id",)),)
 GOLD_ORDERS_DEPS = (Dependency("gold.consumer.dim_customers", "customer_id_sk", ("customer_id",)),
                     Dependency("gold.consumer.dim_products", "product_id_sk", ("product_id",)))
+
+
+def gold_products(categories: tuple[str, ...]) -> Contract:
+    base = silver_products(categories)
+    return Contract("gold.consumer.dim_products",
+                    base.fields + (Field("product_id_sk", "long", required=True), Field("supplier_id_sk", "long"),
+                                   Field(START_DATE, "date"), Field(END_DATE, "date")),
+                    primary_key=("product_id",), table_type="SCD2", dependencies=GOLD_PRODUCTS_DEPS)
+
+
+GOLD_ORDERS = Contract(
+    "gold.consumer.fact_orders",
+    (Field("order_id", "long", required=True), Field("customer_id_sk", "long", required=True),
+     Field("product_id_sk", "long", required=True), Field("quantity", "integer", required=True),
+     Field("total_price", "decimal", required=True, precision=12, scale=2), Field("order_date", "date", required=True))
+    + _SYS + (Field(CREATE_DATE, "date"), Field(UPDATE_DATE, "date")),
+    primary_key=("order_id",), table_type="FACT", dependencies=GOLD_ORDERS_DEPS)

@@ -54,3 +54,8 @@ def local_batch_tag(ts_utc, zone: str = "Asia/Kolkata") -> Column:
 def iso_text(ts) -> Column:
     """Render a timestamp as ``yyyy-MM-ddTHH:mm:ss.SSSSSS0`` (the seven-digit ISO form landing systems emit)."""
     return F.concat(F.date_format(_col(ts).cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("0"))
+
+
+def parse_date(text, fmt: str = "yyyy-MM-dd") -> Column:
+    """Text -> date; unparsable text gives NULL instead of failing the job under ANSI mode."""
+    return F.to_date(F.try_to_timestamp(_col(text), F.lit(fmt)))

@@ -29,7 +29,13 @@ def _date(d) -> Column:
 
 
 def is_open(end_col: str = END_DATE) -> Column:
-    return F.coalesce(F.col(end_col) == F.lit(OPEN_END), F.lit(False))
+    """Open-version predicate written so the parquet scan receives it (EqualTo pushdown)."""
+    return F.col(end_col) == F.lit(OPEN_END)
+
+
+def is_closed(end_col: str = END_DATE) -> Column:
+    """History rows (anything not open, NULL end included); pushed down as Or(Not(EqualTo), IsNull)."""
+    return (F.col(end_col) != F.lit(OPEN_END)) | F.col(end_col).isNull()
 
 
 def current_versions(dim: DataFrame, end_col: str = END_DATE) -> DataFrame:
@@ -152,7 +158,7 @@ def scd2_state(target: DataFrame | None, batch: DataFrame, keys, sk: str, as_of,
     end_day = d if close == "same_day" else F.date_sub(d, 1)
     batch = batch.drop(sk, START_DATE, END_DATE)
     cur = target.filter(is_open())
-    hist = target.filter(~is_open())
+    hist = target.filter(is_closed())
     cls = classify_against_current(cur, batch, keys, sk, ignore)
     ins = cls.filter(F.col("_status") != SAME).withColumn("_is_changed", F.col("_status")).drop("_status")
     ins = (dense_keys(ins, ["_is_changed", *keys], sk, offset=max_key(target, sk)).drop("_is_changed")
@@ -186,7 +192,7 @@ def scd2_merge(target: DataFrame, source: DataFrame, on, as_of, ignore=()) -> Da
     on = [on] if isinstance(on, str) else list(on)
     d = _date(as_of)
     cur = target.filter(is_open())
-    hist = target.filter(~is_open())
+    hist = target.filter(is_closed())
     src = source.drop(START_DATE, END_DATE)
     skip = set(on) | {START_DATE, END_DATE} | set(ignore)
     cols = [c for c in src.columns if c not in skip]

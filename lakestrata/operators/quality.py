@@ -107,3 +107,13 @@ def lineage_edges(df: DataFrame, refs_col: str, id_cols) -> DataFrame:
                     F.array_join(F.slice(F.col("_p"), 1, F.col("_n") - 2), ".").alias("namespace"),
                     F.element_at(F.col("_p"), -2).alias("name"),
                     F.element_at(F.col("_p"), -1).alias("field")))
+
+
+def schema_profile(df: DataFrame, mode: str = "attributes_only"):
+    """Column names (``attributes_only``) or ``(name, type)`` pairs (``full``) of a frame; driver-side
+    metadata, the size of the schema, not of the data."""
+    if mode == "attributes_only":
+        return [f.name for f in df.schema.fields]
+    if mode == "full":
+        return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
+    raise ValueError(f"mode must be attributes_only or full, got {mode!r}")

@@ -34,6 +34,8 @@ def gold_dimension(target: DataFrame | None, batch: DataFrame, contract: C.Contr
     """Next state of a gold dimension (SCD1 or SCD2) after resolving its dependency keys."""
     if contract.dependencies:
         batch = resolve_dependencies(batch, contract, dimensions or {}, versions="current")
+    if target is None and contract.table_type == "SCD2":
+        batch = batch.drop(*[c for c in (C.START_DATE, C.END_DATE) if c in batch.columns])
     sks = contract.own_surrogate_keys()
     if not sks:
         raise ValueError(f"{contract.name}: no surrogate key in the contract")

@@ -14,6 +14,9 @@ from lakestrata import contract as C
 from lakestrata.operators.lookup import Lookup, resolve_lookups
 from lakestrata.operators.merge import scd1_state, scd2_first_load, scd2_state
 from lakestrata.plans import fixtures as fx
+from lakestrata.plans.jobs import gold_dimension, gold_fact
+
+GOLD_PRODUCTS = C.gold_products(fx.PRODUCT_CATEGORIES)
 
 OPEN_SQL = "DATE '9999-12-31'"
 
@@ -61,36 +64,32 @@ class Gold:
 
     def customers(self, upto: int = 2, second: str = "2") -> DataFrame:
         sp, d = self.spark, self.sf_dir
-        t1 = self._keep("dim_customers_v1", lambda: scd2_first_load(
-            fx.silver_customers(sp, d, "1"), ["customer_id"], "customer_id_sk", fx.B1_ASOF))
+        t1 = self._keep("dim_customers_v1", lambda: gold_dimension(
+            None, fx.silver_customers(sp, d, "1"), C.GOLD_CUSTOMERS, fx.B1_ASOF))
         if upto == 1:
             return t1
-        return self._keep(f"dim_customers_v2_{second}", lambda: scd2_state(
-            t1, fx.silver_customers(sp, d, second), ["customer_id"], "customer_id_sk", fx.B2_ASOF))
+        return self._keep(f"dim_customers_v2_{second}", lambda: gold_dimension(
+            t1, fx.silver_customers(sp, d, second), C.GOLD_CUSTOMERS, fx.B2_ASOF))
 
     def suppliers(self, upto: int = 2) -> DataFrame:
         sp, d = self.spark, self.sf_dir
-        s1 = self._keep("dim_suppliers_v1", lambda: scd1_state(
-            None, fx.silver_suppliers(sp, d, "1"), ["supplier_id"], "supplier_id_sk", fx.B1_ASOF))
+        s1 = self._keep("dim_suppliers_v1", lambda: gold_dimension(
+            None, fx.silver_suppliers(sp, d, "1"), C.GOLD_SUPPLIERS, fx.B1_ASOF))
         if upto == 1:
             return s1
-        return self._keep("dim_suppliers_v2", lambda: scd1_state(
-            s1, fx.silver_suppliers(sp, d, "2"), ["supplier_id"], "supplier_id_sk", fx.B2_ASOF))
+        return self._keep("dim_suppliers_v2", lambda: gold_dimension(
+            s1, fx.silver_suppliers(sp, d, "2"), C.GOLD_SUPPLIERS, fx.B2_ASOF))
 
     def products(self) -> DataFrame:
-        def build():
-            prod = resolve_lookups(fx.silver_products(self.spark, self.sf_dir),
-                                   [Lookup(self.suppliers(), "supplier_id_sk", ("supplier_id",))], versions="all")
-            return scd2_first_load(prod, ["product_id"], "product_id_sk", fx.B1_ASOF)
-        return self._keep("dim_products_v1", build)
+        # the supplier key is looked up with every supplier row (SCD1 keeps one row per supplier)
+        return self._keep("dim_products_v1", lambda: gold_dimension(
+            None, fx.silver_products(self.spark, self.sf_dir), GOLD_PRODUCTS, fx.B1_ASOF,
+            {"gold.consumer.dim_suppliers": self.suppliers()}))
 
     def orders(self, versions: str = "current") -> DataFrame:
-        lookups = [Lookup(self.customers(), "customer_id_sk", ("customer_id",)),
-                   Lookup(self.products(), "product_id_sk", ("product_id",))]
-        fact = resolve_lookups(fx.silver_orders(self.spark, self.sf_dir), lookups, versions=versions,
-                               as_of_col="order_date")
-        d = F.lit(fx.FACT_ASOF)
-        return fact.withColumn(C.CREATE_DATE, d).withColumn(C.UPDATE_DATE, d)
+        dims = {"gold.consumer.dim_customers": self.customers(), "gold.consumer.dim_products": self.products()}
+        return gold_fact(fx.silver_orders(self.spark, self.sf_dir), C.GOLD_ORDERS, dims, fx.FACT_ASOF,
+                         versions=versions, as_of_col="order_date")
 
 
 def gold_customers(spark: SparkSession, sf_dir: str, upto: int = 2, second: str = "2") -> DataFrame:

@@ -17,6 +17,7 @@ swap values; grouping by header avoids that.
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from functools import reduce
 
@@ -45,24 +46,39 @@ def header_lines(spark: SparkSession, paths) -> DataFrame:
             .agg(F.min_by("value", "_pos").alias("header")))
 
 
-def read_by_header(spark: SparkSession, paths) -> DataFrame | None:
-    """Read CSV files whose headers may differ, matching columns by name. Every value is a string."""
+def _header_names(header: str) -> list[str]:
+    """Column names of one header line, parsed with the landing CSV dialect."""
+    return next(csv.reader([header], delimiter=CSV_OPTIONS["sep"], quotechar=CSV_OPTIONS["quote"],
+                           escapechar=CSV_OPTIONS["escape"]))
+
+
+def read_by_header(spark: SparkSession, paths, rescue_column: str | None = None) -> DataFrame | None:
+    """Read CSV files whose headers may differ, matching columns by name. Every value is a string.
+
+    Files sharing a header are one read with that header as an all-string schema (so positions are right
+    inside the group). With ``rescue_column`` set, lines that do not fit the header (wrong field count)
+    are kept whole in that column instead of being dropped or misread.
+    """
     groups: dict[str, list[str]] = defaultdict(list)
     for row in header_lines(spark, paths).collect():  # one row per new file (bounded by maxFilesPerTrigger)
         groups[row["header"]].append(row["path"])
-    frames = [
-        spark.read.options(**CSV_OPTIONS).option("inferSchema", "false").csv(sorted(ps))
-        .withColumn("_source_file", F.col("_metadata.file_path"))
-        for _, ps in sorted(groups.items())
-    ]
+    frames = []
+    for header, ps in sorted(groups.items()):
+        fields = [T.StructField(n, T.StringType()) for n in _header_names(header)]
+        reader = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "true")
+        if rescue_column:
+            fields.append(T.StructField(rescue_column, T.StringType()))
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", rescue_column)
+        frames.append(reader.schema(T.StructType(fields)).csv(sorted(ps))
+                      .withColumn("_source_file", F.col("_metadata.file_path")))
     if not frames:
         return None
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def ingest_batch(spark: SparkSession, paths, table: str, target: str, batch_id: int, ingest_ts=None,
-                 tag_source: str = "folder") -> None:
-    df = read_by_header(spark, paths)
+                 tag_source: str = "folder", rescue_column: str | None = None) -> None:
+    df = read_by_header(spark, paths, rescue_column)
     if df is None:
         return
     ts = F.lit(ingest_ts).cast("timestamp") if ingest_ts is not None else F.current_timestamp()
@@ -73,7 +89,7 @@ def ingest_batch(spark: SparkSession, paths, table: str, target: str, batch_id:
 
 def run_bronze_ingest(spark: SparkSession, landing_root: str, table: str, target: str, checkpoint: str,
                       ingest_ts=None, max_files: int = 1000, glob: str = "*.csv", tag_source: str = "folder",
-                      wait: bool = True):
+                      wait: bool = True, rescue_column: str | None = None):
     """Start the availableNow stream for one table; returns the query (finished when ``wait``)."""
     discovery = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
                  .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
@@ -83,7 +99,7 @@ def run_bronze_ingest(spark: SparkSession, landing_root: str, table: str, target
     def _batch(paths_df: DataFrame, batch_id: int) -> None:
         paths = [r["path"] for r in paths_df.collect()]  # file names only, at most max_files
         if paths:
-            ingest_batch(paths_df.sparkSession, paths, table, target, batch_id, ingest_ts, tag_source)
+            ingest_batch(paths_df.sparkSession, paths, table, target, batch_id, ingest_ts, tag_source, rescue_column)
 
     query = (discovery.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

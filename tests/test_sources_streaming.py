@@ -86,3 +86,39 @@ def test_publish_state_repoints_table(spark):
     assert p1 != p2 and p2.endswith("v=2")
     assert sorted(r.id for r in spark.table("lakestrata_pub").collect()) == [1, 2]
     spark.sql("DROP TABLE IF EXISTS lakestrata_pub")
+
+
+def test_rescued_lines_are_kept(spark):
+    from lakestrata.streaming.bronze import read_by_header
+
+    root = scratch_dir(spark, "t-rescue")
+    with open(f"{root}/t_20240101_000000.csv", "w") as fh:
+        fh.write('"id","v"\n"1","x"\n"2","y","surplus"\n')
+    df = read_by_header(spark, [f"{root}/t_20240101_000000.csv"], rescue_column="_rescued")
+    rows = {r.id: r._rescued for r in df.collect()}
+    assert rows["1"] is None and rows["2"] == '"2","y","surplus"'
+
+
+def test_parse_date_and_schema_profile(spark):
+    from lakestrata.functions.timefmt import parse_date
+    from lakestrata.operators.quality import schema_profile
+
+    df = spark.createDataFrame([("2024-02-29",), ("nope",)], "s string")
+    assert [r[0] for r in df.select(parse_date("s")).collect()] == [dt.date(2024, 2, 29), None]
+    assert schema_profile(df, "full") == [("s", "string")] and schema_profile(df) == ["s"]
+
+
+def test_deploy_views_collects_errors(spark, tmp_path):
+    import pytest
+
+    from lakestrata.plans.views import deploy_views
+
+    (tmp_path / "cx").mkdir()
+    (tmp_path / "cx" / "v.sql").write_text(
+        "CREATE OR REPLACE TEMP VIEW lakestrata_v AS SELECT 1 AS x FROM env_dev_tab;\\n;")
+    spark.range(2).createOrReplaceTempView("env_prod_tab")
+    ran = deploy_views(spark, str(tmp_path), {"env_dev": "env_prod"})
+    assert len(ran) == 1 and spark.table("lakestrata_v").count() == 2
+    (tmp_path / "cx" / "w.sql").write_text("SELECT * FROM missing_table_xyz")
+    with pytest.raises(RuntimeError):
+        deploy_views(spark, str(tmp_path))
