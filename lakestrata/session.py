@@ -13,6 +13,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _driver_memory() -> str:
+    """Local mode runs everything in the driver JVM: use about 60% of physical memory, at most 16 GB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1, min(16, int(total * 0.6 / 2**30)))}g"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: str = "lakestrata",
                   extra: dict | None = None) -> SparkSession:
     builder = (
@@ -25,7 +34,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", _driver_memory())
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     for k, v in (extra or {}).items():
@@ -42,8 +51,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.conf.set("spark.checkpoint.dir", root)
+        except Exception:  # core settings may be read-only at runtime; the context already has the folder
+            pass
         root = spark.sparkContext.getCheckpointDir() or root
     return root
 
