@@ -71,3 +71,51 @@ def append_fact(spark: SparkSession, fact: DataFrame, path: str, idempotent_on=(
         stored = spark.read.parquet(path).select(*idempotent_on).distinct()
         fact = fact.join(stored, list(idempotent_on), "left_anti")
     write_table(fact, path, mode="append", partition_by=list(partition_by) if partition_by else None)
+
+
+# ------------------------------------------------------------------------------ layer runs on tables
+def run_silver_job(spark: SparkSession, bronze: DataFrame, contract: C.Contract, table: str, root: str,
+                   watermark=None) -> bool:
+    """Bronze -> silver table. First run: publish the cleansed batch as the table. Later runs: append when
+    the evolution gate allows the batch's columns (the append goes to the table's folder; the batch is
+    computed from bronze, so nothing being read is overwritten). Returns whether rows were written."""
+    from lakestrata.contract import evolution_allowed
+    from lakestrata.sources.tables import publish_state, table_location
+
+    batch = silver_batch(bronze, contract, watermark)
+    if not spark.catalog.tableExists(table):
+        publish_state(spark, batch, table, root, partition_by=[C.EXTRACT_TAG])
+        return True
+    if not evolution_allowed(batch.columns, spark.table(table).columns, contract.columns):
+        return False
+    write_table(batch, table_location(spark, table), mode="append", partition_by=[C.EXTRACT_TAG],
+                merge_schema=True)
+    spark.sql(f"MSCK REPAIR TABLE {table}")  # register the new batch-tag partition
+    spark.sql(f"REFRESH TABLE {table}")
+    return True
+
+
+def run_gold_job(spark: SparkSession, silver: DataFrame, contract: C.Contract, table: str, root: str, as_of,
+                 dimensions: dict | None = None, watermark=None, watermark_col: str = C.INGEST_TS) -> str:
+    """Silver -> gold table by contract type: dimensions get their next state published to a fresh
+    version folder (the old version stays readable until the table is repointed); facts are appended,
+    skipping batch tags already stored. Returns the table location."""
+    from lakestrata.sources.tables import publish_state, table_location
+
+    batch = silver if watermark is None else incremental_read(silver, watermark_col, watermark)
+    if contract.table_type in ("SCD1", "SCD2"):
+        if contract.primary_key:
+            batch = one_per_key(batch, list(contract.primary_key), watermark_col, "latest")
+        target = spark.table(table) if spark.catalog.tableExists(table) else None
+        state = gold_dimension(target, batch, contract, as_of, dimensions)
+        return publish_state(spark, state, table, root)
+    if contract.table_type == "FACT":
+        fact = gold_fact(batch, contract, dimensions or {}, as_of)
+        if not spark.catalog.tableExists(table):
+            return publish_state(spark, fact, table, root, partition_by=[C.EXTRACT_TAG])
+        location = table_location(spark, table)
+        append_fact(spark, fact, location)
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.sql(f"REFRESH TABLE {table}")
+        return location
+    raise ValueError(f"{contract.name}: unknown table type {contract.table_type}")

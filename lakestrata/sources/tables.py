@@ -68,13 +68,16 @@ def _next_version(location: str | None) -> int:
     return int(m.group(1)) + 1 if m else 1
 
 
+def table_location(spark: SparkSession, name: str) -> str | None:
+    """Storage folder of a catalog table (one metadata row)."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == "Location").collect()
+    return rows[0]["data_type"] if rows else None
+
+
 def publish_state(spark: SparkSession, state: DataFrame, name: str, root: str, partition_by=None,
                   fmt: str = "parquet") -> str:
     """Write ``state`` to ``<root>/v=<n>`` and point table ``name`` at it; returns the new location."""
-    location = None
-    if spark.catalog.tableExists(name):
-        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == "Location").collect()
-        location = rows[0]["data_type"] if rows else None
+    location = table_location(spark, name) if spark.catalog.tableExists(name) else None
     path = f"{root.rstrip('/')}/v={_next_version(location)}"
     if location and location.rstrip("/").endswith(path.rsplit("/", 1)[-1]):
         path = f"{path}-{uuid.uuid4().hex[:8]}"
