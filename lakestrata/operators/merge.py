@@ -143,31 +143,55 @@ def classify_against_current(cur: DataFrame, batch: DataFrame, keys, sk: str, ig
     return out.drop(*([] if keep_sk else ["_cur_sk"]), *["_cur_" + c for c in cols if c in cur_cols])
 
 
-def scd2_state(target: DataFrame | None, batch: DataFrame, keys, sk: str, as_of, close: str = "same_day",
-               ignore=()) -> DataFrame:
-    """SCD2 with validity dates.
+SLICE, CURRENT_SLICE = "_slice", "current"
+
+
+def split_versions(target: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(open versions, history). A table stored by ``publish_scd2`` carries the ``_slice`` partition
+    column, so the split is partition pruning; otherwise the end-date predicates are pushed to the scan."""
+    if SLICE in target.columns:
+        return (target.filter(F.col(SLICE) == CURRENT_SLICE).drop(SLICE),
+                target.filter(F.col(SLICE) != CURRENT_SLICE).drop(SLICE))
+    return target.filter(is_open()), target.filter(is_closed())
+
+
+def scd2_delta(target: DataFrame, batch: DataFrame, keys, sk: str, as_of, close: str = "same_day",
+               ignore=()) -> tuple[DataFrame, DataFrame]:
+    """The change an SCD2 batch makes: ``(closed, current)``.
 
-    state = history + open rows (changed keys closed at ``as_of``, or the day before with
-    ``close='day_before'``) + new versions for new and changed keys, numbered after max(sk): new keys
-    first, then changed keys, each in key order. Re-running the same batch changes nothing.
+    ``closed``: open rows of changed keys, now ended (``as_of``, or the day before with
+    ``close='day_before'``), to be added to history. ``current``: the new set of open rows, i.e. untouched
+    open rows plus new versions for new and changed keys, numbered after max(sk), new keys first, then
+    changed keys, each in key order. History is not read, except for the surrogate-key maximum.
     """
     keys = list(keys)
-    if target is None:
-        return scd2_first_load(batch, keys, sk, as_of)
     d = _date(as_of)
     end_day = d if close == "same_day" else F.date_sub(d, 1)
-    batch = batch.drop(sk, START_DATE, END_DATE)
-    cur = target.filter(is_open())
-    hist = target.filter(is_closed())
+    batch = batch.drop(sk, START_DATE, END_DATE, SLICE)
+    cur, _ = split_versions(target)
     cls = classify_against_current(cur, batch, keys, sk, ignore)
     ins = cls.filter(F.col("_status") != SAME).withColumn("_is_changed", F.col("_status")).drop("_status")
     ins = (dense_keys(ins, ["_is_changed", *keys], sk, offset=max_key(target, sk)).drop("_is_changed")
            .withColumn(START_DATE, d).withColumn(END_DATE, F.lit(OPEN_END)))
     expire = cls.filter(F.col("_status") == CHANGED).select(*keys, F.lit(True).alias("_expire"))
-    cur_out = (cur.join(expire, keys, "left")
-               .withColumn(END_DATE, F.when(F.col("_expire"), end_day).otherwise(F.col(END_DATE)))
-               .drop("_expire"))
-    return _union(hist, cur_out, ins)
+    marked = cur.join(expire, keys, "left")
+    closed = marked.filter(F.col("_expire")).withColumn(END_DATE, end_day).drop("_expire")
+    still_open = marked.filter(F.col("_expire").isNull()).drop("_expire")
+    return closed, _union(still_open, ins)
+
+
+def scd2_state(target: DataFrame | None, batch: DataFrame, keys, sk: str, as_of, close: str = "same_day",
+               ignore=()) -> DataFrame:
+    """SCD2 with validity dates: the full next state = history + ``scd2_delta`` (closed + current).
+
+    Re-running the same batch changes nothing.
+    """
+    keys = list(keys)
+    if target is None:
+        return scd2_first_load(batch, keys, sk, as_of)
+    closed, current = scd2_delta(target, batch, keys, sk, as_of, close, ignore)
+    _, hist = split_versions(target)
+    return _union(hist, closed, current)
 
 
 def scd2_prepare(target: DataFrame, batch: DataFrame, keys, sk: str) -> DataFrame:

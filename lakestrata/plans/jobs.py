@@ -107,6 +107,18 @@ def run_gold_job(spark: SparkSession, silver: DataFrame, contract: C.Contract, t
         if contract.primary_key:
             batch = one_per_key(batch, list(contract.primary_key), watermark_col, "latest")
         target = spark.table(table) if spark.catalog.tableExists(table) else None
+        if contract.table_type == "SCD2":
+            # only the open set and this run's closed rows are written; history stays in place
+            from lakestrata.operators.merge import scd2_delta, scd2_first_load
+            from lakestrata.sources.tables import publish_scd2
+
+            if contract.dependencies:
+                batch = resolve_dependencies(batch, contract, dimensions or {}, versions="current")
+            keys, sk = list(contract.primary_key), contract.own_surrogate_keys()[0]
+            if target is None:
+                return publish_scd2(spark, None, scd2_first_load(batch, keys, sk, as_of), table, root)
+            closed, current = scd2_delta(target, batch, keys, sk, as_of)
+            return publish_scd2(spark, closed, current, table, root)
         state = gold_dimension(target, batch, contract, as_of, dimensions)
         return publish_state(spark, state, table, root)
     if contract.table_type == "FACT":

@@ -90,3 +90,33 @@ def publish_state(spark: SparkSession, state: DataFrame, name: str, root: str, p
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return path
+
+
+def publish_scd2(spark: SparkSession, closed: DataFrame | None, current: DataFrame, name: str, root: str) -> str:
+    """Store an SCD2 table so that history is never rewritten.
+
+    The table is partitioned by ``_slice``: the ``current`` partition holds the open versions and is
+    repointed to a fresh ``current/v=<n>`` folder each run; the rows a run closes become a new partition
+    ``closed-<n>`` in their own folder. A run therefore writes the open set and its changes only, and
+    readers of open versions prune to one partition. Nothing that is being read is overwritten; a failed
+    run leaves orphan folders and the previous table state. Returns the new current folder.
+    """
+    slice_col = "_slice"
+    if not spark.catalog.tableExists(name):
+        first = f"{root.rstrip('/')}/table"
+        (current.withColumn(slice_col, F.lit("current")).write.mode("overwrite")
+         .partitionBy(slice_col).parquet(first))
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{first}'")
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        return f"{first}/{slice_col}=current"
+    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
+    n = 1 + sum(1 for r in rows if r[0].startswith(f"{slice_col}=closed-"))
+    cur_path = f"{root.rstrip('/')}/current/v={n}-{uuid.uuid4().hex[:8]}"
+    closed_path = f"{root.rstrip('/')}/closed/v={n}-{uuid.uuid4().hex[:8]}"
+    current.drop(slice_col).write.mode("overwrite").parquet(cur_path)
+    if closed is not None:
+        closed.drop(slice_col).write.mode("overwrite").parquet(closed_path)
+        spark.sql(f"ALTER TABLE {name} ADD PARTITION ({slice_col}='closed-{n:06d}') LOCATION '{closed_path}'")
+    spark.sql(f"ALTER TABLE {name} PARTITION ({slice_col}='current') SET LOCATION '{cur_path}'")
+    spark.sql(f"REFRESH TABLE {name}")
+    return cur_path

@@ -36,3 +36,23 @@ def test_medallion_run_twice(spark):
     assert gold.exceptAll(want).count() == 0
     assert spark.table("lakestrata_silver_sup").count() == sum(
         fx.raw_suppliers(spark, SF_SMALL, b).count() for b in ("1", "2"))
+
+
+def test_scd2_gold_job_keeps_history_in_place(spark):
+    from lakestrata.operators.merge import scd2_state
+
+    root = scratch_dir(spark, "t-jobs-scd2")
+    spark.sql("DROP TABLE IF EXISTS lakestrata_gold_cust")
+    for batch, as_of in (("1", fx.B1_ASOF), ("2", fx.B2_ASOF), ("2", fx.B2_ASOF)):  # the last run is a replay
+        run_gold_job(spark, fx.silver_customers(spark, SF_SMALL, batch), C.GOLD_CUSTOMERS, "lakestrata_gold_cust",
+                     f"{root}/gold", as_of)
+    table = spark.table("lakestrata_gold_cust")
+    slices = sorted(r[0] for r in table.select("_slice").distinct().collect())
+    assert slices == ["closed-000001", "current"]  # the replay closed nothing
+    t1 = scd2_state(None, fx.silver_customers(spark, SF_SMALL, "1"), ["customer_id"], "customer_id_sk", fx.B1_ASOF)
+    want = scd2_state(t1, fx.silver_customers(spark, SF_SMALL, "2"), ["customer_id"], "customer_id_sk", fx.B2_ASOF)
+    got = table.drop("_slice").drop(C.INGEST_TS)
+    want = want.drop(C.INGEST_TS).select(*got.columns)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+    plan = table.filter("_slice = 'current'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_slice" in plan
