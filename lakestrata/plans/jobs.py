@@ -88,6 +88,9 @@ def run_silver_job(spark: SparkSession, bronze: DataFrame, contract: C.Contract,
         return True
     if not evolution_allowed(batch.columns, spark.table(table).columns, contract.columns):
         return False
+    # replay-safe: batch tags already stored are skipped (their partition values are read, not the rows)
+    stored = spark.table(table).select(C.EXTRACT_TAG).distinct()
+    batch = batch.join(stored, [C.EXTRACT_TAG], "left_anti")
     write_table(batch, table_location(spark, table), mode="append", partition_by=[C.EXTRACT_TAG],
                 merge_schema=True)
     spark.sql(f"MSCK REPAIR TABLE {table}")  # register the new batch-tag partition
