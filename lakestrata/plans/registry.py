@@ -713,3 +713,51 @@ def q_bronze_ingest(spark, d):
 @register("bronze_ingest_replay", _BRONZE_SQL)
 def q_bronze_ingest_replay(spark, d):
     return _bronze_run(spark, d, replays=1)
+
+
+# ====================================================================== more contract and layer queries
+def _product_checks_sql() -> str:
+    c = fx.PRODUCTS_CONTRACT
+    rows = []
+    enum_list = ", ".join(f"'{v}'" for v in fx.PRODUCT_CATEGORIES)
+    for f in c.fields:
+        preds = []
+        if f.required:
+            preds.append(("required", f"{f.name} IS NULL"))
+        if f.type.lower() not in ("string",):
+            t = {"int": "INTEGER", "decimal": "DECIMAL(30,10)", "timestamp": "TIMESTAMP"}[f.type.lower()]
+            preds.append(("type", f"{f.name} IS NOT NULL AND TRY_CAST({f.name} AS {t}) IS NULL"))
+        if f.enum:
+            preds.append(("enum", f"{f.name} IS NOT NULL AND {f.name} NOT IN ({enum_list})"))
+        for chk, p in preds:
+            rows.append(f"SELECT '{chk}' AS \"check\", '{f.name}' AS column_name, COUNT(*) AS total, "
+                        f"CAST(SUM(CASE WHEN {p} THEN 1 ELSE 0 END) AS BIGINT) AS failed FROM raw_p")
+    for chk in ("unique", "primary_key"):
+        rows.append(f"""SELECT '{chk}' AS "check", 'product_id' AS column_name, CAST(SUM(n) AS BIGINT) AS total,
+          CAST(COALESCE(SUM(CASE WHEN k IS NOT NULL AND n > 1 THEN n END), 0) AS BIGINT) AS failed
+          FROM (SELECT product_id AS k, COUNT(*) AS n FROM raw_p GROUP BY product_id) g""")
+    return with_ctes(" UNION ALL ".join(rows))
+
+
+@register("product_contract_checks", _product_checks_sql())
+def q_product_contract_checks(spark, d):
+    return contract_checks(fx.raw_products(spark, d), fx.PRODUCTS_CONTRACT)
+
+
+_BRONZE_CUST = [("bronze_c", """SELECT * REPLACE (CAST(dbx_extract_timestamp AS TIMESTAMP) AS dbx_extract_timestamp)
+    FROM (SELECT * FROM raw_c1 UNION ALL SELECT * FROM raw_c2) r""")]
+
+
+@register("silver_incremental_load", with_ctes(f"""SELECT COALESCE(TRY_CAST(customer_id AS INTEGER), 0) AS customer_id, name,
+    CASE WHEN regexp_matches(email, '{C.EMAIL_PATTERN}') THEN email ELSE 'unknown@example.com' END AS email,
+    CASE WHEN regexp_matches(phone, '{C.PHONE_PATTERN}') THEN phone ELSE '0000000000' END AS phone,
+    address, TRY_CAST(loyalty_points AS INTEGER) AS loyalty_points, extract_timestamp,
+    strftime(dbx_extract_timestamp, '%Y-%m-%d %H:%M:%S') AS dbx_extract_timestamp
+  FROM bronze_c WHERE dbx_extract_timestamp > TIMESTAMP '1990-01-01 00:00:00'
+  QUALIFY row_number() OVER (PARTITION BY COALESCE(TRY_CAST(customer_id AS INTEGER), 0)
+                             ORDER BY dbx_extract_timestamp DESC) = 1""", _BRONZE_CUST))
+def q_silver_incremental_load(spark, d):
+    from lakestrata.plans.jobs import silver_batch
+
+    bronze = _raw_both(spark, d).withColumn(C.INGEST_TS, F.col(C.INGEST_TS).cast("timestamp"))
+    return portable(silver_batch(bronze, C.SILVER_CUSTOMERS, watermark=F.lit("1990-01-01 00:00:00").cast("timestamp")))
