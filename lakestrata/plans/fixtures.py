@@ -116,12 +116,12 @@ CUSTOMER_COLS = ["customer_id", "name", "email", "phone", "address", "loyalty_po
 # ------------------------------------------------------------------------------------ suppliers
 def raw_suppliers(spark: SparkSession, sf_dir: str, batch: str = "1") -> DataFrame:
     """Landing suppliers (all strings). Batch '1': keys %4<>3; '2': odd keys, renamed where %3=0 and
-    moved where %5=0."""
+    moved where %5=0 (together they cover every supplier); 'all': the whole table as batch 1 values."""
     k = F.col("s_suppkey")
     sup = table(spark, sf_dir, "supplier")
     n = 1 if batch == "1" else 2
-    if batch == "1":
-        sup = sup.filter(k % 4 != 3)
+    if batch in ("1", "all"):
+        sup = sup.filter(k % 4 != 3) if batch == "1" else sup
         name, address = F.col("s_name"), _s(F.col("s_nationkey"))
     else:
         sup = sup.filter(k % 2 == 1)
@@ -135,8 +135,9 @@ def raw_suppliers(spark: SparkSession, sf_dir: str, batch: str = "1") -> DataFra
 def raw_suppliers_sql(batch: str = "1") -> str:
     k = "s_suppkey"
     n = 1 if batch == "1" else 2
-    if batch == "1":
-        where, name, address = f"{k} % 4 <> 3", "s_name", "CAST(s_nationkey AS VARCHAR)"
+    if batch in ("1", "all"):
+        where = f"{k} % 4 <> 3" if batch == "1" else "TRUE"
+        name, address = "s_name", "CAST(s_nationkey AS VARCHAR)"
     else:
         where = f"{k} % 2 = 1"
         name = f"CASE WHEN {k} % 3 = 0 THEN s_name || ' Ltd' ELSE s_name END"

@@ -181,6 +181,7 @@ def base_ctes() -> dict:
         "sil_c2b": fx.silver_customers_sql("raw_c2b"),
         "gold_c1": scd2_first_sql("sil_c1", ["customer_id"], "customer_id_sk", fx.B1_ASOF),
         "raw_s1": fx.raw_suppliers_sql("1"), "raw_s2": fx.raw_suppliers_sql("2"),
+        "raw_sall": fx.raw_suppliers_sql("all"),
         "sil_s1": fx.silver_suppliers_sql("raw_s1"), "sil_s2": fx.silver_suppliers_sql("raw_s2"),
         "gold_s1": scd1_first_sql("sil_s1", ["supplier_id"], "supplier_id_sk", fx.B1_ASOF),
         "gold_s2": scd1_state_sql("gold_s1", "sil_s2", ["supplier_id"], "supplier_id_sk", fx.B2_ASOF),
@@ -205,7 +206,7 @@ def base_ctes() -> dict:
 
 
 _DEPS_ORDER = ["raw_c1", "raw_c2", "raw_c2b", "sil_c1", "sil_c2", "sil_c2b", "gold_c1", "gold_c2_cls", "gold_c2",
-               "raw_s1", "raw_s2", "sil_s1", "sil_s2", "gold_s1", "gold_s2", "raw_p", "sil_p", "look_p", "gold_p",
+               "raw_s1", "raw_s2", "raw_sall", "sil_s1", "sil_s2", "gold_s1", "gold_s2", "raw_p", "sil_p", "look_p", "gold_p",
                "raw_o", "sil_o", "fact_current", "fact_all", "fact_as_of"]
 
 

@@ -92,3 +92,17 @@ def test_gold_customers_fixture_invariants(spark):
     g = Gold(spark, SF_SMALL).customers()
     assert g.filter(F.col("effective_end_date") == OPEN).groupBy("customer_id").count().filter("count>1").count() == 0
     assert g.select("customer_id_sk").distinct().count() == g.count()
+
+
+def test_scd2_merge_changes_only_batch(spark):
+    """A batch with changes and no new keys: every changed key still gets a fresh surrogate key."""
+    from lakestrata.plans.star import Gold
+
+    t1 = Gold(spark, SF_SMALL).customers(1)
+    b = fx.silver_customers(spark, SF_SMALL, "2b")
+    via_merge = merge.scd2_merge(t1, merge.scd2_prepare(t1, b, ["customer_id"], "customer_id_sk"),
+                                 ["customer_id_sk"], D2)
+    direct = merge.scd2_state(t1, b, ["customer_id"], "customer_id_sk", D2)
+    assert via_merge.count() == direct.count() > t1.count()
+    assert via_merge.exceptAll(direct.select(*via_merge.columns)).count() == 0
+    assert via_merge.select("customer_id_sk").distinct().count() == via_merge.count()
