@@ -8,7 +8,7 @@ carries. Contracts are small driver-side objects; they only decide which column
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 

@@ -7,9 +7,7 @@ Ingest times and other timestamps are rendered as text on both sides.
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata import contract as C
@@ -22,7 +20,7 @@ from lakestrata.operators import changes, merge
 from lakestrata.operators.dedup import one_per_key
 from lakestrata.operators.evolution import gated_append, read_evolved
 from lakestrata.operators.keys import assign_surrogate_keys, dense_keys, max_key
-from lakestrata.operators.lookup import Lookup, lookups_from_specs, reference_specs, resolve_lookups
+from lakestrata.operators.lookup import lookups_from_specs, reference_specs, resolve_lookups
 from lakestrata.operators.quality import contract_checks, contract_violations, lineage_edges
 from lakestrata.plans import fixtures as fx
 from lakestrata.plans import star, views

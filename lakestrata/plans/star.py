@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import contract as C
-from lakestrata.operators.lookup import Lookup, resolve_lookups
-from lakestrata.operators.merge import scd1_state, scd2_first_load, scd2_state
 from lakestrata.plans import fixtures as fx
 from lakestrata.plans.jobs import gold_dimension, gold_fact
 
