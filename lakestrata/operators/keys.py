@@ -36,8 +36,7 @@ def dense_keys(df: DataFrame, order_cols, key_col: str, offset=0, num_ranges: in
     ranged = (
         exchanged.sortWithinPartitions(*ordered)
         # monotonically_increasing_id() = (partition id << 33) + record number inside the partition
-        .withColumn(_B, pid)
-        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33))
+        .withColumns({_B: pid, _POS: F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)})
     )
     # Counted from the same range exchange (no sort needed), which Spark can reuse for both branches.
     counts = exchanged.select(pid.alias(_B)).groupBy(_B).agg(F.count(F.lit(1)).alias(_N))

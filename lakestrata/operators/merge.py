@@ -70,7 +70,7 @@ def scd1_merge(target: DataFrame, source: DataFrame, on) -> DataFrame:
 def scd1_first_load(batch: DataFrame, keys, sk: str, as_of) -> DataFrame:
     d = _date(as_of)
     return (dense_keys(batch.drop(sk), list(keys), sk, offset=0)
-            .withColumn(CREATE_DATE, d).withColumn(UPDATE_DATE, d))
+            .withColumns({CREATE_DATE: d, UPDATE_DATE: d}))
 
 
 def scd1_prepare(target: DataFrame, batch: DataFrame, keys, sk: str, as_of) -> DataFrame:
@@ -81,11 +81,11 @@ def scd1_prepare(target: DataFrame, batch: DataFrame, keys, sk: str, as_of) -> D
     slim = target.select(*keys, F.col(sk).alias("_t_sk"), F.col(CREATE_DATE).alias("_t_create"))
     cls = batch.drop(sk, CREATE_DATE, UPDATE_DATE).join(slim, keys, "left")
     old = (cls.filter(F.col("_t_sk").isNotNull())
-           .withColumn(sk, F.col("_t_sk")).withColumn(CREATE_DATE, F.col("_t_create"))
-           .withColumn(UPDATE_DATE, d).drop("_t_sk", "_t_create"))
+           .withColumns({sk: F.col("_t_sk"), CREATE_DATE: F.col("_t_create"), UPDATE_DATE: d})
+           .drop("_t_sk", "_t_create"))
     new = dense_keys(cls.filter(F.col("_t_sk").isNull()).drop("_t_sk", "_t_create"), keys, sk,
                      offset=max_key(target, sk))
-    new = new.withColumn(CREATE_DATE, d).withColumn(UPDATE_DATE, d)
+    new = new.withColumns({CREATE_DATE: d, UPDATE_DATE: d})
     return _union(old, new)
 
 
@@ -119,7 +119,7 @@ def scd1_upsert(target: DataFrame | None, batch: DataFrame, keys, columns, sk: s
 # ---------------------------------------------------------------------------------------------- SCD2
 def scd2_first_load(batch: DataFrame, keys, sk: str, as_of) -> DataFrame:
     return (dense_keys(batch.drop(sk, START_DATE, END_DATE), list(keys), sk, offset=0)
-            .withColumn(START_DATE, _date(as_of)).withColumn(END_DATE, F.lit(OPEN_END)))
+            .withColumns({START_DATE: _date(as_of), END_DATE: F.lit(OPEN_END)}))
 
 
 def classify_against_current(cur: DataFrame, batch: DataFrame, keys, sk: str, ignore=(),
@@ -172,7 +172,7 @@ def scd2_delta(target: DataFrame, batch: DataFrame, keys, sk: str, as_of, close:
     cls = classify_against_current(cur, batch, keys, sk, ignore)
     ins = cls.filter(F.col("_status") != SAME).withColumn("_is_changed", F.col("_status")).drop("_status")
     ins = (dense_keys(ins, ["_is_changed", *keys], sk, offset=max_key(target, sk)).drop("_is_changed")
-           .withColumn(START_DATE, d).withColumn(END_DATE, F.lit(OPEN_END)))
+           .withColumns({START_DATE: d, END_DATE: F.lit(OPEN_END)}))
     expire = cls.filter(F.col("_status") == CHANGED).select(*keys, F.lit(True).alias("_expire"))
     marked = cur.join(expire, keys, "left")
     closed = marked.filter(F.col("_expire")).withColumn(END_DATE, end_day).drop("_expire")
@@ -229,7 +229,7 @@ def scd2_merge(target: DataFrame, source: DataFrame, on, as_of, ignore=()) -> Da
     cur_out = (cur.join(expire, on, "left")
                .withColumn(END_DATE, F.when(F.col("_expire"), d).otherwise(F.col(END_DATE))).drop("_expire"))
     ins = (cls.filter(F.col("_m").isNull()).select(*src.columns)
-           .withColumn(START_DATE, d).withColumn(END_DATE, F.lit(OPEN_END)))
+           .withColumns({START_DATE: d, END_DATE: F.lit(OPEN_END)}))
     return _union(hist, cur_out, ins)
 
 
@@ -237,8 +237,7 @@ def scd2_merge(target: DataFrame, source: DataFrame, on, as_of, ignore=()) -> Da
 def scd2_hash_first_load(batch: DataFrame, keys, attrs, sk: str, as_of) -> DataFrame:
     src = batch if START_DATE in batch.columns else batch.withColumn(START_DATE, _date(as_of))
     return (dense_keys(src.drop(sk), list(keys), sk, offset=0)
-            .withColumn(END_DATE, F.lit(OPEN_END)).withColumn(IS_ACTIVE, F.lit(True))
-            .withColumn(ROW_HASH, row_hash(attrs)))
+            .withColumns({END_DATE: F.lit(OPEN_END), IS_ACTIVE: F.lit(True), ROW_HASH: row_hash(attrs)}))
 
 
 def scd2_hash_state(target: DataFrame | None, batch: DataFrame, keys, attrs, sk: str, as_of) -> DataFrame:
@@ -258,10 +257,10 @@ def scd2_hash_state(target: DataFrame | None, batch: DataFrame, keys, attrs, sk:
     close = changed.select(*keys, F.date_sub(F.col(START_DATE), 1).alias("_new_end"))
     hit = F.col("_new_end").isNotNull() & (F.col(IS_ACTIVE) == F.lit(True))
     tgt_out = (target.join(close, keys, "left")
-               .withColumn(END_DATE, F.when(hit, F.col("_new_end")).otherwise(F.col(END_DATE)))
-               .withColumn(IS_ACTIVE, F.when(hit, F.lit(False)).otherwise(F.col(IS_ACTIVE)))
+               .withColumns({END_DATE: F.when(hit, F.col("_new_end")).otherwise(F.col(END_DATE)),
+                             IS_ACTIVE: F.when(hit, F.lit(False)).otherwise(F.col(IS_ACTIVE))})
                .drop("_new_end"))
     ins = cls.filter(F.col("_tgt_hash").isNull() | (F.col("_tgt_hash") != F.col(ROW_HASH))).drop("_tgt_hash")
     ins = (dense_keys(ins, keys, sk, offset=max_key(target, sk))
-           .withColumn(END_DATE, F.lit(OPEN_END)).withColumn(IS_ACTIVE, F.lit(True)))
+           .withColumns({END_DATE: F.lit(OPEN_END), IS_ACTIVE: F.lit(True)}))
     return _union(tgt_out, ins)

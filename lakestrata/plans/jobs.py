@@ -60,7 +60,7 @@ def gold_fact(batch: DataFrame, contract: C.Contract, dimensions: dict, as_of, v
     """Fact rows with dimension surrogate keys and audit dates."""
     df = resolve_dependencies(batch, contract, dimensions, versions, as_of_col)
     d = F.lit(as_of).cast("date")
-    return df.withColumn(C.CREATE_DATE, d).withColumn(C.UPDATE_DATE, d)
+    return df.withColumns({C.CREATE_DATE: d, C.UPDATE_DATE: d})
 
 
 def append_fact(spark: SparkSession, fact: DataFrame, path: str, idempotent_on=(C.EXTRACT_TAG,),
