@@ -55,6 +55,12 @@ class Contract:
     table_type: str = "UNKNOWN"
     dependencies: tuple[Dependency, ...] = ()
     description: str = ""
+    business_keys: tuple[str, ...] = ()
+
+    @property
+    def keys(self) -> tuple[str, ...]:
+        """Business keys when declared (older contracts), else the primary key."""
+        return self.business_keys or self.primary_key
 
     @property
     def columns(self) -> list[str]:
@@ -80,7 +86,7 @@ class Contract:
 
     def with_fields(self, *extra: Field) -> "Contract":
         return Contract(self.name, self.fields + tuple(extra), self.primary_key, self.table_type,
-                        self.dependencies, self.description)
+                        self.dependencies, self.description, self.business_keys)
 
 
 def spark_type_of(type_name: str, precision: int | None = None, scale: int | None = None) -> T.DataType:
@@ -147,7 +153,8 @@ def contract_from_dict(doc: dict, model: str | None = None) -> Contract:
     description = (doc.get("info") or {}).get("description", "")
     return Contract(name=name, fields=tuple(fields), primary_key=tuple(m.get("primaryKey") or ()),
                     table_type=table_type_from_description(description, m.get("tableType")),
-                    dependencies=deps, description=description)
+                    dependencies=deps, description=description,
+                    business_keys=tuple(m.get("businessKeys") or ()))
 
 
 def load_contract(path: str, model: str | None = None) -> Contract:

@@ -117,3 +117,21 @@ def schema_profile(df: DataFrame, mode: str = "attributes_only"):
     if mode == "full":
         return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
     raise ValueError(f"mode must be attributes_only or full, got {mode!r}")
+
+
+def quarantine_split(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, quarantined rows with a ``violations`` text listing ``check:column`` in contract
+    order). Uniqueness is included: rows whose unique value or key is duplicated are quarantined; the
+    duplicate keys come from a partially aggregated group-by, joined back on the key."""
+    checks = _row_checks(df, contract)
+    tags = [F.when(p, F.lit(f"{chk}:{col}")) for chk, col, p in checks]
+    marked = df
+    for i, (chk, name, cols) in enumerate(_unique_rules(contract, set(df.columns))):
+        flag = f"_dup{i}"
+        dup = _duplicate_keys(df, cols).select(*cols, F.lit(True).alias(flag))
+        marked = marked.join(dup, cols, "left")
+        tags.append(F.when(F.col(flag), F.lit(f"{chk}:{name}")))
+    flags = [c for c in marked.columns if c.startswith("_dup")]
+    marked = marked.withColumn("violations", F.concat_ws(",", *tags)).drop(*flags)
+    ok = F.col("violations") == F.lit("")
+    return marked.filter(ok).drop("violations"), marked.filter(~ok)

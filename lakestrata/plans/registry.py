@@ -754,3 +754,32 @@ def q_silver_incremental_load(spark, d):
 
     bronze = _raw_both(spark, d).withColumn(C.INGEST_TS, F.col(C.INGEST_TS).cast("timestamp"))
     return portable(silver_batch(bronze, C.SILVER_CUSTOMERS, watermark=F.lit("1990-01-01 00:00:00").cast("timestamp")))
+
+
+def _quarantine_sql() -> str:
+    tags = []
+    for f in C.SILVER_CUSTOMERS.fields:
+        c = f"r.{f.name}"
+        if f.required:
+            tags.append(f"CASE WHEN {c} IS NULL THEN 'required:{f.name}' END")
+        if f.type.lower() not in ("string",):
+            t = {"int": "INTEGER", "integer": "INTEGER", "timestamp": "TIMESTAMP"}[f.type.lower()]
+            tags.append(f"CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL THEN 'type:{f.name}' END")
+        if f.pattern:
+            tags.append(f"CASE WHEN {c} IS NOT NULL AND NOT regexp_matches({c}, '{f.pattern}') "
+                        f"THEN 'pattern:{f.name}' END")
+    tags += ["CASE WHEN d.customer_id IS NOT NULL THEN 'unique:customer_id' END",
+             "CASE WHEN d.customer_id IS NOT NULL THEN 'primary_key:customer_id' END"]
+    cols = ", ".join(f"r.{c}" for c in fx.CUSTOMER_COLS)
+    return with_ctes(f"""SELECT * FROM (SELECT {cols}, concat_ws(',', {', '.join(tags)}) AS violations
+      FROM raw_both r LEFT JOIN (SELECT customer_id FROM raw_both WHERE customer_id IS NOT NULL
+                                 GROUP BY customer_id HAVING COUNT(*) > 1) d ON r.customer_id = d.customer_id) q
+      WHERE violations <> ''""", _RAW_BOTH)
+
+
+@register("contract_quarantine", _quarantine_sql())
+def q_contract_quarantine(spark, d):
+    from lakestrata.operators.quality import quarantine_split
+
+    _, bad = quarantine_split(_raw_both(spark, d), C.SILVER_CUSTOMERS)
+    return bad

@@ -79,15 +79,18 @@ def category_share_window(fact: DataFrame, products: DataFrame, suppliers: DataF
     return _finish_share(scs.withColumn("_total", F.sum("category_revenue").over(w)), "_total", threshold)
 
 
-def deploy_views(spark: SparkSession, root: str, substitutions: dict | None = None, min_len: int = 10) -> list[str]:
-    """Run every ``.sql`` file below ``root`` (one schema per sub-folder): statements split on ';',
-    environment names substituted, pieces of ``min_len`` characters or fewer skipped. Failures are
-    collected and raised together after all files ran."""
+def deploy_views(spark: SparkSession, root: str, substitutions: dict | None = None, min_len: int = 10,
+                 create_schemas: bool = False) -> list[str]:
+    """Run every ``.sql`` file below ``root`` (one schema per sub-folder, created first when
+    ``create_schemas``): statements split on ';', environment names substituted, pieces of ``min_len``
+    characters or fewer skipped. Failures are collected and raised together after all files ran."""
     errors, ran = [], []
     for sub in sorted(os.listdir(root)):
         folder = os.path.join(root, sub)
         if not os.path.isdir(folder):
             continue
+        if create_schemas:
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {sub}")
         for name in sorted(os.listdir(folder)):
             if not name.endswith(".sql"):
                 continue

@@ -73,3 +73,8 @@ def holiday_counts(calendar: DataFrame, run_dates: DataFrame, date_col: str = "r
     per_day = calendar.groupBy(F.col("HolidayDate").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
     return (run_dates.join(per_day, run_dates[date_col] == per_day["_d"], "left")
             .select(F.col(date_col), F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("holiday_count")))
+
+
+def append_log(runs: DataFrame, path: str) -> None:
+    """Append the run-log rows (``log_rows``) to the log table at ``path``."""
+    log_rows(runs).write.mode("append").parquet(path)

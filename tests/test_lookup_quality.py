@@ -61,3 +61,31 @@ def test_lineage_edges(spark):
     df = spark.createDataFrame([(1, ["a.b.c", "cat.sch.tab.col", "too.short"])], "id int, refs array<string>")
     got = sorted(tuple(r) for r in lineage_edges(df, "refs", ["id"]).collect())
     assert got == [(1, "a", "b", "c"), (1, "cat.sch", "tab", "col")]
+
+
+def test_quarantine_split_partitions_rows(spark):
+    from lakestrata.operators.quality import quarantine_split
+
+    c = C.Contract("t", (C.Field("id", "int", required=True, unique=True),
+                         C.Field("mail", "string", pattern=C.EMAIL_PATTERN)), primary_key=("id",))
+    df = spark.createDataFrame([("1", "x@y.zz"), ("1", "a@b.cc"), ("2", "bad"), ("3", "u@v.ww"), (None, None)],
+                               "id string, mail string")
+    good, bad = quarantine_split(df, c)
+    assert sorted(r.id for r in good.collect()) == ["3"]
+    reasons = {(r.id, r.mail): r.violations for r in bad.collect()}
+    assert reasons[("2", "bad")] == "pattern:mail"
+    assert reasons[("1", "x@y.zz")] == "unique:id,primary_key:id"
+    assert reasons[(None, None)] == "required:id"
+    assert good.count() + bad.count() == df.count()
+
+
+def test_business_keys_and_log_append(spark, tmp_path):
+    from lakestrata.sources import control
+
+    c = C.contract_from_dict({"models": {"m": {"fields": {"a": {"type": "int"}}, "primaryKey": ["a"],
+                                               "businessKeys": ["b1", "b2"]}}})
+    assert c.keys == ("b1", "b2") and c.primary_key == ("a",)
+    runs = spark.createDataFrame([("1", "t", "p", "s", "e", "f", "ERROR", "x")], control.LOG_SCHEMA)
+    control.append_log(runs, str(tmp_path / "log"))
+    control.append_log(runs, str(tmp_path / "log"))
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 4
