@@ -428,7 +428,7 @@ def q_multi_ref_lookup(spark, d):
     g = star.Gold.shared(spark, d)
     dims = {"dim_customers": g.customers(), "dim_products": g.products()}
     lookups = lookups_from_specs(reference_specs(REF_FIELDS), dims, as_of=True)
-    out = resolve_lookups(fx.silver_orders(spark, d), lookups, as_of_col="order_date")
+    out = resolve_lookups(g.silver_orders(), lookups, as_of_col="order_date")
     return out.select("order_id", "customer_id", "product_id", "supplier_id", "order_date", "customer_id_sk",
                       "product_supplier_sk")
 
@@ -477,7 +477,7 @@ def q_fact_append(spark, d):
 # ====================================================================== gold views
 def _views_inputs(spark, d):
     g = star.Gold.shared(spark, d)
-    return g.orders("current"), g.customers(), g.products(), g.suppliers()
+    return g.fact(), g.customers(), g.products(), g.suppliers()
 
 
 @register("loyalty_segments", with_ctes("""SELECT c.customer_id, c.name AS customer_name,

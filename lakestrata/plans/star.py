@@ -84,10 +84,19 @@ class Gold:
             None, fx.silver_products(self.spark, self.sf_dir), GOLD_PRODUCTS, fx.B1_ASOF,
             {"gold.consumer.dim_suppliers": self.suppliers()}))
 
+    def silver_orders(self) -> DataFrame:
+        """The silver order lines, cleansed and cast once and stored (the silver layer table)."""
+        return self._keep("silver_orders", lambda: fx.silver_orders(self.spark, self.sf_dir))
+
     def orders(self, versions: str = "current") -> DataFrame:
+        """Fact rows with dimension keys looked up (all / current / as-of versions) from stored silver."""
         dims = {"gold.consumer.dim_customers": self.customers(), "gold.consumer.dim_products": self.products()}
-        return gold_fact(fx.silver_orders(self.spark, self.sf_dir), C.GOLD_ORDERS, dims, fx.FACT_ASOF,
-                         versions=versions, as_of_col="order_date")
+        return gold_fact(self.silver_orders(), C.GOLD_ORDERS, dims, fx.FACT_ASOF, versions=versions,
+                         as_of_col="order_date")
+
+    def fact(self) -> DataFrame:
+        """The stored gold fact table (current-version keys), as the views read it."""
+        return self._keep("fact_orders", lambda: self.orders("current"))
 
 
 def gold_customers(spark: SparkSession, sf_dir: str, upto: int = 2, second: str = "2") -> DataFrame:
