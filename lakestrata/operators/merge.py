@@ -162,7 +162,8 @@ def scd2_delta(target: DataFrame, batch: DataFrame, keys, sk: str, as_of, close:
     ``closed``: open rows of changed keys, now ended (``as_of``, or the day before with
     ``close='day_before'``), to be added to history. ``current``: the new set of open rows, i.e. untouched
     open rows plus new versions for new and changed keys, numbered after max(sk), new keys first, then
-    changed keys, each in key order. History is not read, except for the surrogate-key maximum.
+    changed keys, each in key order. History is not read (for an unsliced table, only its key column is
+    scanned for the maximum).
     """
     keys = list(keys)
     d = _date(as_of)
@@ -171,7 +172,10 @@ def scd2_delta(target: DataFrame, batch: DataFrame, keys, sk: str, as_of, close:
     cur, _ = split_versions(target)
     cls = classify_against_current(cur, batch, keys, sk, ignore)
     ins = cls.filter(F.col("_status") != SAME).withColumn("_is_changed", F.col("_status")).drop("_status")
-    ins = (dense_keys(ins, ["_is_changed", *keys], sk, offset=max_key(target, sk)).drop("_is_changed")
+    # In a sliced table the open slice holds the largest key: a row leaves it only when a new version with
+    # a larger key replaces it. So the history slices are not read at all.
+    top = max_key(cur if SLICE in target.columns else target, sk)
+    ins = (dense_keys(ins, ["_is_changed", *keys], sk, offset=top).drop("_is_changed")
            .withColumns({START_DATE: d, END_DATE: F.lit(OPEN_END)}))
     expire = cls.filter(F.col("_status") == CHANGED).select(*keys, F.lit(True).alias("_expire"))
     marked = cur.join(expire, keys, "left")

@@ -76,3 +76,19 @@ def test_fact_job_append_is_replay_safe(spark):
     table = spark.table("lakestrata_gold_fact")
     assert table.count() == silver.count()
     assert table.filter(F.col("customer_id_sk").isNull()).count() == 0
+
+
+def test_scd2_delta_reads_only_the_current_slice(spark):
+    from lakestrata.operators.merge import scd2_delta
+
+    root = scratch_dir(spark, "t-jobs-slice")
+    spark.sql("DROP TABLE IF EXISTS lakestrata_gold_slice")
+    for batch, as_of in (("1", fx.B1_ASOF), ("2", fx.B2_ASOF)):
+        run_gold_job(spark, fx.silver_customers(spark, SF_SMALL, batch), C.GOLD_CUSTOMERS, "lakestrata_gold_slice",
+                     f"{root}/gold", as_of)
+    closed, current = scd2_delta(spark.table("lakestrata_gold_slice"), fx.silver_customers(spark, SF_SMALL, "2"),
+                                 ["customer_id"], "customer_id_sk", fx.B2_ASOF)
+    assert closed.count() == 0  # replay of the last batch
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "lakestrata_gold_slice" in ln]
+    assert scans and all("(_slice" in ln and "= current)" in ln for ln in scans)
