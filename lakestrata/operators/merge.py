@@ -1,9 +1,10 @@
 """Slowly changing dimensions as join algebra that returns the new table state.
 
 No MERGE statement is needed: each function takes the current target state and a batch (one row per
-business key, see ``dedup.one_per_key``) and returns the full next state as a DataFrame, which the
-caller publishes (``sources.tables.publish_state``). Closed history is passed through untouched and never
-joined. Every clock is the ``as_of`` parameter.
+business key, see ``dedup.one_per_key``) and returns the next state as DataFrames, which the caller
+publishes: the full state with ``sources.tables.publish_state``, or for SCD2 only the change
+(``scd2_delta``: rows closed by this run + the new open set) with ``sources.tables.publish_scd2``.
+Closed history is passed through untouched and never joined. Every clock is the ``as_of`` parameter.
 """
 
 from __future__ import annotations
@@ -98,7 +99,8 @@ def scd1_state(target: DataFrame | None, batch: DataFrame, keys, sk: str, as_of)
 
 def scd1_upsert(target: DataFrame | None, batch: DataFrame, keys, columns, sk: str | None = None) -> DataFrame:
     """Path-style SCD1: matched keys get the batch's non-key, non-surrogate columns; new keys are
-    inserted with the next surrogate keys; output has exactly ``columns``."""
+    inserted with the next surrogate keys. A first load has ``columns`` plus the key; later loads keep the
+    target's columns."""
     keys = list(keys)
     columns = [c for c in columns if c != sk]
     src = batch.select(*columns)
