@@ -30,6 +30,8 @@ class Lookup:
 
 
 def _current_filter(dim: DataFrame):
+    if "_slice" in dim.columns:  # a sliced SCD2 table: partition pruning to the open slice
+        return F.col("_slice") == F.lit("current")
     if END_DATE in dim.columns:
         return F.col(END_DATE) == F.lit(OPEN_END)
     if IS_ACTIVE in dim.columns:

@@ -92,3 +92,19 @@ def test_scd2_delta_reads_only_the_current_slice(spark):
     plan = current._jdf.queryExecution().executedPlan().toString()
     scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "lakestrata_gold_slice" in ln]
     assert scans and all("(_slice" in ln and "= current)" in ln for ln in scans)
+
+
+def test_current_lookup_prunes_to_open_slice(spark):
+    from lakestrata.operators.lookup import Lookup, resolve_lookups
+
+    root = scratch_dir(spark, "t-jobs-lookup")
+    spark.sql("DROP TABLE IF EXISTS lakestrata_gold_lk")
+    for batch, as_of in (("1", fx.B1_ASOF), ("2", fx.B2_ASOF)):
+        run_gold_job(spark, fx.silver_customers(spark, SF_SMALL, batch), C.GOLD_CUSTOMERS, "lakestrata_gold_lk",
+                     f"{root}/gold", as_of)
+    dim = spark.table("lakestrata_gold_lk")
+    fact = fx.silver_orders(spark, SF_SMALL).select("order_id", "customer_id")
+    out = resolve_lookups(fact, [Lookup(dim, "customer_id_sk", ("customer_id",))])
+    assert out.count() == fact.count() and out.filter(F.col("customer_id_sk").isNull()).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_slice" in plan
