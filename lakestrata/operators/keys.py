@@ -2,9 +2,15 @@
 
 ``ROW_NUMBER() OVER (ORDER BY k)`` on its own makes Spark gather every row into one task. Here the rows
 are range-partitioned on the ordering columns (Spark samples the bounds), sorted inside each range, and
-numbered by position; a per-range row count (one row per range, so its size is bounded by the number of
-ranges, not by the data) gives each range its starting offset. The result is exactly the global row
-number: ranges are disjoint and ordered, and positions inside a range follow the sort.
+numbered by position. That numbered copy is written once to the shared checkpoint folder; a per-range row
+count taken from the stored copy (one row per range, so its size is bounded by the number of ranges, not
+by the data) gives each range its starting offset. The result is exactly the global row number: ranges are
+disjoint and ordered, and positions inside a range follow the sort.
+
+Storing the numbered copy is what makes this exact. Range bounds are sampled each time a range exchange
+runs, so counting from a second, separately planned exchange (Catalyst prunes columns differently for
+the count) could use different bounds. Both the counts and the keys come from the same files, and a lost
+executor re-reads them instead of renumbering.
 """
 
 from __future__ import annotations
@@ -36,14 +42,18 @@ def dense_keys(df: DataFrame, order_cols, key_col: str, offset=0, num_ranges: in
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     ordered = [c.asc_nulls_first() for c in order_cols]
     pid = F.spark_partition_id()
-    exchanged = df.repartitionByRange(n, *ordered)
-    ranged = (
-        exchanged.sortWithinPartitions(*ordered)
+    from lakestrata.session import scratch_dir
+
+    numbered = (
+        df.repartitionByRange(n, *ordered)
+        .sortWithinPartitions(*ordered)
         # monotonically_increasing_id() = (partition id << 33) + record number inside the partition
         .withColumns({_B: pid, _POS: F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)})
     )
-    # Counted from the same range exchange (no sort needed), which Spark can reuse for both branches.
-    counts = exchanged.select(pid.alias(_B)).groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
+    path = scratch_dir(spark, "dense-keys")
+    numbered.write.mode("overwrite").parquet(path)  # one pass: sample, range shuffle, sort, positions
+    ranged = spark.read.parquet(path)
+    counts = ranged.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
     if isinstance(offset, DataFrame):
         base = offset.select(F.lit(-1).alias(_B), F.col(offset.columns[0]).cast("long").alias(_N))
     else:
