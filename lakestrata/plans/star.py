@@ -98,6 +98,20 @@ class Gold:
         """The stored gold fact table (current-version keys), as the views read it."""
         return self._keep("fact_orders", lambda: self.orders("current"))
 
+    def build(self, workers: int = 3) -> "Gold":
+        """Build every layer table. Independent entities (customers; suppliers then products; silver
+        orders) run as concurrent Spark jobs, as the entity loads run in parallel; the fact waits for
+        its dimensions."""
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            chains = [pool.submit(self.customers), pool.submit(lambda: (self.suppliers(), self.products())),
+                      pool.submit(self.silver_orders)]
+            for job in chains:
+                job.result()
+        self.fact()
+        return self
+
 
 def gold_customers(spark: SparkSession, sf_dir: str, upto: int = 2, second: str = "2") -> DataFrame:
     return Gold(spark, sf_dir).customers(upto, second)

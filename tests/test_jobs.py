@@ -108,3 +108,14 @@ def test_current_lookup_prunes_to_open_slice(spark):
     assert out.count() == fact.count() and out.filter(F.col("customer_id_sk").isNull()).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(_slice" in plan
+
+
+def test_concurrent_layer_build_equals_sequential(spark):
+    from lakestrata.plans.star import Gold
+
+    par = Gold(spark, SF_SMALL).build()
+    seq = Gold(spark, SF_SMALL)
+    for name in ("customers", "suppliers", "products", "fact"):
+        a, b = getattr(par, name)(), getattr(seq, name)()
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b.select(*a.columns)).count() == 0, name
