@@ -476,7 +476,7 @@ def q_fact_append(spark, d):
 
 # ====================================================================== gold views
 def _views_inputs(spark, d):
-    g = star.Gold.shared(spark, d)
+    g = star.Gold.shared(spark, d).build()  # stored once per application; later calls reuse the tables
     return g.fact(), g.customers(), g.products(), g.suppliers()
 
 
