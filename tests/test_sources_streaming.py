@@ -122,3 +122,18 @@ def test_deploy_views_collects_errors(spark, tmp_path):
     (tmp_path / "cx" / "w.sql").write_text("SELECT * FROM missing_table_xyz")
     with pytest.raises(RuntimeError):
         deploy_views(spark, str(tmp_path))
+
+
+def test_incremental_reads_reach_the_scan(spark):
+    from lakestrata.sources.tables import incremental_read, tag_range_read, write_table
+
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = incremental_read(orders, "o_orderdate", F.lit("1999-01-01 00:00:00").cast("timestamp_ntz")) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThan(o_orderdate," in plan
+    path = scratch_dir(spark, "t-tags") + "/t"
+    df = spark.range(6).withColumn("extract_timestamp", F.concat(F.lit("DH_T_2024010"), (F.col("id") % 3).cast("string")))
+    write_table(df, path, partition_by=["extract_timestamp"])
+    newer = tag_range_read(spark.read.parquet(path), "DH_T_20240101")
+    assert sorted(r.id for r in newer.collect()) == [2, 5]
+    assert "PartitionFilters: [isnotnull(extract_timestamp" in newer._jdf.queryExecution().executedPlan().toString()
