@@ -137,3 +137,15 @@ def test_incremental_reads_reach_the_scan(spark):
     newer = tag_range_read(spark.read.parquet(path), "DH_T_20240101")
     assert sorted(r.id for r in newer.collect()) == [2, 5]
     assert "PartitionFilters: [isnotnull(extract_timestamp" in newer._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bronze_stream_one_file_per_batch(spark):
+    root = scratch_dir(spark, "t-bronze-many")
+    land, target, ckpt = f"{root}/landing/t", f"{root}/bronze", f"{root}/_ckpt"
+    a = spark.createDataFrame([(str(i), f"v{i}") for i in range(12)], "id string, v string").repartition(4)
+    write_landing_csv(a, f"{land}/t_20240101_000000")  # several part files, each with its own header
+    run_bronze_ingest(spark, land, "t", target, ckpt, ingest_ts="2024-01-01 00:00:00", max_files=1)
+    run_bronze_ingest(spark, land, "t", target, ckpt, ingest_ts="2024-01-02 00:00:00", max_files=1)  # replay
+    out = read_bronze(spark, target)
+    assert out.select("batch_id").distinct().count() > 1  # one micro-batch per file
+    assert sorted((r.id, r.v) for r in out.collect()) == sorted((str(i), f"v{i}") for i in range(12))
