@@ -74,9 +74,10 @@ def scd1_first_load(batch: DataFrame, keys, sk: str, as_of) -> DataFrame:
             .withColumns({CREATE_DATE: d, UPDATE_DATE: d}))
 
 
-def scd1_prepare(target: DataFrame, batch: DataFrame, keys, sk: str, as_of) -> DataFrame:
+def scd1_prepare(target: DataFrame, batch: DataFrame, keys, sk: str, as_of, offset=None) -> DataFrame:
     """Batch rows ready to merge: known keys keep their surrogate key and create date (update date =
-    as_of); new keys get the next surrogate keys in key order (create = update = as_of)."""
+    as_of); new keys get the next surrogate keys in key order (create = update = as_of), after
+    ``offset`` (a one-row frame; default: the target's maximum key)."""
     keys = list(keys)
     d = _date(as_of)
     slim = target.select(*keys, F.col(sk).alias("_t_sk"), F.col(CREATE_DATE).alias("_t_create"))
@@ -85,7 +86,7 @@ def scd1_prepare(target: DataFrame, batch: DataFrame, keys, sk: str, as_of) -> D
            .withColumns({sk: F.col("_t_sk"), CREATE_DATE: F.col("_t_create"), UPDATE_DATE: d})
            .drop("_t_sk", "_t_create"))
     new = dense_keys(cls.filter(F.col("_t_sk").isNull()).drop("_t_sk", "_t_create"), keys, sk,
-                     offset=max_key(target, sk))
+                     offset=max_key(target, sk) if offset is None else offset)
     new = new.withColumns({CREATE_DATE: d, UPDATE_DATE: d})
     return _union(old, new)
 

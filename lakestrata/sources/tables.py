@@ -120,3 +120,44 @@ def publish_scd2(spark: SparkSession, closed: DataFrame | None, current: DataFra
     spark.sql(f"ALTER TABLE {name} PARTITION ({slice_col}='current') SET LOCATION '{cur_path}'")
     spark.sql(f"REFRESH TABLE {name}")
     return cur_path
+
+
+def key_bucket(keys, buckets: int):
+    """Stable bucket of a business key: pmod(xxhash64(keys), buckets)."""
+    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+
+
+def publish_scd1_buckets(spark: SparkSession, batch: DataFrame, name: str, root: str, keys, sk: str, as_of,
+                         buckets: int = 64) -> list[int]:
+    """SCD1 publish that rewrites only the key buckets the batch touches.
+
+    The table is partitioned by ``_bucket`` (a hash of the business key). A run computes the next state of
+    the touched buckets only (rows of other buckets stay where they are), writes them to a fresh folder,
+    and repoints those partitions. New keys get surrogate keys after the table-wide maximum. The list of
+    touched buckets (at most ``buckets`` integers) is the only thing collected. Returns that list.
+    """
+    from lakestrata.operators.keys import max_key
+    from lakestrata.operators.merge import scd1_merge, scd1_prepare, scd1_state
+
+    bcol = "_bucket"
+    keys = list(keys)
+    batch = batch.withColumn(bcol, key_bucket(keys, buckets))
+    if not spark.catalog.tableExists(name):
+        first = f"{root.rstrip('/')}/table"
+        scd1_state(None, batch, keys, sk, as_of).write.mode("overwrite").partitionBy(bcol).parquet(first)
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{first}'")
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+        return sorted(r[0] for r in spark.table(name).select(bcol).distinct().collect())
+    touched = sorted(r[0] for r in batch.select(bcol).distinct().collect())
+    table = spark.table(name)
+    part = table.filter(F.col(bcol).isin(touched))  # partition pruning to the touched buckets
+    prepared = scd1_prepare(part, batch, keys, sk, as_of, offset=max_key(table, sk))
+    state = scd1_merge(part, prepared, [sk])
+    out = f"{root.rstrip('/')}/buckets-{uuid.uuid4().hex[:8]}"
+    state.write.mode("overwrite").partitionBy(bcol).parquet(out)
+    existing = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    for b in touched:
+        verb = "PARTITION ({c}={b}) SET LOCATION" if b in existing else "ADD PARTITION ({c}={b}) LOCATION"
+        spark.sql(f"ALTER TABLE {name} {verb.format(c=bcol, b=b)} '{out}/{bcol}={b}'")
+    spark.sql(f"REFRESH TABLE {name}")
+    return touched
