@@ -2,16 +2,16 @@
 joins (no all-pairs work), and no Python evaluation nodes (everything stays in the JVM)."""
 import pytest
 
-import __spark_entry__ as E
+from lakestrata.plans.registry import QUERIES
 from conftest import SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_pairs_or_python(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     bad = [node for node in FORBIDDEN if node in plan]
     assert not bad, f"{name}: {bad}"
