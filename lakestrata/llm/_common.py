@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +17,25 @@ from lakestrata.session import scratch_dir
 ABSENT_ID = -(1 << 63)  # stands for a null id inside an operator, so that null ids still join
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package (once per application), so that queries run from any folder."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    import lakestrata
+
+    top = Path(lakestrata.__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="lakestrata-package-")) / "lakestrata_package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f"lakestrata/{f.relative_to(top)}")
+    spark.sparkContext.addPyFile(str(target))  # Spark's file server hands it to every executor
+    _shipped.add(app)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a fresh shared folder and read back: cuts the lineage, survives lost executors."""
     path = scratch_dir(df.sparkSession, name)
@@ -60,10 +81,6 @@ def by_bytes(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:
         yield begin, len(sizes)
 
 
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
-
-
 def table(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 

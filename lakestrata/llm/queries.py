@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakestrata.llm._common import ship
 from lakestrata.llm.secrets_scan import find_secrets
 from lakestrata.llm.simhash_dedup import near_duplicates
+from lakestrata.llm.substring_dedup import remove_repeated_windows
 from lakestrata.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,9 +23,16 @@ def query(f):
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_windows(read(spark, sf_dir, "documents"), size=35)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(read(spark, sf_dir, "documents"))
