@@ -21,6 +21,7 @@ from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -69,7 +70,7 @@ def super_kmers(parts: list[list[bytes]], size: int):
             grams = grams * np.uint64(0x2545F4914F6CDD1D) + one[j: len(one) - GRAM + 1 + j]
         grams = S.mix64(grams)
     valid = part[: len(part) - size + 1] == part[size - 1:]
-    first, n, minimiser = S.runs(grams, valid, size - GRAM + 1)
+    first, n, minimiser, _ = S.runs(grams, valid, size - GRAM + 1)
     strings = [text[b:e] for b, e in zip(starts[first].tolist(), ends[first + n + size - 2].tolist())]
     before = np.cumsum(counts) - counts
     return part[first], first - before[part[first]], n, minimiser, strings
@@ -80,7 +81,7 @@ def _partition(size: int, shards: int):
         for batch in batches:
             ids, hashes = batch.column("id").to_numpy(), batch.column("th").to_numpy()
             texts = batch.column("text")
-            lengths = pa.compute.binary_length(texts).to_pylist()
+            lengths = pc.binary_length(texts).to_pylist()
             for b, e in by_bytes(lengths, S.CHUNK_BYTES // 2):
                 owner, offset, parts = [], [], []
                 for i in range(b, e):
@@ -238,7 +239,7 @@ def _cut(size: int):
     def run(batches):
         for batch in batches:
             ids, texts, cuts = (batch.column(c) for c in ("id", "text", "cuts"))
-            lengths = pa.compute.binary_length(texts).to_pylist()
+            lengths = pc.binary_length(texts).to_pylist()
             for b, e in by_bytes(lengths, 8 * S.CHUNK_BYTES):
                 rows = []
                 for i in range(b, e):
