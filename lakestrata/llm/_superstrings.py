@@ -47,21 +47,23 @@ def sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - rest], x[rest:]) if rest else x
 
 
-def runs(grams: np.ndarray, valid: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and minimiser of each run of valid windows with one minimiser.
+def runs(grams: np.ndarray, valid: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """First window, number of windows, minimiser and its position, for each run of valid windows with one
+    minimiser.
 
     ``grams``: a hash for each position; ``valid``: which windows (of ``width`` gram positions) count."""
     shift = np.uint64(POSITION_BITS)
     low = sliding_minimum((grams >> shift << shift) | np.arange(len(grams), dtype=np.uint64), width)
     at = np.flatnonzero(valid[: len(low)])
     if not len(at):
-        return at, at, np.zeros(0, dtype=np.uint64)
+        return at, at, np.zeros(0, dtype=np.uint64), at
     m = low[at]
     new = np.empty(len(at), dtype=bool)
     new[0] = True
     new[1:] = (np.diff(at) != 1) | (m[1:] != m[:-1])
     first = np.flatnonzero(new)
-    return at[first], np.diff(np.append(first, len(at))), m[first] >> shift
+    place = (m[first] & ((np.uint64(1) << shift) - np.uint64(1))).astype(np.int64)
+    return at[first], np.diff(np.append(first, len(at))), m[first] >> shift, place
 
 
 def shard_of(minimiser: np.ndarray, shards: int) -> np.ndarray:

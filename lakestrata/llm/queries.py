@@ -11,6 +11,7 @@ from lakestrata.llm._common import ship
 from lakestrata.llm.secrets_scan import find_secrets
 from lakestrata.llm.simhash_dedup import near_duplicates
 from lakestrata.llm.substring_dedup import remove_repeated_windows
+from lakestrata.llm.suffix_dedup import remove_repeated_strings
 from lakestrata.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +34,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeated_strings(read(spark, sf_dir, "documents"), size=100)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op5_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(read(spark, sf_dir, "documents"))
