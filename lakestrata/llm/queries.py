@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm._common import ship
+from lakestrata.llm.metric_search import top_k
 from lakestrata.llm.secrets_scan import find_secrets
 from lakestrata.llm.simhash_dedup import near_duplicates
 from lakestrata.llm.substring_dedup import remove_repeated_windows
@@ -28,6 +29,12 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
+
+
 @query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_windows(read(spark, sf_dir, "documents"), size=35)
