@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm._common import ship
+from lakestrata.llm.language_id import document_languages, fit_text, page_languages
 from lakestrata.llm.metric_search import top_k
 from lakestrata.llm.secrets_scan import find_secrets
 from lakestrata.llm.simhash_dedup import near_duplicates
@@ -41,6 +42,17 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_languages(read(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same operator on web pages, where markup and addresses are at hand."""
+    return page_languages(read(spark, sf_dir, "pages"), fit_text(read(spark, sf_dir, "documents")))
+
+
 @query
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_strings(read(spark, sf_dir, "documents"), size=100)
