@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakestrata.llm._common import ship
 from lakestrata.llm.language_id import document_languages, fit_text, page_languages
 from lakestrata.llm.metric_search import top_k
+from lakestrata.llm.piece_dropout import encode
 from lakestrata.llm.secrets_scan import find_secrets
 from lakestrata.llm.simhash_dedup import near_duplicates
 from lakestrata.llm.substring_dedup import remove_repeated_windows
@@ -18,6 +19,7 @@ from lakestrata.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+DROPOUT_SEED = 20250607
 
 
 def query(f):
@@ -71,6 +73,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+@query
+def op7_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode(read(spark, sf_dir, "documents"), "piece_bpe_32k.model", seed=DROPOUT_SEED, dropout=0.1)
+    return out.select("doc_id", "tokens", F.size("tokens").cast("long").alias("n_tokens"), "lossless")
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = find_secrets(read(spark, sf_dir, "documents"))
