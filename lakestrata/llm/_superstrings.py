@@ -84,7 +84,7 @@ def pack(strings: list[bytes], *arrays: np.ndarray) -> bytes:
     import zstandard
 
     lengths = np.fromiter(map(len, strings), dtype=np.int64, count=len(strings))
-    columns = [lengths, *(np.asarray(a, dtype=np.int64) for a in arrays)]
+    columns = [lengths, *(np.ascontiguousarray(a, dtype=np.int64) for a in arrays)]
     head = np.array([len(columns), *map(len, columns)], dtype=np.int64).tobytes()
     # columns go byte plane by byte plane: the high bytes are nearly constant and compress away
     planes = [c.view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
