@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.llm._common import ship
+from lakestrata.llm.decontaminate import find_items
 from lakestrata.llm.language_id import document_languages, fit_text, page_languages
 from lakestrata.llm.metric_search import top_k
 from lakestrata.llm.piece_dropout import encode
@@ -79,6 +80,11 @@ def op7_piece_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "tokens", F.size("tokens").cast("long").alias("n_tokens"), "lossless")
 
 
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = find_secrets(read(spark, sf_dir, "documents"))
