@@ -16,11 +16,13 @@ from lakestrata.llm.secrets_scan import find_secrets
 from lakestrata.llm.simhash_dedup import near_duplicates
 from lakestrata.llm.substring_dedup import remove_repeated_windows
 from lakestrata.llm.suffix_dedup import remove_repeated_strings
+from lakestrata.llm.surrogates import replace_entities
 from lakestrata.llm.token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 DROPOUT_SEED = 20250607
+SURROGATE_KEY = "surrogates-1"  # a deployment passes its own secret key
 
 
 def query(f):
@@ -85,6 +87,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+@query
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs, key=SURROGATE_KEY)
+
+
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = find_secrets(read(spark, sf_dir, "documents"))
