@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 from lakestrata.llm._common import stored
 
 MAX_REGIONS = 512
-ROWS_EACH = 8192
-PAGE = 128
-FANOUT = 32
+ROWS_EACH = 16384
+PAGE = 1536
+FANOUT = 16
 QUERIES_EACH = 20_000
 EXACT_FLOAT = 2.0 ** 52
 
@@ -81,32 +81,31 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class Page:
-    """A node: entries' rows (routing: lifted pivots), distances to the parent's vector, radii, children."""
+    """A node. Its entries' vectors lie together, with their distances to the parent's vector; a routing page has
+    covering radii and child pages, a leaf has ids and integer components."""
 
-    __slots__ = ("rows", "to_parent", "radii", "children")
+    __slots__ = ("points", "to_parent", "radii", "children", "ids", "x")
 
-    def __init__(self, rows, to_parent, radii=None, children=None):
-        self.rows, self.to_parent, self.radii, self.children = rows, to_parent, radii, children
+    def __init__(self, points, to_parent, radii=None, children=None, ids=None, x=None):
+        self.points, self.to_parent, self.radii, self.children, self.ids, self.x = points, to_parent, radii, children, ids, x
 
 
-def build(points: np.ndarray, rows: np.ndarray, parent: np.ndarray) -> Page:
-    """The page tree over ``rows`` of ``points`` below a parent vector."""
-    to_parent = distances(points[rows], parent[None])[:, 0]
-    if len(rows) <= PAGE:
-        return Page(rows, to_parent)
-    chosen = rows[:: max(1, len(rows) // FANOUT)][:FANOUT]
-    d = distances(points[rows], points[chosen])
+def build(points: np.ndarray, x: np.ndarray, ids: np.ndarray, parent: np.ndarray) -> Page:
+    """The page tree over rows (lifted points, components, ids) below a parent vector."""
+    if len(ids) <= PAGE:
+        return Page(None, distances(points, parent[None])[:, 0], ids=ids, x=x)
+    chosen = points[:: max(1, len(ids) // FANOUT)][:FANOUT]
+    d = distances(points, chosen)
     near = d.argmin(axis=1)
     groups = [np.flatnonzero(near == g) for g in range(len(chosen))]
-    if max(map(len, groups)) == len(rows):  # all alike: pages of equal points, cut by number
-        groups = np.array_split(np.arange(len(rows)), -(-len(rows) // PAGE))
-        chosen = np.repeat(chosen[:1], len(groups))
+    if max(map(len, groups)) == len(ids):  # all alike: pages of equal points, cut by number
+        groups = np.array_split(np.arange(len(ids)), -(-len(ids) // PAGE))
+        chosen = np.repeat(chosen[:1], len(groups), axis=0)
         d = np.repeat(d[:, :1], len(groups), axis=1)
     full = [g for g in range(len(groups)) if len(groups[g])]
-    pivots = points[chosen[full]]
-    children = [build(points, rows[groups[g]], points[chosen[g]]) for g in full]
+    children = [build(points[groups[g]], x[groups[g]], ids[groups[g]], chosen[g]) for g in full]
     radii = np.array([d[groups[g], g].max() for g in full])
-    return Page(pivots, distances(pivots, parent[None])[:, 0], radii, children)
+    return Page(chosen[full], distances(chosen[full], parent[None])[:, 0], radii, children)
 
 
 class Tree:
@@ -114,17 +113,16 @@ class Tree:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray, top: float):
         order = np.argsort(ids, kind="stable")
-        self.ids, x = ids[order], x[order]
-        self.points = lifted(x, top)
-        self.x = x.astype(np.float64) if top < EXACT_FLOAT else x
-        self.top, self.origin = top, self.points.mean(axis=0)
-        self.root = build(self.points, np.arange(len(self.ids)), self.origin)
+        ids, x = ids[order], x[order]
+        points = lifted(x, top)
+        self.top, self.origin = top, points.mean(axis=0)
+        self.root = build(points, x.astype(np.float64) if top < EXACT_FLOAT else x, ids, self.origin)
 
     def search(self, query_id: int, q: np.ndarray, k: int, limit: float) -> list[tuple[int, int]]:
         """The k best (score, id) among rows within distance ``limit`` whose id differs from the query's."""
-        norm = float(q.astype(np.float64) @ q.astype(np.float64))
         point = np.append(q.astype(np.float64), 0.0)
-        exact = q.astype(self.x.dtype)
+        norm = float(point @ point)
+        exact = q.astype(np.float64) if self.top < EXACT_FLOAT else q
         margin = 1e-7 * (norm + self.top) ** 0.5 + 1e-6
         best: list[tuple[int, int]] = []  # heap of (score, -id): the worst first
         bound, count = limit + margin, 0
@@ -134,28 +132,38 @@ class Tree:
             if least > bound:
                 break
             gap = np.abs(to_node - page.to_parent)  # a lower bound of the distances, from stored distances alone
-            if page.children is None:
-                rows = page.rows[gap <= bound]
-                scores = self.x[rows] @ exact
-                for at in np.argsort(-scores, kind="stable").tolist():
-                    entry = (int(scores[at]), -int(self.ids[rows[at]]))
-                    if -entry[1] == query_id:
-                        continue
-                    if len(best) < k:
-                        heapq.heappush(best, entry)
-                    elif entry > best[0]:
-                        heapq.heapreplace(best, entry)
-                    elif entry[0] < best[0][0]:
-                        break
-                if len(best) == k:
-                    bound = min(bound, max(0.0, norm + self.top - 2.0 * best[0][0]) ** 0.5 + margin)
-                continue
-            for at in np.flatnonzero(gap - page.radii <= bound).tolist():
-                d = float(np.linalg.norm(point - page.rows[at]))
-                low = max(0.0, d - page.radii[at])
-                if low <= bound:
+            if page.children is not None:
+                rows = np.flatnonzero(gap - page.radii <= bound)
+                away = page.points[rows] - point
+                d = np.sqrt(np.einsum("ij,ij->i", away, away))
+                low = np.maximum(0.0, d - page.radii[rows])
+                for at in np.flatnonzero(low <= bound).tolist():
                     count += 1
-                    heapq.heappush(queue, (low, count, d, page.children[at]))
+                    heapq.heappush(queue, (float(low[at]), count, float(d[at]), page.children[rows[at]]))
+                continue
+            near = gap <= bound
+            few = 2 * int(near.sum()) < len(near)
+            scores = page.x[near] @ exact if few else page.x @ exact
+            ids = page.ids[near] if few else page.ids
+            if len(best) == k:
+                better = np.flatnonzero(scores >= best[0][0])
+                scores, ids = scores[better], ids[better]
+            elif len(scores) > 4 * (k + 1):  # the page's own k + 1 best, ties included
+                worst = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
+                better = np.flatnonzero(scores >= worst)
+                scores, ids = scores[better], ids[better]
+            for at in np.lexsort((ids, -scores)).tolist():
+                entry = (int(scores[at]), -int(ids[at]))
+                if -entry[1] == query_id:
+                    continue
+                if len(best) < k:
+                    heapq.heappush(best, entry)
+                elif entry > best[0]:
+                    heapq.heapreplace(best, entry)
+                else:
+                    break
+            if len(best) == k:
+                bound = min(bound, max(0.0, norm + self.top - 2.0 * best[0][0]) ** 0.5 + margin)
         return [(s, -i) for s, i in best]
 
 
