@@ -92,3 +92,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(29))
     x = x * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+def told_apart(base: DataFrame) -> DataFrame:
+    """``base`` (id, text) with ``th``, which tells rows with the same id apart: a hash of the text where an id
+    occurs more than once, else 0 (so it costs nothing to carry). The repeated ids are normally few or none, and
+    Spark broadcasts their stored table only where it is small."""
+    repeated = stored(base.groupBy("id").count().where("count > 1").select("id", F.lit(True).alias("again")), "repeated-ids")
+    return base.join(repeated, "id", "left").select(
+        "id", "text", F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0)).cast("long").alias("th"))

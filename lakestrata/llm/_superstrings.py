@@ -15,7 +15,8 @@ import numpy as np
 from lakestrata.llm._common import mix64
 
 POSITION_BITS = 24
-CHUNK_BYTES = 1 << 20  # units handled together; positions in a chunk must fit POSITION_BITS
+CHUNK_BYTES = 1 << 18  # bytes hashed together (their arrays fit the cache); positions must fit POSITION_BITS
+PACK_BYTES = 1 << 22  # bytes of text whose strings are collapsed and packed together
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
@@ -31,7 +32,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def run_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte runs [begin, end) of one chunk."""
-    up, down = _powers(1 << max(2 * CHUNK_BYTES, len(data) + 1).bit_length())
+    size = 2 * CHUNK_BYTES + 2
+    up, down = _powers(size if len(data) < size else 1 << len(data).bit_length())
     total = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
     return mix64((total[end] - total[begin]) * down[begin])
@@ -88,7 +90,7 @@ def pack(strings: list[bytes], *arrays: np.ndarray) -> bytes:
     head = np.array([len(columns), *map(len, columns)], dtype=np.int64).tobytes()
     # columns go byte plane by byte plane: the high bytes are nearly constant and compress away
     planes = [c.view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns]
-    return zstandard.ZstdCompressor(level=1).compress(b"".join([head, *planes, *strings]))
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([head, *planes, *strings]))
 
 
 def unpack(data: bytes) -> tuple[list[bytes], list[np.ndarray]]:

@@ -28,10 +28,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm import _superstrings as S
-from lakestrata.llm._common import by_bytes, id_and_text, partitions_for, public_id, stored
+from lakestrata.llm._common import by_bytes, id_and_text, partitions_for, public_id, stored, told_apart
 
 GRAM = 20
-BATCH_BYTES = 1 << 24
+BATCH_BYTES = 1 << 23
 HOT = 20_000
 PAIRWISE = 64  # up to so many strings, pairs are compared; beyond, their windows are sorted
 
@@ -80,8 +80,8 @@ def _partition(size: int, shards: int):
             ids, hashes = batch.column("id").to_numpy(), batch.column("th").to_numpy()
             texts = batch.column("text")
             lengths = pc.binary_length(texts).to_pylist()
-            limit = S.CHUNK_BYTES // 2
-            for b, e in by_bytes(lengths, S.CHUNK_BYTES):
+            limit = S.CHUNK_BYTES
+            for b, e in by_bytes(lengths, S.PACK_BYTES):
                 owner, offset, parts = [], [], []
                 for i in range(b, e):
                     if lengths[i] >= size:
@@ -90,22 +90,25 @@ def _partition(size: int, shards: int):
                             owner.append(i)
                             offset.append(at)
                             parts.append(data[at: at + limit + size - 1] if len(data) > 2 * limit else data)
-                for lo, hi in by_bytes([len(p) for p in parts], 2 * S.CHUNK_BYTES):
-                    part, first, minimiser, anchor, strings = super_strings(parts[lo:hi], size)
-                    if not strings:
-                        continue
-                    row = np.array(owner[lo:hi])[part]
-                    first = first + np.array(offset[lo:hi])[part]
-                    i, h = ids[row], hashes[row]
-                    heads, later = first_places(strings, i, first, h)
-                    shard = S.shard_of(minimiser, shards)
-                    out = []
-                    for s, rows in S.grouped(shard[heads]):
-                        r = heads[rows]
-                        out.append((s, S.pack([strings[x] for x in r.tolist()], minimiser[r].astype(np.int64),
-                                              anchor[r], i[r], first[r], h[r])))
-                    n = np.fromiter((len(strings[x]) - size + 1 for x in later.tolist()), np.int64, len(later))
-                    yield _found([i[later], h[later], first[later], n], [s for s, _ in out], [p for _, p in out])
+                found = []
+                for lo, hi in by_bytes([len(p) for p in parts], limit):
+                    part, first, minimiser, anchor, text = super_strings(parts[lo:hi], size)
+                    if text:
+                        row = np.array(owner[lo:hi])[part]
+                        found.append((text, ids[row], hashes[row], first + np.array(offset[lo:hi])[part], minimiser, anchor))
+                if not found:
+                    continue
+                strings = [x for f in found for x in f[0]]
+                i, h, first, minimiser, anchor = (np.concatenate(c) for c in list(zip(*found))[1:])
+                heads, later = first_places(strings, i, first, h)
+                shard = S.shard_of(minimiser, shards)
+                out = []
+                for s, rows in S.grouped(shard[heads]):
+                    r = heads[rows]
+                    out.append((s, S.pack([strings[x] for x in r.tolist()], minimiser[r].astype(np.int64), anchor[r],
+                                          i[r], first[r], h[r])))
+                n = np.fromiter((len(strings[x]) - size + 1 for x in later.tolist()), np.int64, len(later))
+                yield _found([i[later], h[later], first[later], n], [s for s, _ in out], [p for _, p in out])
 
     return run
 
@@ -301,10 +304,10 @@ def _first_windows(batches):
 
 def repeated_strings(docs: DataFrame, size: int = 100, hot: int = HOT) -> DataFrame:
     """``docs`` (id, text, th): runs (id, th, start, n) of windows that also start at an earlier place."""
-    n = partitions_for(docs, 1 << 24)
-    dealt = docs.mapInArrow(_partition(size, 4 * n), _FOUND).repartition(n, F.coalesce("shard", F.xxhash64("id", "start")))
-    found = stored(dealt.mapInArrow(_pass_on(_scan(size, 4 * n, hot)), _FOUND), "suffix-matches")
-    second = found.where("shard is not null").repartition(n, "shard").mapInArrow(_first_windows, _FOUND)
+    n = partitions_for(docs, 6 << 20)
+    dealt = docs.mapInArrow(_partition(size, n), _FOUND).repartitionById(n, F.coalesce("shard", F.pmod(F.xxhash64("id", "start"), F.lit(n)).cast("int")))
+    found = stored(dealt.mapInArrow(_pass_on(_scan(size, n, hot)), _FOUND), "suffix-matches")
+    second = found.where("shard is not null").repartitionById(n, F.col("shard")).mapInArrow(_first_windows, _FOUND)
     return found.where("shard is null").union(second).select("id", "th", "start", "n")
 
 
@@ -337,7 +340,7 @@ def _cut(size: int):
         for batch in batches:
             ids, texts, cuts = (batch.column(c) for c in ("id", "text", "cuts"))
             lengths = pc.binary_length(texts).to_pylist()
-            for b, e in by_bytes(lengths, 8 * S.CHUNK_BYTES):
+            for b, e in by_bytes(lengths, S.PACK_BYTES):
                 rows = []
                 for i in range(b, e):
                     data = texts[i].as_py().encode()
@@ -364,7 +367,7 @@ def _cut(size: int):
 def remove_repeated_strings(docs: DataFrame, size: int = 100, hot: int = HOT, id_col: str = "doc_id",
                             text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes left) of every row."""
-    base = id_and_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
+    base = told_apart(id_and_text(docs, id_col, text_col))
     runs = (repeated_strings(base, size, hot).groupBy("id", "th")
             .agg(F.collect_list(F.struct("start", "n")).alias("cuts")))
     out = base.join(runs, ["id", "th"], "left").select("id", "text", "cuts").mapInArrow(
