@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.llm import _superstrings as S
-from lakestrata.llm._common import by_bytes, id_and_text, partitions_for, public_id, stored
+from lakestrata.llm._common import by_bytes, id_and_text, partitions_for, public_id, stored, told_apart
 
 GRAM = 5
 HOT = 20_000
@@ -82,29 +82,33 @@ def _partition(size: int, shards: int):
             ids, hashes = batch.column("id").to_numpy(), batch.column("th").to_numpy()
             texts = batch.column("text")
             lengths = pc.binary_length(texts).to_pylist()
-            for b, e in by_bytes(lengths, S.CHUNK_BYTES // 2):
+            for b, e in by_bytes(lengths, S.PACK_BYTES):
                 owner, offset, parts = [], [], []
                 for i in range(b, e):
                     words = texts[i].as_py().encode().split()
                     if len(words) >= size:
-                        for at, part in pieces(words, size, S.CHUNK_BYTES // 2):
+                        for at, part in pieces(words, size, S.CHUNK_BYTES):
                             owner.append(i)
                             offset.append(at)
                             parts.append(part)
+                found = []
                 for lo, hi in by_bytes([sum(map(len, p)) + len(p) for p in parts], S.CHUNK_BYTES):
-                    part, first, _, minimiser, strings = super_kmers(parts[lo:hi], size)
-                    if not len(strings):
-                        continue
-                    row = np.array(owner[lo:hi])[part]
-                    first = first + np.array(offset[lo:hi])[part]
-                    out = []
-                    for shard, rows in S.grouped(S.shard_of(minimiser, shards)):
-                        different, which = S.distinct([strings[r] for r in rows.tolist()])
-                        lead = np.zeros(len(different), dtype=np.int64)
-                        lead[which] = minimiser[rows].astype(np.int64)
-                        out.append((shard, S.pack(different, lead, which, ids[row[rows]], hashes[row[rows]], first[rows])))
-                    yield pa.record_batch([pa.array([s for s, _ in out], pa.int32()),
-                                           pa.array([p for _, p in out], pa.binary())], names=["shard", "packed"])
+                    part, first, _, minimiser, text = super_kmers(parts[lo:hi], size)
+                    if len(text):
+                        row = np.array(owner[lo:hi])[part]
+                        found.append((text, ids[row], hashes[row], first + np.array(offset[lo:hi])[part], minimiser))
+                if not found:
+                    continue
+                strings = [x for f in found for x in f[0]]
+                i, h, first, minimiser = (np.concatenate(c) for c in list(zip(*found))[1:])
+                out = []
+                for shard, rows in S.grouped(S.shard_of(minimiser, shards)):
+                    different, which = S.distinct([strings[r] for r in rows.tolist()])
+                    lead = np.zeros(len(different), dtype=np.int64)
+                    lead[which] = minimiser[rows].astype(np.int64)
+                    out.append((shard, S.pack(different, lead, which, i[rows], h[rows], first[rows])))
+                yield pa.record_batch([pa.array([s for s, _ in out], pa.int32()),
+                                       pa.array([p for _, p in out], pa.binary())], names=["shard", "packed"])
 
     return run
 
@@ -226,10 +230,10 @@ def _count_windows(batches):
 
 def repeated_runs(docs: DataFrame, size: int = 35, hot: int = HOT) -> DataFrame:
     """``docs`` (id, text, th): runs (id, th, start, n) of windows that start in at least two places."""
-    n = partitions_for(docs, 1 << 24)
-    packed = docs.mapInArrow(_partition(size, 4 * n), "shard int, packed binary").repartition(n, "shard")
-    found = stored(packed.mapInArrow(_count(size, 4 * n, hot), _FOUND), "super-kmers")
-    second = found.where("shard is not null").repartition(n, "shard").mapInArrow(_count_windows, _FOUND)
+    n = partitions_for(docs, 8 << 20)
+    packed = docs.mapInArrow(_partition(size, n), "shard int, packed binary").repartitionById(n, F.col("shard"))
+    found = stored(packed.mapInArrow(_count(size, n, hot), _FOUND), "super-kmers")
+    second = found.where("shard is not null").repartitionById(n, F.col("shard")).mapInArrow(_count_windows, _FOUND)
     return found.where("shard is null").union(second).select("id", "th", "start", "n")
 
 
@@ -240,7 +244,7 @@ def _cut(size: int):
         for batch in batches:
             ids, texts, cuts = (batch.column(c) for c in ("id", "text", "cuts"))
             lengths = pc.binary_length(texts).to_pylist()
-            for b, e in by_bytes(lengths, 8 * S.CHUNK_BYTES):
+            for b, e in by_bytes(lengths, S.PACK_BYTES):
                 rows = []
                 for i in range(b, e):
                     words = texts[i].as_py().encode().split()
@@ -262,7 +266,7 @@ def _cut(size: int):
 def remove_repeated_windows(docs: DataFrame, size: int = 35, hot: int = HOT, id_col: str = "doc_id",
                             text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_words``, ``n_removed`` and ``kept`` (the words left, joined by one space) of every row."""
-    base = id_and_text(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
+    base = told_apart(id_and_text(docs, id_col, text_col))
     runs = (repeated_runs(base, size, hot).groupBy("id", "th")
             .agg(F.collect_list(F.struct("start", "n")).alias("cuts")))
     out = base.join(runs, ["id", "th"], "left").select("id", "text", "cuts").mapInArrow(
