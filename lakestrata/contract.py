@@ -34,6 +34,7 @@ class Field:
     enum: tuple[str, ...] | None = None
     precision: int | None = None
     scale: int | None = None
+    surrogate_key: bool = False
 
     def spark_type(self) -> T.DataType:
         return spark_type_of(self.type, self.precision, self.scale)
@@ -73,8 +74,9 @@ class Contract:
         raise KeyError(name)
 
     def surrogate_keys(self) -> list[str]:
-        """All surrogate-key columns, in contract order (suffix ``_sk``)."""
-        return [c for c in self.columns if c.lower().endswith("_sk")]
+        """All surrogate-key columns, in contract order: fields flagged as such (older contracts), and names
+        that end in ``_sk``."""
+        return [f.name for f in self.fields if f.surrogate_key or f.name.lower().endswith("_sk")]
 
     def own_surrogate_keys(self) -> list[str]:
         """Surrogate keys this table mints itself (dependency keys removed)."""
@@ -145,6 +147,7 @@ def contract_from_dict(doc: dict, model: str | None = None) -> Contract:
             name=fname, type=str(meta.get("type", "string")), required=bool(meta.get("required", False)),
             unique=bool(meta.get("unique", False)), pattern=meta.get("pattern"),
             enum=tuple(enum) if enum else None, precision=meta.get("precision"), scale=meta.get("scale"),
+            surrogate_key=bool(meta.get("surrogateKey", False)),
         ))
     deps = tuple(
         Dependency(d["table"], d["surrogateKey"], tuple(d.get("naturalKeys") or ()))
@@ -174,14 +177,15 @@ def evolution_allowed(source_columns, target_columns, contract_columns) -> bool:
 
 
 # ---------------------------------------------------------------------------------------------------
-# The consumer star schema. Validation patterns and the product category enum.
+# The consumer star schema. Field names and order, validation patterns, the product category enum.
+# All business keys are long: they pass 2**31 at large scale and a cast must not drop them.
 EMAIL_PATTERN = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 PHONE_PATTERN = r"^[0-9+\- ]{7,15}$"
 _SYS = (Field(EXTRACT_TAG, "string", required=True), Field(INGEST_TS, "timestamp", required=True))
 
 SILVER_CUSTOMERS = Contract(
     "silver.consumer.dim_customers",
-    (Field("customer_id", "int", required=True, unique=True), Field("name", "string", required=True),
+    (Field("customer_id", "long", required=True, unique=True), Field("name", "string", required=True),
      Field("email", "string", required=True, pattern=EMAIL_PATTERN),
      Field("phone", "string", pattern=PHONE_PATTERN), Field("address", "string"),
      Field("loyalty_points", "integer")) + _SYS,
@@ -189,7 +193,7 @@ SILVER_CUSTOMERS = Contract(
 
 SILVER_SUPPLIERS = Contract(
     "silver.consumer.dim_suppliers",
-    (Field("supplier_id", "int", required=True, unique=True), Field("name", "string", required=True),
+    (Field("supplier_id", "long", required=True, unique=True), Field("name", "string", required=True),
      Field("phone", "string", pattern=PHONE_PATTERN), Field("address", "string")) + _SYS,
     primary_key=("supplier_id",))
 
@@ -197,7 +201,7 @@ SILVER_SUPPLIERS = Contract(
 def silver_products(categories: tuple[str, ...]) -> Contract:
     return Contract(
         "silver.consumer.dim_products",
-        (Field("product_id", "int", required=True, unique=True), Field("product_name", "string", required=True),
+        (Field("product_id", "long", required=True, unique=True), Field("product_name", "string", required=True),
          Field("category", "string", required=True, enum=categories), Field("price", "decimal", required=True),
          Field("supplier_id", "string", required=True)) + _SYS,
         primary_key=("product_id",))
@@ -205,9 +209,8 @@ def silver_products(categories: tuple[str, ...]) -> Contract:
 
 SILVER_ORDERS = Contract(
     "silver.consumer.fact_orders",
-    # order_id is long, not int: order keys pass 2**31 at large scale and a cast must not drop them.
-    (Field("order_id", "long", required=True), Field("customer_id", "int", required=True),
-     Field("product_id", "int", required=True), Field("quantity", "integer", required=True),
+    (Field("order_id", "long", required=True), Field("customer_id", "long", required=True),
+     Field("product_id", "long", required=True), Field("quantity", "integer", required=True),
      Field("total_price", "decimal", required=True, precision=12, scale=2),
      Field("order_date", "date", required=True)) + _SYS,
     primary_key=("order_id",))

@@ -8,35 +8,24 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakestrata.contract import Contract, spark_type_of
 
-# Replacement literals for values that fail a contract pattern.
-DEFAULT_EMAIL = "unknown@example.com"
-DEFAULT_PHONE = "0000000000"
-DEFAULT_DATE = "1800-01-01"
-DEFAULT_TIMESTAMP = "1800-01-01 00:00:00"
-_NUMERIC = ("int", "integer", "long", "bigint", "decimal", "float", "double", "short", "byte")
+# Replacements for values that fail a contract pattern, by word in the column name, and by type.
+NAME_DEFAULTS = {"email": "unknown@example.com", "phone": "0000000000"}
+TYPE_DEFAULTS = {T.DateType(): "1800-01-01", T.TimestampType(): "1800-01-01 00:00:00", T.StringType(): ""}
+DEFAULT_TIMESTAMP = TYPE_DEFAULTS[T.TimestampType()]
 
 
 def default_value(column_name: str, type_name: str):
-    """Replacement for a value failing its pattern: the column name rule beats the type rule."""
-    lname = column_name.lower()
-    if "email" in lname:
-        return DEFAULT_EMAIL
-    if "phone" in lname:
-        return DEFAULT_PHONE
-    t = (type_name or "string").lower()
-    if t in _NUMERIC:
-        return 0
-    if t == "date":
-        return DEFAULT_DATE
-    if t == "timestamp":
-        return DEFAULT_TIMESTAMP
-    return ""
+    """Replacement for a value failing its pattern: a rule for a word of the column's name, else one for its type
+    (numbers become 0, types without a rule the empty text)."""
+    named = [value for word, value in NAME_DEFAULTS.items() if word in column_name.lower()]
+    dtype = spark_type_of(type_name)
+    return named[0] if named else 0 if isinstance(dtype, T.NumericType) else TYPE_DEFAULTS.get(dtype, "")
 
 
 def pattern_clean(df: DataFrame, contract: Contract) -> DataFrame:
@@ -101,19 +90,19 @@ def fill_null_keys(df: DataFrame, keys) -> DataFrame:
     return df.select(*exprs)
 
 
+# Storage type of each contract type in the coarse projection; other types are kept as they are.
+COARSE_TYPES = ((T.StringType, "string"), (T.IntegralType, "long"), (T.FractionalType, "double"), (T.BooleanType, "boolean"),
+                (T.DatetimeType, "timestamp"))
+COARSE_KEPT = ("short", "byte")
+TEXT_NAMES = ("string", "varchar", "char", "text")
+
+
 def _coarse_type(type_name: str):
-    t = (type_name or "string").lower()
-    if t in ("string", "varchar", "char", "text"):
-        return "string"
-    if t in ("long", "int", "bigint"):
-        return "long"
-    if t in ("double", "float", "decimal"):
-        return "double"
-    if t in ("boolean", "bool"):
-        return "boolean"
-    if t in ("date", "timestamp"):
-        return "timestamp"
-    return None
+    dtype = spark_type_of(type_name)
+    name = (type_name or "string").lower()
+    if name in COARSE_KEPT or isinstance(dtype, T.StringType) and name not in TEXT_NAMES:
+        return None
+    return next((coarse for kind, coarse in COARSE_TYPES if isinstance(dtype, kind)), None)
 
 
 def project_to_contract(df: DataFrame, contract: Contract, coarse: bool = False) -> DataFrame:
@@ -141,7 +130,3 @@ def project_to_contract(df: DataFrame, contract: Contract, coarse: bool = False)
 def reorder_sk_last(df: DataFrame, sk_cols) -> DataFrame:
     sk_cols = [c for c in sk_cols if c in df.columns]
     return df.select(*[c for c in df.columns if c not in sk_cols], *sk_cols)
-
-
-def typed_null(dtype) -> Column:
-    return F.lit(None).cast(dtype)

@@ -15,10 +15,6 @@ def target_columns(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("mergeSchema", "true").parquet(path).columns
 
 
-def new_columns(source: DataFrame, target_cols) -> list[str]:
-    return [c for c in source.columns if c not in set(target_cols)]
-
-
 def gated_append(spark: SparkSession, df: DataFrame, path: str, contract_columns, mode: str = "append",
                  partition_by=(EXTRACT_TAG,)) -> bool:
     """Append ``df`` when every column new to the target is declared by the contract; returns whether

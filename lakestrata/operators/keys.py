@@ -34,11 +34,9 @@ def dense_keys(df: DataFrame, order_cols, key_col: str, offset=0, num_ranges: in
     (ties are numbered in an arbitrary but retry-stable order within one range).
     """
     spark = df.sparkSession
-    # One task per range: by default as many ranges as the cluster runs tasks at once (never more than
-    # the shuffle partition setting). The count is explicit, so AQE leaves this exchange as planned and
-    # both branches below see the same ranges.
-    n = int(num_ranges or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              spark.sparkContext.defaultParallelism))
+    # One task per range: by default as many ranges as a shuffle has partitions. The count is explicit, so AQE leaves
+    # this exchange as planned and both branches below see the same ranges.
+    n = int(num_ranges or spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
     ordered = [c.asc_nulls_first() for c in order_cols]
     pid = F.spark_partition_id()

@@ -262,12 +262,12 @@ def scd2_hash_state(target: DataFrame | None, batch: DataFrame, keys, attrs, sk:
     cls = src.join(active, keys, "left")
     changed = cls.filter(F.col("_tgt_hash").isNotNull() & (F.col("_tgt_hash") != F.col(ROW_HASH)))
     close = changed.select(*keys, F.date_sub(F.col(START_DATE), 1).alias("_new_end"))
-    hit = F.col("_new_end").isNotNull() & (F.col(IS_ACTIVE) == F.lit(True))
-    tgt_out = (target.join(close, keys, "left")
-               .withColumns({END_DATE: F.when(hit, F.col("_new_end")).otherwise(F.col(END_DATE)),
-                             IS_ACTIVE: F.when(hit, F.lit(False)).otherwise(F.col(IS_ACTIVE))})
-               .drop("_new_end"))
+    hit = F.col("_new_end").isNotNull()
+    still = target.filter(F.col(IS_ACTIVE) == F.lit(True)).join(close, keys, "left")
+    tgt_out = still.withColumns({END_DATE: F.when(hit, F.col("_new_end")).otherwise(F.col(END_DATE)),
+                                 IS_ACTIVE: ~hit}).drop("_new_end")
+    past = target.filter(~F.col(IS_ACTIVE).eqNullSafe(F.lit(True)))  # history passes by the joins
     ins = cls.filter(F.col("_tgt_hash").isNull() | (F.col("_tgt_hash") != F.col(ROW_HASH))).drop("_tgt_hash")
     ins = (dense_keys(ins, keys, sk, offset=max_key(target, sk))
            .withColumns({END_DATE: F.lit(OPEN_END), IS_ACTIVE: F.lit(True)}))
-    return _union(tgt_out, ins)
+    return _union(past, tgt_out, ins)

@@ -109,14 +109,18 @@ def lineage_edges(df: DataFrame, refs_col: str, id_cols) -> DataFrame:
                     F.element_at(F.col("_p"), -1).alias("field")))
 
 
-def schema_profile(df: DataFrame, mode: str = "attributes_only"):
-    """Column names (``attributes_only``) or ``(name, type)`` pairs (``full``) of a frame; driver-side
-    metadata, the size of the schema, not of the data."""
-    if mode == "attributes_only":
-        return [f.name for f in df.schema.fields]
-    if mode == "full":
-        return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]
-    raise ValueError(f"mode must be attributes_only or full, got {mode!r}")
+def column_table(df: DataFrame) -> DataFrame:
+    """The columns of a frame as rows (position, column_name, data_type, nullable): schema metadata to store or compare
+    with a contract."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields, 1)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
+
+
+def unreadable_keys(raw: DataFrame, contract: Contract) -> Column:
+    """Rows that hold a key value which the contract's type cannot read (a missing key is no such row)."""
+    bad = [F.col(k).isNotNull() & F.col(k).try_cast(contract.field(k).spark_type()).isNull()
+           for k in contract.keys if k in raw.columns]
+    return reduce(lambda a, b: a | b, bad, F.lit(False))
 
 
 def quarantine_split(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:

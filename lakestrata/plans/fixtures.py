@@ -45,18 +45,18 @@ def _phone_sql(k: str) -> str:
 
 def raw_customers(spark: SparkSession, sf_dir: str, batch: str = "1") -> DataFrame:
     """Landing customers (all strings). Batch '1': keys %10<>9; '2': keys %3=0 or %10=9 with changes;
-    '2b': batch 2 without its new keys."""
+    '2b': batch 2 without its new keys; 'all': every customer with batch 1 values."""
     k = F.col("c_custkey")
     cust = table(spark, sf_dir, "customer")
-    if batch == "1":
-        cust = cust.filter(k % 10 != 9)
+    if batch in ("1", "all"):
+        cust = cust.filter(k % 10 != 9) if batch == "1" else cust
         null_points = (k % 17 == 0) | (k % 21 == 0)
         address = F.col("c_mktsegment")
     else:
         cust = cust.filter((k % 3 == 0) | (k % 10 == 9)) if batch == "2" else cust.filter(k % 3 == 0)
         null_points = (k % 17 == 0) | (k % 15 == 0)
         address = F.when(k % 9 == 0, F.lit("CHANGED")).otherwise(F.col("c_mktsegment"))
-    n = 1 if batch == "1" else 2
+    n = 1 if batch in ("1", "all") else 2
     return cust.select(
         _s(k).alias("customer_id"),
         F.col("c_name").alias("name"),
@@ -73,13 +73,14 @@ def raw_customers(spark: SparkSession, sf_dir: str, batch: str = "1") -> DataFra
 
 def raw_customers_sql(batch: str = "1") -> str:
     k = "c_custkey"
-    if batch == "1":
-        where, nulls, address = f"{k} % 10 <> 9", f"{k} % 17 = 0 OR {k} % 21 = 0", "c_mktsegment"
+    if batch in ("1", "all"):
+        where = f"{k} % 10 <> 9" if batch == "1" else "TRUE"
+        nulls, address = f"{k} % 17 = 0 OR {k} % 21 = 0", "c_mktsegment"
     else:
         where = f"{k} % 3 = 0 OR {k} % 10 = 9" if batch == "2" else f"{k} % 3 = 0"
         nulls = f"{k} % 17 = 0 OR {k} % 15 = 0"
         address = f"CASE WHEN {k} % 9 = 0 THEN 'CHANGED' ELSE c_mktsegment END"
-    n = 1 if batch == "1" else 2
+    n = 1 if batch in ("1", "all") else 2
     return f"""SELECT CAST({k} AS VARCHAR) AS customer_id, c_name AS name,
       CASE {k} % 5 WHEN 0 THEN NULL WHEN 1 THEN 'not-an-email'
            ELSE 'c' || CAST({k} AS VARCHAR) || '@mail.example.com' END AS email,
@@ -102,7 +103,7 @@ def silver_customers(spark, sf_dir, batch="1") -> DataFrame:
 def silver_customers_sql(raw: str) -> str:
     """SQL twin of ``silver`` for the customer contract; ``raw`` is a CTE name. The ingest timestamp
     stays text in the oracle (Spark outputs render it the same way)."""
-    return f"""SELECT COALESCE(TRY_CAST(customer_id AS INTEGER), 0) AS customer_id, name,
+    return f"""SELECT COALESCE(TRY_CAST(customer_id AS BIGINT), 0) AS customer_id, name,
       CASE WHEN regexp_matches(email, '{C.EMAIL_PATTERN}') THEN email ELSE 'unknown@example.com' END AS email,
       CASE WHEN regexp_matches(phone, '{C.PHONE_PATTERN}') THEN phone ELSE '0000000000' END AS phone,
       address, TRY_CAST(loyalty_points AS INTEGER) AS loyalty_points, extract_timestamp, dbx_extract_timestamp
@@ -153,7 +154,7 @@ def silver_suppliers(spark, sf_dir, batch="1") -> DataFrame:
 
 
 def silver_suppliers_sql(raw: str) -> str:
-    return f"""SELECT COALESCE(TRY_CAST(supplier_id AS INTEGER), 0) AS supplier_id, name,
+    return f"""SELECT COALESCE(TRY_CAST(supplier_id AS BIGINT), 0) AS supplier_id, name,
       CASE WHEN regexp_matches(phone, '{C.PHONE_PATTERN}') THEN phone ELSE '0000000000' END AS phone,
       address, extract_timestamp, dbx_extract_timestamp
     FROM {raw}"""
@@ -188,7 +189,7 @@ def silver_products(spark, sf_dir) -> DataFrame:
 
 
 def silver_products_sql(raw: str) -> str:
-    return f"""SELECT COALESCE(TRY_CAST(product_id AS INTEGER), 0) AS product_id, product_name, category,
+    return f"""SELECT COALESCE(TRY_CAST(product_id AS BIGINT), 0) AS product_id, product_name, category,
       TRY_CAST(price AS DECIMAL(30,10)) AS price, supplier_id, extract_timestamp, dbx_extract_timestamp
     FROM {raw}"""
 
@@ -216,7 +217,7 @@ RAW_ORDERS_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(o_custk
       'DH_ORDERS_20010901_000000' AS extract_timestamp, '2001-09-01 06:00:00' AS dbx_extract_timestamp
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
-ORDERS_CONTRACT = C.SILVER_ORDERS.with_fields(C.Field("supplier_id", "int"))
+ORDERS_CONTRACT = C.SILVER_ORDERS.with_fields(C.Field("supplier_id", "long"))
 
 
 def silver_orders(spark, sf_dir) -> DataFrame:
@@ -225,8 +226,8 @@ def silver_orders(spark, sf_dir) -> DataFrame:
 
 def silver_orders_sql(raw: str) -> str:
     return f"""SELECT COALESCE(TRY_CAST(order_id AS BIGINT), 0) AS order_id,
-      TRY_CAST(customer_id AS INTEGER) AS customer_id, TRY_CAST(product_id AS INTEGER) AS product_id,
-      TRY_CAST(supplier_id AS INTEGER) AS supplier_id, TRY_CAST(quantity AS INTEGER) AS quantity,
+      TRY_CAST(customer_id AS BIGINT) AS customer_id, TRY_CAST(product_id AS BIGINT) AS product_id,
+      TRY_CAST(supplier_id AS BIGINT) AS supplier_id, TRY_CAST(quantity AS INTEGER) AS quantity,
       TRY_CAST(total_price AS DECIMAL(12,2)) AS total_price, TRY_CAST(order_date AS DATE) AS order_date,
       extract_timestamp, dbx_extract_timestamp
     FROM {raw}"""

@@ -1,7 +1,8 @@
 """Layer jobs: bronze -> silver (cleanse), silver -> gold (dimension state or fact append).
 
 Each job is a thin composition of the operators; the decision of what to do is made from the contract
-(table type, keys, dependencies), never from counting data.
+(table type, keys, dependencies), never from counting data. No job drops rows: appends are plain (or replace a
+load of the same id), and rows whose keys cannot be read go to a quarantine table.
 """
 
 from __future__ import annotations
@@ -13,20 +14,35 @@ from lakestrata import contract as C
 from lakestrata.functions.cleansing import contract_cast, fill_null_keys, pattern_clean
 from lakestrata.operators.dedup import one_per_key
 from lakestrata.operators.lookup import Lookup, resolve_lookups
-from lakestrata.operators.merge import scd1_state, scd2_state
-from lakestrata.sources.tables import incremental_read, path_exists, write_table
+from lakestrata.operators.merge import scd1_state, scd2_delta, scd2_first_load, scd2_hash_state, scd2_state
+from lakestrata.operators.quality import unreadable_keys
+from lakestrata.sources.tables import (append_load, append_table, incremental_read, missing_tables, publish_scd1_buckets,
+                                       publish_scd2, publish_state)
 
+SILVER_PARTITIONS = (C.EXTRACT_TAG,)
 
-def silver_batch(bronze: DataFrame, contract: C.Contract, watermark=None, watermark_col: str = C.INGEST_TS,
-                 dedup: bool = True) -> DataFrame:
-    """Bronze rows newer than the watermark, cleansed by pattern (on strings), cast, key-filled and, by
-    default, reduced to the latest row per key by ingest time."""
+
+def silver_split(bronze: DataFrame, contract: C.Contract, watermark=None, watermark_col: str = C.INGEST_TS,
+                 dedup: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(silver rows, quarantined bronze rows) of the bronze rows newer than the watermark.
+
+    Rows whose key has a value that cannot be read stay as they came, in quarantine. The others are cleansed by
+    pattern (on strings), cast, and get defaults for missing keys; with ``dedup`` only the latest row per key by
+    ingest time stays (for batches that hold several deliveries of one entity).
+    """
     df = bronze if watermark is None else incremental_read(bronze, watermark_col, watermark)
-    df = fill_null_keys(contract_cast(pattern_clean(df, contract), contract), contract.primary_key)
-    if dedup and contract.primary_key and C.INGEST_TS in df.columns:
-        df = one_per_key(df, list(contract.primary_key), C.INGEST_TS, "latest")
-    return df.select(*[c for c in contract.columns if c in df.columns],
-                     *[c for c in df.columns if c not in contract.columns])
+    bad = unreadable_keys(df, contract)
+    good = fill_null_keys(contract_cast(pattern_clean(df.filter(~bad), contract), contract), contract.keys)
+    if dedup and contract.keys and C.INGEST_TS in good.columns:
+        good = one_per_key(good, list(contract.keys), C.INGEST_TS, "latest")
+    first = [c for c in contract.columns if c in good.columns]
+    return good.select(*first, *[c for c in good.columns if c not in first]), df.filter(bad)
+
+
+def silver_batch(bronze: DataFrame, contract: C.Contract, watermark=None, watermark_col: str = C.INGEST_TS,
+                 dedup: bool = False) -> DataFrame:
+    """The silver rows of ``silver_split``."""
+    return silver_split(bronze, contract, watermark, watermark_col, dedup)[0]
 
 
 def gold_dimension(target: DataFrame | None, batch: DataFrame, contract: C.Contract, as_of,
@@ -36,14 +52,26 @@ def gold_dimension(target: DataFrame | None, batch: DataFrame, contract: C.Contr
         batch = resolve_dependencies(batch, contract, dimensions or {}, versions="current")
     if target is None and contract.table_type == "SCD2":
         batch = batch.drop(*[c for c in (C.START_DATE, C.END_DATE) if c in batch.columns])
+    if contract.table_type not in ("SCD1", "SCD2"):
+        raise ValueError(f"{contract.name}: table type {contract.table_type} is not a dimension")
+    state = scd1_state if contract.table_type == "SCD1" else scd2_state
+    return state(target, batch, list(contract.keys), _surrogate_key(contract), as_of)
+
+
+def _surrogate_key(contract: C.Contract) -> str:
     sks = contract.own_surrogate_keys()
     if not sks:
         raise ValueError(f"{contract.name}: no surrogate key in the contract")
-    if contract.table_type == "SCD1":
-        return scd1_state(target, batch, list(contract.primary_key), sks[0], as_of)
-    if contract.table_type == "SCD2":
-        return scd2_state(target, batch, list(contract.primary_key), sks[0], as_of)
-    raise ValueError(f"{contract.name}: table type {contract.table_type} is not a dimension")
+    return sks[0]
+
+
+def catalog_dimensions(spark: SparkSession, contract: C.Contract, given: dict | None = None) -> dict:
+    """The dependency tables of a contract: those given, the others from the catalog."""
+    wanted = [d.table for d in contract.dependencies if d.table not in (given or {})]
+    absent = missing_tables(spark, wanted)
+    if absent:
+        raise LookupError(f"missing dependency tables: {absent}")
+    return {**(given or {}), **{t: spark.table(t) for t in wanted}}
 
 
 def resolve_dependencies(df: DataFrame, contract: C.Contract, dimensions: dict, versions: str = "current",
@@ -63,74 +91,56 @@ def gold_fact(batch: DataFrame, contract: C.Contract, dimensions: dict, as_of, v
     return df.withColumns({C.CREATE_DATE: d, C.UPDATE_DATE: d})
 
 
-def append_fact(spark: SparkSession, fact: DataFrame, path: str, idempotent_on=(C.EXTRACT_TAG,),
-                partition_by=(C.EXTRACT_TAG,)) -> None:
-    """Append fact rows; rows whose ``idempotent_on`` values are already stored are skipped, so a replayed
-    batch (same batch tag) adds nothing. The stored tags are read from the partition column."""
-    if idempotent_on and path_exists(spark, path):
-        stored = spark.read.parquet(path).select(*idempotent_on).distinct()
-        fact = fact.join(stored, list(idempotent_on), "left_anti")
-    write_table(fact, path, mode="append", partition_by=list(partition_by) if partition_by else None)
+def append_fact(spark: SparkSession, fact: DataFrame, path: str, load_id: str | None = None,
+                partition_by=(C.EXTRACT_TAG,)) -> str:
+    """Append fact rows to a folder; a load with the id of an earlier one replaces it. Returns the load id."""
+    return append_load(spark, fact, path, load_id, partition_by)
 
 
 # ------------------------------------------------------------------------------ layer runs on tables
 def run_silver_job(spark: SparkSession, bronze: DataFrame, contract: C.Contract, table: str, root: str,
-                   watermark=None) -> bool:
-    """Bronze -> silver table. First run: publish the cleansed batch as the table. Later runs: append when
-    the evolution gate allows the batch's columns (the append goes to the table's folder; the batch is
-    computed from bronze, so nothing being read is overwritten). Returns whether rows were written."""
-    from lakestrata.contract import evolution_allowed
-    from lakestrata.sources.tables import publish_state, table_location
-
-    batch = silver_batch(bronze, contract, watermark)
-    if not spark.catalog.tableExists(table):
-        publish_state(spark, batch, table, root, partition_by=[C.EXTRACT_TAG])
-        return True
-    if not evolution_allowed(batch.columns, spark.table(table).columns, contract.columns):
+                   watermark=None, load_id: str | None = None, dedup: bool = False) -> bool:
+    """Bronze -> silver table, with quarantined rows in ``<table>__quarantine``. Returns whether rows were written: not
+    if the batch has columns that neither the table nor the contract knows. ``load_id`` (for instance the bronze batch
+    number) makes a repeated run replace its earlier rows."""
+    good, bad = silver_split(bronze, contract, watermark, dedup=dedup)
+    known = spark.table(table).columns if spark.catalog.tableExists(table) else good.columns
+    if not C.evolution_allowed(good.columns, known, contract.columns):
         return False
-    # replay-safe: batch tags already stored are skipped (their partition values are read, not the rows)
-    stored = spark.table(table).select(C.EXTRACT_TAG).distinct()
-    batch = batch.join(stored, [C.EXTRACT_TAG], "left_anti")
-    write_table(batch, table_location(spark, table), mode="append", partition_by=[C.EXTRACT_TAG],
-                merge_schema=True)
-    spark.sql(f"MSCK REPAIR TABLE {table}")  # register the new batch-tag partition
-    spark.sql(f"REFRESH TABLE {table}")
+    load_id = append_table(spark, good, table, f"{root.rstrip('/')}/silver", load_id, SILVER_PARTITIONS)
+    append_table(spark, bad, f"{table}__quarantine", f"{root.rstrip('/')}/quarantine", load_id)
     return True
 
 
 def run_gold_job(spark: SparkSession, silver: DataFrame, contract: C.Contract, table: str, root: str, as_of,
-                 dimensions: dict | None = None, watermark=None, watermark_col: str = C.INGEST_TS) -> str:
-    """Silver -> gold table by contract type: dimensions get their next state published to a fresh
-    version folder (the old version stays readable until the table is repointed); facts are appended,
-    skipping batch tags already stored. Returns the table location."""
-    from lakestrata.sources.tables import publish_state, table_location
-
+                 dimensions: dict | None = None, watermark=None, watermark_col: str = C.INGEST_TS,
+                 versions: str = "current", as_of_col: str | None = None, load_id: str | None = None) -> None:
+    """Silver -> gold table by contract type. SCD2: only the open set and this run's closed rows are written. SCD1: only
+    the key buckets the batch touches. FACT: appended, with the dimension keys of ``versions`` (current, all,
+    as_of with ``as_of_col``); a load id of an earlier load replaces it. Dependencies not given in ``dimensions`` are
+    read from the catalog."""
     batch = silver if watermark is None else incremental_read(silver, watermark_col, watermark)
-    if contract.table_type in ("SCD1", "SCD2"):
-        if contract.primary_key:
-            batch = one_per_key(batch, list(contract.primary_key), watermark_col, "latest")
-        target = spark.table(table) if spark.catalog.tableExists(table) else None
-        if contract.table_type == "SCD2":
-            # only the open set and this run's closed rows are written; history stays in place
-            from lakestrata.operators.merge import scd2_delta, scd2_first_load
-            from lakestrata.sources.tables import publish_scd2
-
-            if contract.dependencies:
-                batch = resolve_dependencies(batch, contract, dimensions or {}, versions="current")
-            keys, sk = list(contract.primary_key), contract.own_surrogate_keys()[0]
-            if target is None:
-                return publish_scd2(spark, None, scd2_first_load(batch, keys, sk, as_of), table, root)
-            closed, current = scd2_delta(target, batch, keys, sk, as_of)
-            return publish_scd2(spark, closed, current, table, root)
-        state = gold_dimension(target, batch, contract, as_of, dimensions)
-        return publish_state(spark, state, table, root)
+    batch = batch.drop("_load_id")
+    dims = catalog_dimensions(spark, contract, dimensions)
     if contract.table_type == "FACT":
-        fact = gold_fact(batch, contract, dimensions or {}, as_of)
-        if not spark.catalog.tableExists(table):
-            return publish_state(spark, fact, table, root, partition_by=[C.EXTRACT_TAG])
-        location = table_location(spark, table)
-        append_fact(spark, fact, location)
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-        spark.sql(f"REFRESH TABLE {table}")
-        return location
-    raise ValueError(f"{contract.name}: unknown table type {contract.table_type}")
+        append_table(spark, gold_fact(batch, contract, dims, as_of, versions, as_of_col), table, root, load_id,
+                     SILVER_PARTITIONS)
+        return
+    if contract.table_type not in ("SCD1", "SCD2"):
+        raise ValueError(f"{contract.name}: unknown table type {contract.table_type}")
+    keys, sk = list(contract.keys), _surrogate_key(contract)
+    batch = one_per_key(batch, keys, watermark_col, "latest")
+    if contract.dependencies:
+        batch = resolve_dependencies(batch, contract, dims, versions="current")
+    if contract.table_type == "SCD1":
+        publish_scd1_buckets(spark, batch, table, root, keys, sk, as_of)
+    elif not spark.catalog.tableExists(table):
+        publish_scd2(spark, None, scd2_first_load(batch, keys, sk, as_of), table, root)
+    else:
+        publish_scd2(spark, *scd2_delta(spark.table(table), batch, keys, sk, as_of), table, root)
+
+
+def run_hash_dimension_job(spark: SparkSession, batch: DataFrame, keys, attrs, sk: str, table: str, root: str, as_of) -> None:
+    """Flag-form SCD2 driven by a row hash, stored as a table: the next state is published as a new version."""
+    target = spark.table(table) if spark.catalog.tableExists(table) else None
+    publish_state(spark, scd2_hash_state(target, batch, list(keys), list(attrs), sk, as_of), table, root)

@@ -52,19 +52,19 @@ def _ts_sql(col: str) -> str:
 
 
 # ====================================================================== contract cleansing (customer)
-@register("contract_cast", with_ctes(f"""SELECT TRY_CAST(customer_id AS INTEGER) AS customer_id, name, email, phone,
+@register("contract_cast", with_ctes(f"""SELECT TRY_CAST(customer_id AS BIGINT) AS customer_id, name, email, phone,
   address, TRY_CAST(loyalty_points AS INTEGER) AS loyalty_points, extract_timestamp,
-  {_ts_sql('dbx_extract_timestamp')} AS dbx_extract_timestamp FROM raw_c1"""))
+  {_ts_sql('dbx_extract_timestamp')} AS dbx_extract_timestamp FROM raw_call"""))
 def q_contract_cast(spark, d):
-    return portable(contract_cast(fx.raw_customers(spark, d, "1"), C.SILVER_CUSTOMERS))
+    return portable(contract_cast(fx.raw_customers(spark, d, "all"), C.SILVER_CUSTOMERS))
 
 
 @register("pattern_clean", with_ctes(f"""SELECT customer_id, name,
   CASE WHEN regexp_matches(email, '{C.EMAIL_PATTERN}') THEN email ELSE 'unknown@example.com' END AS email,
   CASE WHEN regexp_matches(phone, '{C.PHONE_PATTERN}') THEN phone ELSE '0000000000' END AS phone,
-  address, loyalty_points, extract_timestamp, dbx_extract_timestamp FROM raw_c1"""))
+  address, loyalty_points, extract_timestamp, dbx_extract_timestamp FROM raw_call"""))
 def q_pattern_clean(spark, d):
-    return pattern_clean(fx.raw_customers(spark, d, "1"), C.SILVER_CUSTOMERS)
+    return pattern_clean(fx.raw_customers(spark, d, "all"), C.SILVER_CUSTOMERS)
 
 
 @register("fill_null_keys", """SELECT o_orderkey,
@@ -91,20 +91,20 @@ _PROJECT_CONTRACT = C.GOLD_CUSTOMERS.with_fields(C.Field("region_name", "string"
   address, loyalty_points, extract_timestamp, dbx_extract_timestamp,
   CAST(NULL AS VARCHAR) AS customer_id_sk, CAST(NULL AS VARCHAR) AS effective_start_date,
   CAST(NULL AS VARCHAR) AS effective_end_date, region_name FROM
-  (SELECT s.*, r.r_name AS region_name FROM sil_c1 s JOIN customer c ON c.c_custkey = s.customer_id
+  (SELECT s.*, r.r_name AS region_name FROM sil_call s JOIN customer c ON c.c_custkey = s.customer_id
      JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey) x"""))
 def q_project_to_contract(spark, d):
     regions = (_t(spark, d, "customer").join(_t(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
                .join(_t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
                .select(F.col("c_custkey"), F.col("r_name").alias("region_name")))
-    s = fx.silver_customers(spark, d, "1")
+    s = fx.silver_customers(spark, d, "all")
     s = s.join(regions, s["customer_id"] == regions["c_custkey"]).drop("c_custkey")
     return portable(project_to_contract(s, _PROJECT_CONTRACT, coarse=True))
 
 
-@register("reorder_sk_last", with_ctes("SELECT * FROM gold_c1"))
+@register("reorder_sk_last", with_ctes("SELECT * FROM gold_call"))
 def q_reorder_sk_last(spark, d):
-    g = star.gold_customers(spark, d, upto=1)
+    g = merge.scd2_first_load(fx.silver_customers(spark, d, "all"), ["customer_id"], "customer_id_sk", fx.B1_ASOF)
     return portable(reorder_sk_last(g.select("customer_id_sk", *[c for c in g.columns if c != "customer_id_sk"]),
                                     ["customer_id_sk"]))
 
@@ -113,9 +113,9 @@ _HASH_SQL = "md5(concat_ws('||', " + ", ".join(
     f"COALESCE(CAST({c} AS VARCHAR), '')" for c in star.COMPARE_CUSTOMERS) + "))"
 
 
-@register("row_hash", with_ctes(f"SELECT customer_id, {_HASH_SQL} AS _hash FROM sil_c1"))
+@register("row_hash", with_ctes(f"SELECT customer_id, {_HASH_SQL} AS _hash FROM sil_call"))
 def q_row_hash(spark, d):
-    return fx.silver_customers(spark, d, "1").select("customer_id", row_hash(star.COMPARE_CUSTOMERS).alias("_hash"))
+    return fx.silver_customers(spark, d, "all").select("customer_id", row_hash(star.COMPARE_CUSTOMERS).alias("_hash"))
 
 
 # --------------------------------------------------------------------------- contract checks
@@ -445,10 +445,10 @@ def q_null_safe_key_join(spark, d):
 
 
 @register("padded_key_join", """SELECT c.cust_code, o.o_orderkey FROM
-  (SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cust_code FROM customer) c
+  (SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS cust_code FROM customer) c
   JOIN orders o ON lpad(c.cust_code, 15, '0') = lpad(CAST(o.o_custkey AS VARCHAR), 15, '0')""")
 def q_padded_key_join(spark, d):
-    c = _t(spark, d, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("cust_code"))
+    c = _t(spark, d, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 12, "0").alias("cust_code"))
     o = _t(spark, d, "orders").select("o_orderkey", "o_custkey")
     return c.join(o, padded_key_condition(c, o, [("cust_code", "o_custkey")])).select("cust_code", "o_orderkey")
 
@@ -461,17 +461,14 @@ _FACT_TAG_SQL = "CASE WHEN order_date < DATE '1998-07-01' THEN 'DH_ORDERS_A' ELS
 def q_fact_append(spark, d):
     from lakestrata.plans.jobs import append_fact
 
-    fact = star.Gold.shared(spark, d).orders("current").withColumn(
+    fact = star.Gold.shared(spark, d).fact().withColumn(
         C.EXTRACT_TAG, F.when(F.col("order_date") < F.lit(fx.B2_ASOF), "DH_ORDERS_A").otherwise("DH_ORDERS_B"))
     fact = fact.select("order_id", "customer_id_sk", "product_id_sk", "quantity", "total_price", "order_date",
                        C.CREATE_DATE, C.UPDATE_DATE, C.EXTRACT_TAG)
     path = scratch_dir(spark, "fact") + "/fact_orders"
-    a = fact.filter(F.col(C.EXTRACT_TAG) == "DH_ORDERS_A")
-    b = fact.filter(F.col(C.EXTRACT_TAG) == "DH_ORDERS_B")
-    append_fact(spark, a, path)
-    append_fact(spark, b, path)
-    append_fact(spark, b, path)  # replayed batch: skipped because its batch tag is already stored
-    return spark.read.parquet(path)
+    for load, tag in (("1", "DH_ORDERS_A"), ("2", "DH_ORDERS_B"), ("2", "DH_ORDERS_B")):  # the last is a replay
+        append_fact(spark, fact.filter(F.col(C.EXTRACT_TAG) == tag), path, load_id=load)
+    return spark.read.parquet(path).drop("_load_id")
 
 
 # ====================================================================== gold views
@@ -480,36 +477,27 @@ def _views_inputs(spark, d):
     return g.fact(), g.customers(), g.products(), g.suppliers()
 
 
-@register("loyalty_segments", with_ctes("""SELECT c.customer_id, c.name AS customer_name,
-    COALESCE(c.loyalty_points, 0) AS loyalty_points,
-    CASE WHEN COALESCE(c.loyalty_points, 0) < 100 THEN 'Bronze'
-         WHEN c.loyalty_points BETWEEN 100 AND 200 THEN 'Silver'
-         WHEN c.loyalty_points BETWEEN 200 AND 300 THEN 'Gold'
-         WHEN c.loyalty_points > 300 THEN 'Platinum' END AS loyalty_tier,
-    COUNT(DISTINCT f.order_id) AS total_orders, CAST(SUM(f.total_price) AS DECIMAL(18,2)) AS total_spent
-  FROM fact_current f JOIN gold_c2 c ON f.customer_id_sk = c.customer_id_sk
-  WHERE c.effective_end_date = DATE '9999-12-31'
-  GROUP BY c.customer_id, c.name, c.loyalty_points"""))
+@register("loyalty_segments", with_ctes("""SELECT x.customer_id, x.name AS customer_name, x.pts AS loyalty_points,
+    CASE WHEN x.pts >= 301 THEN 'Platinum' WHEN x.pts >= 201 THEN 'Gold' WHEN x.pts >= 100 THEN 'Silver' ELSE 'Bronze' END
+      AS loyalty_tier, COUNT(DISTINCT x.order_id) AS total_orders, CAST(SUM(x.total_price) AS DECIMAL(18,2)) AS total_spent
+  FROM (SELECT c.customer_id, c.name, COALESCE(c.loyalty_points, 0) AS pts, f.order_id, f.total_price
+        FROM gold_c2 c, fact_current f WHERE f.customer_id_sk = c.customer_id_sk AND year(c.effective_end_date) = 9999) x
+  GROUP BY ALL"""))
 def q_loyalty_segments(spark, d):
     fact, cust, _, _ = _views_inputs(spark, d)
     return views.loyalty_segments(fact, cust)
 
 
 def _share_sql(threshold: float) -> str:
-    scs = """SELECT s.supplier_id, s.name AS supplier_name, p.category,
-      CAST(SUM(f.total_price) AS DECIMAL(18,2)) AS category_revenue,
-      CAST(SUM(f.total_price) AS DOUBLE) / COUNT(f.total_price) AS avg_order_value,
-      COUNT(DISTINCT f.order_id) AS total_orders
-    FROM fact_current f JOIN gold_p p ON f.product_id_sk = p.product_id_sk
-    JOIN gold_s2 s ON p.supplier_id_sk = s.supplier_id_sk
-    GROUP BY s.supplier_id, s.name, p.category"""
-    ct = "SELECT category, SUM(category_revenue) AS total_category_revenue FROM scs GROUP BY category"
-    return with_ctes(f"""SELECT scs.supplier_id, scs.supplier_name, scs.category, scs.category_revenue,
-    scs.avg_order_value, scs.total_orders,
-    ROUND(CAST(scs.category_revenue AS DOUBLE) / CAST(ct.total_category_revenue AS DOUBLE) * 100, 2) AS revenue_share_pct,
-    CASE WHEN CAST(scs.category_revenue AS DOUBLE) / CAST(ct.total_category_revenue AS DOUBLE) > {threshold}
-      THEN 'Dominant Supplier' ELSE 'Competitive Market' END AS supplier_role
-  FROM scs JOIN ct ON scs.category = ct.category""", [("scs", scs), ("ct", ct)])
+    """Oracle: one grouped pass, then each supplier's share of its category by a window."""
+    return with_ctes(f"""SELECT supplier_id, supplier_name, category, CAST(revenue AS DECIMAL(18,2)) AS category_revenue,
+    CAST(revenue AS DOUBLE) / n_lines AS avg_order_value, total_orders, ROUND(part * 100, 2) AS revenue_share_pct,
+    IF(part > {threshold}, 'Dominant Supplier', 'Competitive Market') AS supplier_role
+  FROM (SELECT *, CAST(revenue AS DOUBLE) / CAST(SUM(revenue) OVER (PARTITION BY category) AS DOUBLE) AS part
+        FROM (SELECT sup.supplier_id, sup.name AS supplier_name, prod.category, SUM(f.total_price) AS revenue,
+                COUNT(f.total_price) AS n_lines, COUNT(DISTINCT f.order_id) AS total_orders
+              FROM gold_p prod JOIN gold_s2 sup USING (supplier_id_sk) JOIN fact_current f USING (product_id_sk)
+              GROUP BY ALL) g) h""")
 
 
 @register("supplier_category", _share_sql(views.DOMINANCE_SHARE))
@@ -667,45 +655,58 @@ def q_csv_landing_roundtrip(spark, d):
     return read_landing_csv(spark, path)
 
 
-_LANDING_COLS = ["supplier_id", "name", "phone", "address"]
+_LANDING_COLS = ["event_id", "user_id", "event_type", "ts", "props"]
 _SPLIT_STAMPS = ("20240101_000000", "20240102_000000", "20240103_000000")
-_BRONZE_SQL = with_ctes(f"""SELECT supplier_id, name, phone, address, CAST(NULL AS VARCHAR) AS email,
-    'DH_SUPPLIERS_' || CASE WHEN CAST(supplier_id AS BIGINT) % 3 = 0 THEN '{_SPLIT_STAMPS[0]}'
-                            ELSE '{_SPLIT_STAMPS[1]}' END AS extract_timestamp
-  FROM raw_sall WHERE CAST(supplier_id AS BIGINT) % 3 <> 2
-  UNION ALL
-  SELECT supplier_id, name, phone, address, 's' || supplier_id || '@mail.example.com' AS email,
-    'DH_SUPPLIERS_{_SPLIT_STAMPS[2]}' AS extract_timestamp
-  FROM raw_sall WHERE CAST(supplier_id AS BIGINT) % 3 = 2""")
+_BRONZE_SQL = f"""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
+    strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, props,
+    CASE WHEN event_id % 3 = 2 THEN 'extra ' || event_id END AS note,
+    'DH_EVENTS_' || CASE event_id % 3 WHEN 0 THEN '{_SPLIT_STAMPS[0]}' WHEN 1 THEN '{_SPLIT_STAMPS[1]}'
+                                      ELSE '{_SPLIT_STAMPS[2]}' END AS extract_timestamp
+  FROM events"""
 
 
-def _bronze_run(spark, d, replays: int):
+def _bronze_run(spark, d, crash: bool):
+    """Every event, landed in three folders: two first, the third later with reordered columns and one more column. With
+    ``crash`` the second run fails after its files are written and before the stream commits, and is started again."""
     from lakestrata.streaming.bronze import read_bronze, run_bronze_ingest
 
     root = scratch_dir(spark, "bronze")
-    landing, target, ckpt = f"{root}/landing/suppliers", f"{root}/bronze/suppliers", f"{root}/_checkpoint"
-    raw = fx.raw_suppliers(spark, d, "all").select(*_LANDING_COLS)  # every supplier, in three landing files
-    k = F.col("supplier_id").cast("long") % 3
-    write_landing_csv(raw.filter(k == 0), f"{landing}/suppliers_{_SPLIT_STAMPS[0]}")
-    write_landing_csv(raw.filter(k == 1), f"{landing}/suppliers_{_SPLIT_STAMPS[1]}")
-    run_bronze_ingest(spark, landing, "suppliers", target, ckpt, ingest_ts="2024-01-03 00:00:00")
-    # the third file arrives later with reordered columns and one more column
-    third = raw.filter(k == 2).withColumn("email", F.concat(F.lit("s"), F.col("supplier_id"), F.lit("@mail.example.com")))
-    write_landing_csv(third.select("email", "address", "phone", "name", "supplier_id"),
-                      f"{landing}/suppliers_{_SPLIT_STAMPS[2]}")
-    for _ in range(1 + replays):
-        run_bronze_ingest(spark, landing, "suppliers", target, ckpt, ingest_ts="2024-01-03 00:00:00")
-    return read_bronze(spark, target).select(*_LANDING_COLS, "email", C.EXTRACT_TAG)
+    landing, target, ckpt = f"{root}/landing/events", f"{root}/bronze/events", f"{root}/_checkpoint"
+    raw = _t(spark, d, "events").withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).select(
+        *[F.col(c).cast("string").alias(c) for c in _LANDING_COLS])
+    k = F.col("event_id").cast("long") % 3
+
+    def ingest(**more):
+        run_bronze_ingest(spark, landing, "events", target, ckpt, ingest_ts="2024-01-03 00:00:00", **more)
+
+    write_landing_csv(raw.filter(k == 0), f"{landing}/events_{_SPLIT_STAMPS[0]}")
+    write_landing_csv(raw.filter(k == 1), f"{landing}/events_{_SPLIT_STAMPS[1]}")
+    ingest()
+    third = raw.filter(k == 2).withColumn("note", F.concat(F.lit("extra "), F.col("event_id")))
+    write_landing_csv(third.select("note", *reversed(_LANDING_COLS)), f"{landing}/events_{_SPLIT_STAMPS[2]}")
+    if crash:
+        def fail(batch_id):
+            raise RuntimeError("lost before the commit")
+
+        try:
+            ingest(after_write=fail)
+        except Exception as exc:  # the stream reports the failure of its batch
+            if "lost before the commit" not in str(exc):
+                raise
+        else:
+            raise AssertionError("the run was meant to fail")
+    ingest()
+    return read_bronze(spark, target).select(*_LANDING_COLS, "note", C.EXTRACT_TAG)
 
 
 @register("bronze_ingest", _BRONZE_SQL)
 def q_bronze_ingest(spark, d):
-    return _bronze_run(spark, d, replays=0)
+    return _bronze_run(spark, d, crash=False)
 
 
 @register("bronze_ingest_replay", _BRONZE_SQL)
 def q_bronze_ingest_replay(spark, d):
-    return _bronze_run(spark, d, replays=1)
+    return _bronze_run(spark, d, crash=True)
 
 
 # ====================================================================== more contract and layer queries
@@ -718,7 +719,7 @@ def _product_checks_sql() -> str:
         if f.required:
             preds.append(("required", f"{f.name} IS NULL"))
         if f.type.lower() not in ("string",):
-            t = {"int": "INTEGER", "decimal": "DECIMAL(30,10)", "timestamp": "TIMESTAMP"}[f.type.lower()]
+            t = {"int": "INTEGER", "long": "BIGINT", "decimal": "DECIMAL(30,10)", "timestamp": "TIMESTAMP"}[f.type.lower()]
             preds.append(("type", f"{f.name} IS NOT NULL AND TRY_CAST({f.name} AS {t}) IS NULL"))
         if f.enum:
             preds.append(("enum", f"{f.name} IS NOT NULL AND {f.name} NOT IN ({enum_list})"))
@@ -741,19 +742,19 @@ _BRONZE_CUST = [("bronze_c", """SELECT * REPLACE (CAST(dbx_extract_timestamp AS
     FROM (SELECT * FROM raw_c1 UNION ALL SELECT * FROM raw_c2) r""")]
 
 
-@register("silver_incremental_load", with_ctes(f"""SELECT COALESCE(TRY_CAST(customer_id AS INTEGER), 0) AS customer_id, name,
+@register("silver_incremental_load", with_ctes(f"""SELECT COALESCE(TRY_CAST(customer_id AS BIGINT), 0) AS customer_id, name,
     CASE WHEN regexp_matches(email, '{C.EMAIL_PATTERN}') THEN email ELSE 'unknown@example.com' END AS email,
     CASE WHEN regexp_matches(phone, '{C.PHONE_PATTERN}') THEN phone ELSE '0000000000' END AS phone,
     address, TRY_CAST(loyalty_points AS INTEGER) AS loyalty_points, extract_timestamp,
     strftime(dbx_extract_timestamp, '%Y-%m-%d %H:%M:%S') AS dbx_extract_timestamp
-  FROM bronze_c WHERE dbx_extract_timestamp > TIMESTAMP '1990-01-01 00:00:00'
-  QUALIFY row_number() OVER (PARTITION BY COALESCE(TRY_CAST(customer_id AS INTEGER), 0)
+  FROM bronze_c WHERE dbx_extract_timestamp > TIMESTAMP '1996-01-01 00:00:00'
+  QUALIFY row_number() OVER (PARTITION BY COALESCE(TRY_CAST(customer_id AS BIGINT), 0)
                              ORDER BY dbx_extract_timestamp DESC) = 1""", _BRONZE_CUST))
 def q_silver_incremental_load(spark, d):
     from lakestrata.plans.jobs import silver_batch
 
     bronze = _raw_both(spark, d).withColumn(C.INGEST_TS, F.col(C.INGEST_TS).cast("timestamp"))
-    return portable(silver_batch(bronze, C.SILVER_CUSTOMERS, watermark=F.lit("1990-01-01 00:00:00").cast("timestamp")))
+    return portable(silver_batch(bronze, C.SILVER_CUSTOMERS, watermark=F.lit("1996-01-01 00:00:00").cast("timestamp"), dedup=True))
 
 
 def _quarantine_sql() -> str:
@@ -763,7 +764,7 @@ def _quarantine_sql() -> str:
         if f.required:
             tags.append(f"CASE WHEN {c} IS NULL THEN 'required:{f.name}' END")
         if f.type.lower() not in ("string",):
-            t = {"int": "INTEGER", "integer": "INTEGER", "timestamp": "TIMESTAMP"}[f.type.lower()]
+            t = {"int": "INTEGER", "integer": "INTEGER", "long": "BIGINT", "timestamp": "TIMESTAMP"}[f.type.lower()]
             tags.append(f"CASE WHEN {c} IS NOT NULL AND TRY_CAST({c} AS {t}) IS NULL THEN 'type:{f.name}' END")
         if f.pattern:
             tags.append(f"CASE WHEN {c} IS NOT NULL AND NOT regexp_matches({c}, '{f.pattern}') "
@@ -783,3 +784,6 @@ def q_contract_quarantine(spark, d):
 
     _, bad = quarantine_split(_raw_both(spark, d), C.SILVER_CUSTOMERS)
     return bad
+
+
+from lakestrata.plans import table_queries  # noqa: E402,F401  (registers the table jobs)

@@ -197,7 +197,9 @@ def base_ctes() -> dict:
     """Name -> SQL of every fixture/gold CTE; ``with_ctes`` picks the ones a query needs, in order."""
     c = {
         "raw_c1": fx.raw_customers_sql("1"), "raw_c2": fx.raw_customers_sql("2"),
-        "raw_c2b": fx.raw_customers_sql("2b"),
+        "raw_c2b": fx.raw_customers_sql("2b"), "raw_call": fx.raw_customers_sql("all"),
+        "sil_call": fx.silver_customers_sql("raw_call"),
+        "gold_call": scd2_first_sql("sil_call", ["customer_id"], "customer_id_sk", fx.B1_ASOF),
         "sil_c1": fx.silver_customers_sql("raw_c1"), "sil_c2": fx.silver_customers_sql("raw_c2"),
         "sil_c2b": fx.silver_customers_sql("raw_c2b"),
         "gold_c1": scd2_first_sql("sil_c1", ["customer_id"], "customer_id_sk", fx.B1_ASOF),
@@ -208,7 +210,7 @@ def base_ctes() -> dict:
         "gold_s2": scd1_state_sql("gold_s1", "sil_s2", ["supplier_id"], "supplier_id_sk", fx.B2_ASOF),
         "raw_p": fx.RAW_PRODUCTS_SQL, "sil_p": fx.silver_products_sql("raw_p"),
         "look_p": """SELECT s.*, sup.supplier_id_sk FROM sil_p s
-                     LEFT JOIN gold_s2 sup ON TRY_CAST(s.supplier_id AS INTEGER) = sup.supplier_id""",
+                     LEFT JOIN gold_s2 sup ON TRY_CAST(s.supplier_id AS BIGINT) = sup.supplier_id""",
         "gold_p": scd2_first_sql("look_p", ["product_id"], "product_id_sk", fx.B1_ASOF),
         "raw_o": fx.RAW_ORDERS_SQL, "sil_o": fx.silver_orders_sql("raw_o"),
     }
@@ -226,7 +228,7 @@ def base_ctes() -> dict:
     return c
 
 
-_DEPS_ORDER = ["raw_c1", "raw_c2", "raw_c2b", "sil_c1", "sil_c2", "sil_c2b", "gold_c1", "gold_c2_cls", "gold_c2",
+_DEPS_ORDER = ["raw_c1", "raw_c2", "raw_c2b", "raw_call", "sil_call", "gold_call", "sil_c1", "sil_c2", "sil_c2b", "gold_c1", "gold_c2_cls", "gold_c2",
                "raw_s1", "raw_s2", "raw_sall", "sil_s1", "sil_s2", "gold_s1", "gold_s2", "raw_p", "sil_p", "look_p", "gold_p",
                "raw_o", "sil_o", "fact_current", "fact_all", "fact_as_of"]
 

@@ -1,12 +1,13 @@
 """Session construction and the shared scratch location.
 
-On a cluster the scratch root is the shared folder named by ``spark.checkpoint.dir``; we never invent a
-machine-local folder there. Only when the setting is absent (local tests) do we create one and register it.
+The scratch root is the shared folder named by ``spark.checkpoint.dir``. Only a session on a local master (tests)
+gets a private folder when the setting is absent; on any other master the absence is an error.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,7 +36,6 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", _driver_memory())
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -50,6 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         try:

@@ -1,26 +1,35 @@
-"""Table reads and writes: incremental scans, partitioned writes, catalog registration, state publishing.
+"""Table reads and writes: incremental scans, partitioned writes, catalog registration, publishing.
 
-A new dimension state is never written over the path it was read from: ``publish_state`` writes it to a
-fresh ``v=<n>`` folder and then repoints the catalog table (``ALTER TABLE ... SET LOCATION``), so readers
-see either the old or the new version and a failed job leaves the old one intact.
+Publishing never overwrites what may be read, and becomes visible by one statement:
+
+* ``publish_state`` writes a whole state to a fresh ``v=<n>`` folder and repoints the table at it.
+* ``publish_scd2`` and ``publish_scd1_buckets`` write only what changed, as new partitions of a data table
+  (``<name>__data``), and then replace the view ``<name>`` that tells which partitions count. A run that fails
+  before that statement changes nothing that readers see; the next run replaces its leftovers.
+* ``append_load`` adds rows in partitions of a load id of their own. With the id of an earlier load it replaces
+  exactly that load (replay); without one it is a plain append.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+LOAD_ID = "_load_id"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
-def path_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
-    try:
-        spark.read.format(fmt).load(path).schema  # footers only
-        return True
-    except AnalysisException:
-        return False
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return bool(fs.exists(p))
 
 
 def incremental_read(df: DataFrame, column: str, watermark) -> DataFrame:
@@ -34,12 +43,12 @@ def tag_range_read(df: DataFrame, after_tag: str, tag_col: str = "extract_timest
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None, fmt: str = "parquet",
-                merge_schema: bool = False) -> None:
-    writer = df.write.format(fmt).mode(mode)
+                replace_partitions: bool = False) -> None:
+    """Write a table. ``overwrite`` replaces everything below ``path``, unless ``replace_partitions`` limits it to the
+    partitions that ``df`` holds; the session's setting has no say."""
+    writer = df.write.format(fmt).mode(mode).option("partitionOverwriteMode", "dynamic" if replace_partitions else "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if merge_schema:
-        writer = writer.option("mergeSchema", "true")
     writer.save(path)
 
 
@@ -50,8 +59,7 @@ def create_schema(spark: SparkSession, name: str) -> None:
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> None:
     """External table over a path (first load)."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING {fmt} LOCATION '{path}'")
-    if spark.catalog.tableExists(name):
-        spark.sql(f"REFRESH TABLE {name}")
+    spark.sql(f"REFRESH TABLE {name}")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -64,7 +72,7 @@ def missing_tables(spark: SparkSession, names) -> list[str]:
 
 
 def _next_version(location: str | None) -> int:
-    m = re.search(r"/v=(\d+)/?$", location or "")
+    m = re.search(r"/v=(\d+)[^/]*/?$", location or "")
     return int(m.group(1)) + 1 if m else 1
 
 
@@ -74,52 +82,124 @@ def table_location(spark: SparkSession, name: str) -> str | None:
     return rows[0]["data_type"] if rows else None
 
 
-def publish_state(spark: SparkSession, state: DataFrame, name: str, root: str, partition_by=None,
-                  fmt: str = "parquet") -> str:
-    """Write ``state`` to ``<root>/v=<n>`` and point table ``name`` at it; returns the new location."""
+def _columns_ddl(fields) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
+def create_table(spark: SparkSession, name: str, df: DataFrame, path: str, partition_by=(), fmt: str = "parquet") -> None:
+    """An empty catalog table with the columns of ``df``, partitioned by its ``partition_by`` columns."""
+    parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE {name} ({_columns_ddl(df.schema.fields)}) USING {fmt} {parts} LOCATION '{path}'")
+
+
+def add_columns(spark: SparkSession, name: str, df: DataFrame) -> list[str]:
+    """Add the columns that the catalog table lacks; older files read as NULL there. Returns their names."""
+    have = set(spark.table(name).columns)
+    new = [f for f in df.schema.fields if f.name not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns_ddl(new)})")
+    return [f.name for f in new]
+
+
+def _add_partitions(spark: SparkSession, name: str, partitions) -> None:
+    """Register (spec, location) pairs with one statement."""
+    specs = " ".join("PARTITION ({}) LOCATION '{}'".format(", ".join(f"{k}='{v}'" for k, v in spec.items()), path)
+                     for spec, path in partitions)
+    if specs:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+
+
+def append_load(spark: SparkSession, df: DataFrame, path: str, load_id: str | None = None, partition_by=()) -> str:
+    """Append rows below ``path`` in partitions (``partition_by``, load id). The same ``load_id`` again replaces that
+    load and nothing else; by default every call is a load of its own. Returns the load id."""
+    load_id = load_id or uuid.uuid4().hex[:16]
+    out = df.drop(LOAD_ID).withColumn(LOAD_ID, F.lit(load_id))
+    write_table(out, path, "overwrite", [*partition_by, LOAD_ID], replace_partitions=True)
+    return load_id
+
+
+def append_table(spark: SparkSession, df: DataFrame, name: str, root: str, load_id: str | None = None,
+                 partition_by=()) -> str:
+    """``append_load`` into a catalog table, created on the first load; new columns are added to the catalog first and
+    only the new partitions of this load are registered. Returns the load id."""
+    load_id = load_id or uuid.uuid4().hex[:16]
+    tagged = df.drop(LOAD_ID).withColumn(LOAD_ID, F.lit(load_id))
+    if not spark.catalog.tableExists(name):
+        create_table(spark, name, tagged, f"{root.rstrip('/')}/table", [*partition_by, LOAD_ID])
+    add_columns(spark, name, tagged)
+    location = table_location(spark, name)
+    append_load(spark, tagged, location, load_id, partition_by)
+    pattern, fs = _hadoop_path(spark, "/".join([location, *(f"{p}=*" for p in partition_by), f"{LOAD_ID}={load_id}"]))
+    folders = [str(s.getPath()) for s in (fs.globStatus(pattern) or [])]  # one per tag of this load
+    unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    _add_partitions(spark, name, [(
+        {k: unescape(v) for k, v in (part.split("=", 1) for part in f.split("/")[-len(partition_by) - 1:])}, f) for f in folders])
+    spark.sql(f"REFRESH TABLE {name}")
+    return load_id
+
+
+def publish_state(spark: SparkSession, state: DataFrame, name: str, root: str, fmt: str = "parquet") -> str:
+    """Write ``state`` to ``<root>/v=<n>`` and point table ``name`` at it; returns the new location. Columns new to the
+    catalog are added before the switch."""
     location = table_location(spark, name) if spark.catalog.tableExists(name) else None
-    path = f"{root.rstrip('/')}/v={_next_version(location)}"
-    if location and location.rstrip("/").endswith(path.rsplit("/", 1)[-1]):
-        path = f"{path}-{uuid.uuid4().hex[:8]}"
-    write_table(state, path, mode="overwrite", partition_by=partition_by, fmt=fmt)
+    path = f"{root.rstrip('/')}/v={_next_version(location)}-{uuid.uuid4().hex[:8]}"
+    write_table(state, path, mode="overwrite", fmt=fmt)
     if location is None:
         spark.sql(f"CREATE TABLE {name} USING {fmt} LOCATION '{path}'")
     else:
+        add_columns(spark, name, state)
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.sql(f"REFRESH TABLE {name}")
-    if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
     return path
 
 
+def _published(spark: SparkSession, name: str) -> dict | None:
+    """What the view of a published table records: its run number, and more."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    return next((json.loads(r["value"]) for r in rows if r["key"] == "lakestrata.published"), None)
+
+
+def _switch(spark: SparkSession, name: str, record: dict, select: str) -> None:
+    """The one statement by which a run becomes visible."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('lakestrata.published' = '{json.dumps(record)}') AS {select}")
+
+
+def _replace_partition(spark: SparkSession, name: str, specs) -> None:
+    """Forget partitions that an unfinished run may have left."""
+    for spec in specs:
+        inside = ", ".join(f"{k}='{v}'" for k, v in spec.items())
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({inside})")
+
+
 def publish_scd2(spark: SparkSession, closed: DataFrame | None, current: DataFrame, name: str, root: str) -> str:
     """Store an SCD2 table so that history is never rewritten.
 
-    The table is partitioned by ``_slice``: the ``current`` partition holds the open versions and is
-    repointed to a fresh ``current/v=<n>`` folder each run; the rows a run closes become a new partition
-    ``closed-<n>`` in their own folder. A run therefore writes the open set and its changes only, and
-    readers of open versions prune to one partition. Nothing that is being read is overwritten; a failed
-    run leaves orphan folders and the previous table state. Returns the new current folder.
+    Each run adds two partitions to ``<name>__data``: ``open-<n>`` with the open versions and ``closed-<n>`` with the rows
+    it closes. The view ``name`` shows the newest open partition (as ``_slice = 'current'``) and the closed partitions
+    of all finished runs; filters on ``_slice`` prune partitions. Replacing the view is the only switch. Returns the
+    folder of the open versions.
     """
-    slice_col = "_slice"
-    if not spark.catalog.tableExists(name):
-        first = f"{root.rstrip('/')}/table"
-        (current.withColumn(slice_col, F.lit("current")).write.mode("overwrite")
-         .partitionBy(slice_col).parquet(first))
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{first}'")
-        spark.sql(f"MSCK REPAIR TABLE {name}")
-        return f"{first}/{slice_col}=current"
-    rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
-    n = 1 + sum(1 for r in rows if r[0].startswith(f"{slice_col}=closed-"))
-    cur_path = f"{root.rstrip('/')}/current/v={n}-{uuid.uuid4().hex[:8]}"
-    closed_path = f"{root.rstrip('/')}/closed/v={n}-{uuid.uuid4().hex[:8]}"
-    current.drop(slice_col).write.mode("overwrite").parquet(cur_path)
-    if closed is not None:
-        closed.drop(slice_col).write.mode("overwrite").parquet(closed_path)
-        spark.sql(f"ALTER TABLE {name} ADD PARTITION ({slice_col}='closed-{n:06d}') LOCATION '{closed_path}'")
-    spark.sql(f"ALTER TABLE {name} PARTITION ({slice_col}='current') SET LOCATION '{cur_path}'")
-    spark.sql(f"REFRESH TABLE {name}")
-    return cur_path
+    col, data, root = "_slice", f"{name}__data", root.rstrip("/")
+    record = _published(spark, name)
+    run = (record["run"] if record else 0) + 1
+    current = current.drop(col)
+    if not spark.catalog.tableExists(data):
+        create_table(spark, data, current.withColumn(col, F.lit("")), f"{root}/table", [col])
+    add_columns(spark, data, current)
+    slices = {f"open-{run:06d}": current} | ({f"closed-{run:06d}": closed.drop(col)} if closed is not None else {})
+    paths = {s: f"{root}/{s}-{uuid.uuid4().hex[:8]}" for s in slices}
+    for s, df in slices.items():
+        write_table(df, paths[s])
+    _replace_partition(spark, data, [{col: s} for s in (f"open-{run:06d}", f"closed-{run:06d}")])
+    _add_partitions(spark, data, [({col: s}, p) for s, p in paths.items()])
+    spark.sql(f"REFRESH TABLE {data}")
+    columns = ", ".join(f"`{c}`" for c in spark.table(data).columns if c != col)
+    _switch(spark, name, {"run": run}, f"""SELECT {columns},
+        CASE WHEN {col} = 'open-{run:06d}' THEN 'current' ELSE {col} END AS {col} FROM {data}
+        WHERE {col} = 'open-{run:06d}' OR ({col} >= 'closed-' AND {col} <= 'closed-{run:06d}')""")
+    return paths[f"open-{run:06d}"]
 
 
 def key_bucket(keys, buckets: int):
@@ -131,33 +211,39 @@ def publish_scd1_buckets(spark: SparkSession, batch: DataFrame, name: str, root:
                          buckets: int = 64) -> list[int]:
     """SCD1 publish that rewrites only the key buckets the batch touches.
 
-    The table is partitioned by ``_bucket`` (a hash of the business key). A run computes the next state of
-    the touched buckets only (rows of other buckets stay where they are), writes them to a fresh folder,
-    and repoints those partitions. New keys get surrogate keys after the table-wide maximum. The list of
-    touched buckets (at most ``buckets`` integers) is the only thing collected. Returns that list.
+    ``<name>__data`` is partitioned by (bucket of the business key, run). A run computes the next state of the touched
+    buckets only and adds it as partitions of its own; new keys get surrogate keys after the table-wide maximum. The
+    view ``name`` shows each bucket as of the last finished run that touched it; replacing it is the only switch. The
+    number of buckets is fixed by the first run; the touched buckets are the only thing collected. Returns them.
     """
     from lakestrata.operators.keys import max_key
     from lakestrata.operators.merge import scd1_merge, scd1_prepare, scd1_state
 
-    bcol = "_bucket"
-    keys = list(keys)
+    bcol, rcol, data, root, keys = "_bucket", "_run", f"{name}__data", root.rstrip("/"), list(keys)
+    record = _published(spark, name) or {"run": 0, "buckets": buckets, "runs": {}}
+    run, buckets = record["run"] + 1, record["buckets"]
     batch = batch.withColumn(bcol, key_bucket(keys, buckets))
-    if not spark.catalog.tableExists(name):
-        first = f"{root.rstrip('/')}/table"
-        scd1_state(None, batch, keys, sk, as_of).write.mode("overwrite").partitionBy(bcol).parquet(first)
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{first}'")
-        spark.sql(f"MSCK REPAIR TABLE {name}")
-        return sorted(r[0] for r in spark.table(name).select(bcol).distinct().collect())
-    touched = sorted(r[0] for r in batch.select(bcol).distinct().collect())
-    table = spark.table(name)
-    part = table.filter(F.col(bcol).isin(touched))  # partition pruning to the touched buckets
-    prepared = scd1_prepare(part, batch, keys, sk, as_of, offset=max_key(table, sk))
-    state = scd1_merge(part, prepared, [sk])
-    out = f"{root.rstrip('/')}/buckets-{uuid.uuid4().hex[:8]}"
-    state.write.mode("overwrite").partitionBy(bcol).parquet(out)
-    existing = {int(r[0].split("=")[1]) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    for b in touched:
-        verb = "PARTITION ({c}={b}) SET LOCATION" if b in existing else "ADD PARTITION ({c}={b}) LOCATION"
-        spark.sql(f"ALTER TABLE {name} {verb.format(c=bcol, b=b)} '{out}/{bcol}={b}'")
-    spark.sql(f"REFRESH TABLE {name}")
+    if record["runs"]:
+        touched = sorted(r[0] for r in batch.select(bcol).distinct().collect())
+        shown = [f"({bcol} = {b} AND {rcol} = {record['runs'][str(b)]})" for b in touched if str(b) in record["runs"]]
+        part = spark.table(data).filter(" OR ".join(shown) or "false").drop(rcol)
+        prepared = scd1_prepare(part, batch, keys, sk, as_of, offset=max_key(spark.table(name), sk))
+        state = scd1_merge(part, prepared, [sk])
+    else:
+        touched, state = None, scd1_state(None, batch, keys, sk, as_of)
+    out = f"{root}/run-{run:06d}-{uuid.uuid4().hex[:8]}"
+    write_table(state, out, partition_by=[bcol])
+    if touched is None:
+        touched = sorted(r[0] for r in spark.read.parquet(out).select(bcol).distinct().collect())
+    if not spark.catalog.tableExists(data):
+        create_table(spark, data, state.withColumn(rcol, F.lit(0)), f"{root}/table", [bcol, rcol])
+    add_columns(spark, data, state)
+    _replace_partition(spark, data, [{bcol: b, rcol: run} for b in touched])
+    _add_partitions(spark, data, [({bcol: b, rcol: run}, f"{out}/{bcol}={b}") for b in touched])
+    spark.sql(f"REFRESH TABLE {data}")
+    runs = record["runs"] | {str(b): run for b in touched}
+    columns = ", ".join(f"`{c}`" for c in spark.table(data).columns if c not in (bcol, rcol))
+    shown = " ".join(f"WHEN {b} THEN {r}" for b, r in runs.items())
+    where = f"{rcol} = CASE {bcol} {shown} END" if runs else "false"
+    _switch(spark, name, {"run": run, "buckets": buckets, "runs": runs}, f"SELECT {columns} FROM {data} WHERE {where}")
     return touched

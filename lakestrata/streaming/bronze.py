@@ -5,7 +5,7 @@ not read by the source); the checkpoint remembers which files were processed, an
 ``trigger(availableNow=True)`` drains what is there and stops. Each micro-batch is handled in
 ``foreachBatch``:
 
-1. the header line of every new file is read by Spark (one small row per file reaches the driver);
+1. the header line of every new file is read (the head of the file only; one line per file reaches the driver);
 2. files are grouped by header, and each group is one ``spark.read.csv(header=True)`` (columns by name);
 3. groups are combined with ``unionByName(allowMissingColumns=True)`` (new columns appear, absent ones are
    NULL), the batch tag and ingest time are added, and the batch is written to ``batch_id=<n>`` with
@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from lakestrata.contract import EXTRACT_TAG, INGEST_TS
 from lakestrata.functions.timefmt import batch_tag
 from lakestrata.sources.landing import CSV_OPTIONS
+from lakestrata.sources.tables import write_table
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -37,13 +38,22 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
-def header_lines(spark: SparkSession, paths) -> DataFrame:
-    """(path, header) for each file: the first line of the split that starts the file."""
-    lines = spark.read.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_start"),
-        F.monotonically_increasing_id().alias("_pos"), F.col("value"))
-    return (lines.filter(F.col("_start") == 0).groupBy("path")
-            .agg(F.min_by("value", "_pos").alias("header")))
+def header_lines(spark: SparkSession, paths, workers: int = 16) -> dict[str, str]:
+    """The first line of each file, read through Spark's file systems; only the head of a file is read."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def first_line(path: str) -> str:
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(p.getFileSystem(conf).open(p), "UTF-8"))
+        try:
+            return reader.readLine() or ""
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return dict(zip(paths, pool.map(first_line, paths)))
 
 
 def _header_names(header: str) -> list[str]:
@@ -60,8 +70,9 @@ def read_by_header(spark: SparkSession, paths, rescue_column: str | None = None)
     are kept whole in that column instead of being dropped or misread.
     """
     groups: dict[str, list[str]] = defaultdict(list)
-    for row in header_lines(spark, paths).collect():  # one row per new file (bounded by maxFilesPerTrigger)
-        groups[row["header"]].append(row["path"])
+    for path, header in header_lines(spark, list(paths)).items():  # one per new file (bounded by maxFilesPerTrigger)
+        if header:  # a file without a first line holds nothing
+            groups[header].append(path)
     frames = []
     for header, ps in sorted(groups.items()):
         fields = [T.StructField(n, T.StringType()) for n in _header_names(header)]
@@ -84,13 +95,14 @@ def ingest_batch(spark: SparkSession, paths, table: str, target: str, batch_id:
     ts = F.lit(ingest_ts).cast("timestamp") if ingest_ts is not None else F.current_timestamp()
     out = (df.withColumn(EXTRACT_TAG, batch_tag("_source_file", table, tag_source))
            .withColumn(INGEST_TS, ts).drop("_source_file"))
-    out.write.mode("overwrite").partitionBy(EXTRACT_TAG).parquet(f"{target.rstrip('/')}/batch_id={batch_id}")
+    write_table(out, f"{target.rstrip('/')}/batch_id={batch_id}", partition_by=[EXTRACT_TAG])
 
 
 def run_bronze_ingest(spark: SparkSession, landing_root: str, table: str, target: str, checkpoint: str,
                       ingest_ts=None, max_files: int = 1000, glob: str = "*.csv", tag_source: str = "folder",
-                      wait: bool = True, rescue_column: str | None = None):
-    """Start the availableNow stream for one table; returns the query (finished when ``wait``)."""
+                      wait: bool = True, rescue_column: str | None = None, after_write=None):
+    """Start the availableNow stream for one table; returns the query (finished when ``wait``). ``after_write(batch_id)``
+    is called when a batch's files are written and not yet committed by the stream."""
     discovery = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
                  .option("pathGlobFilter", glob).option("recursiveFileLookup", "true")
                  .option("maxFilesPerTrigger", str(max_files))
@@ -100,6 +112,8 @@ def run_bronze_ingest(spark: SparkSession, landing_root: str, table: str, target
         paths = [r["path"] for r in paths_df.collect()]  # file names only, at most max_files
         if paths:
             ingest_batch(paths_df.sparkSession, paths, table, target, batch_id, ingest_ts, tag_source, rescue_column)
+            if after_write is not None:
+                after_write(batch_id)
 
     query = (discovery.writeStream.foreachBatch(_batch).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
