@@ -302,9 +302,8 @@ def _first_windows(batches):
             yield _found(np.array(lost, dtype=np.int64).T)
 
 
-def repeated_strings(docs: DataFrame, size: int = 100, hot: int = HOT) -> DataFrame:
-    """``docs`` (id, text, th): runs (id, th, start, n) of windows that also start at an earlier place."""
-    n = partitions_for(docs, 6 << 20)
+def repeated_strings(docs: DataFrame, n: int, size: int = 100, hot: int = HOT) -> DataFrame:
+    """``docs`` (id, text, th): runs (id, th, start, n) of windows that also start at an earlier place. ``n`` shards."""
     dealt = docs.mapInArrow(_partition(size, n), _FOUND).repartitionById(n, F.coalesce("shard", F.pmod(F.xxhash64("id", "start"), F.lit(n)).cast("int")))
     found = stored(dealt.mapInArrow(_pass_on(_scan(size, n, hot)), _FOUND), "suffix-matches")
     second = found.where("shard is not null").repartitionById(n, F.col("shard")).mapInArrow(_first_windows, _FOUND)
@@ -368,7 +367,8 @@ def remove_repeated_strings(docs: DataFrame, size: int = 100, hot: int = HOT, id
                             text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept`` (the bytes left) of every row."""
     base = told_apart(id_and_text(docs, id_col, text_col))
-    runs = (repeated_strings(base, size, hot).groupBy("id", "th")
+    n = partitions_for(docs, 6 << 20)  # of the input as read: a join has no usable size estimate
+    runs = (repeated_strings(base, n, size, hot).groupBy("id", "th")
             .agg(F.collect_list(F.struct("start", "n")).alias("cuts")))
     out = base.join(runs, ["id", "th"], "left").select("id", "text", "cuts").mapInArrow(
         _cut(size), "id long, n_bytes long, n_removed long, n_spans long, kept binary")
