@@ -228,9 +228,8 @@ def _count_windows(batches):
     yield _found([*places[:, hit], np.ones(int(hit.sum()), np.int64)])
 
 
-def repeated_runs(docs: DataFrame, size: int = 35, hot: int = HOT) -> DataFrame:
-    """``docs`` (id, text, th): runs (id, th, start, n) of windows that start in at least two places."""
-    n = partitions_for(docs, 8 << 20)
+def repeated_runs(docs: DataFrame, n: int, size: int = 35, hot: int = HOT) -> DataFrame:
+    """``docs`` (id, text, th): runs (id, th, start, n) of windows that start in at least two places. ``n`` shards."""
     packed = docs.mapInArrow(_partition(size, n), "shard int, packed binary").repartitionById(n, F.col("shard"))
     found = stored(packed.mapInArrow(_count(size, n, hot), _FOUND), "super-kmers")
     second = found.where("shard is not null").repartitionById(n, F.col("shard")).mapInArrow(_count_windows, _FOUND)
@@ -267,7 +266,8 @@ def remove_repeated_windows(docs: DataFrame, size: int = 35, hot: int = HOT, id_
                             text_col: str = "text") -> DataFrame:
     """``id_col``, ``n_words``, ``n_removed`` and ``kept`` (the words left, joined by one space) of every row."""
     base = told_apart(id_and_text(docs, id_col, text_col))
-    runs = (repeated_runs(base, size, hot).groupBy("id", "th")
+    n = partitions_for(docs, 8 << 20)  # of the input as read: a join has no usable size estimate
+    runs = (repeated_runs(base, n, size, hot).groupBy("id", "th")
             .agg(F.collect_list(F.struct("start", "n")).alias("cuts")))
     out = base.join(runs, ["id", "th"], "left").select("id", "text", "cuts").mapInArrow(
         _cut(size), "id long, n_words long, n_removed long, kept string")
