@@ -7,7 +7,7 @@ The posterior of a row's language is the product of
 * a prior for its host, smoothed towards the host's domain, which is smoothed towards the whole table.
 
 The text model is fitted on a bounded sample: at most ``SAMPLE_PER_LANGUAGE`` labelled rows of each language,
-those with the smallest hashed ids (documented bound; whole texts). Everything else covers all rows: a first pass gives
+chosen by hashed ids (documented bound; whole texts). Everything else covers all rows: a first pass gives
 each row its text posterior, and grouped sums of those posteriors (soft counts, combined before the shuffle) give the
 tables for declared languages, suffixes, hosts and domains. A row's own share is taken out of its host's
 counts, so a row is never evidence for itself.
@@ -22,7 +22,7 @@ gives an empty result; without any labelled row an error is raised unless the ta
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -104,13 +104,17 @@ def fit_text(docs: DataFrame, text_col: str = "text", label_col: str = "lang", i
     and language, at most (65,536 + 256) * 64 numbers."""
     labelled = docs.where(F.col(label_col).isNotNull() & (F.length(text_col) > 0)).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("label"))
-    languages = sorted(r["label"] for r in labelled.groupBy("label").count().orderBy(F.desc("count"), "label")
-                       .limit(MAX_LANGUAGES).collect())
+    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().orderBy(F.desc("count"), "label")
+             .limit(MAX_LANGUAGES).collect()}
+    languages = sorted(sizes)
     if not languages:
         raise ValueError("no labelled rows to fit on")
+    # rows are first thinned by their own hash to about twice the sample, so the ranking sees a bounded number of rows
     w = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    ids = labelled.select("id", "label").withColumn("nth", F.row_number().over(w)).where(
-        F.col("nth") <= SAMPLE_PER_LANGUAGE).select("id", "label")
+    n_of = reduce(lambda c, l: c.when(F.col("label") == l, F.lit(sizes[l])), languages[1:],
+                  F.when(F.col("label") == languages[0], F.lit(sizes[languages[0]])))
+    thin = labelled.select("id", "label").where(F.pmod(F.xxhash64("id"), n_of) < 2 * SAMPLE_PER_LANGUAGE)
+    ids = thin.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= SAMPLE_PER_LANGUAGE).select("id", "label")
     sample = labelled.join(F.broadcast(ids), ["id", "label"], "left_semi")  # at most 500 * 64 ids
     sample = sample.where(F.col("label").isin(languages)).select("text", "label")
     counts = (sample.mapInArrow(_sample_counts(languages), "label string, bin long, n long")
