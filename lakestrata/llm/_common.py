@@ -44,8 +44,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of a frame; used only to choose a number of partitions."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The stored size of the tables that a frame reads, or 0 where one has no known size (an estimate of the whole
+    plan would multiply the sides of a join); used only to choose a number of partitions."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(sizes) if all(n < 1 << 60 for n in sizes) else 0
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -54,8 +57,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def partitions_for(df: DataFrame, bytes_each: int) -> int:
     """At least ``spark.sql.shuffle.partitions``; more where the input is large (bounded by 100,000)."""
-    size = min(input_bytes(df), 1 << 50)
-    return max(shuffle_partitions(df.sparkSession), min(100_000, size // bytes_each + 1))
+    return max(shuffle_partitions(df.sparkSession), min(100_000, input_bytes(df) // bytes_each + 1))
 
 
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
