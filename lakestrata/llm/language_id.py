@@ -12,8 +12,9 @@ each row its text posterior, and grouped sums of those posteriors (soft counts,
 tables for declared languages, suffixes, hosts and domains. A row's own share is taken out of its host's
 counts, so a row is never evidence for itself.
 
-A row is rejected if it holds no letters, if no language reaches ``MIN_POSTERIOR``, or if its text is less like every
-language than like letters in random order (``MIN_GAIN`` nats a trigram against the byte-frequency model).
+A row is rejected if it holds no letters, if no language reaches ``MIN_POSTERIOR``, or if its text is in none of the
+languages: of its trigrams of letters and spaces (``MIN_LETTERS`` or more) less than ``MIN_KNOWN`` occur in the sample
+at all. Digits and signs have no say in that.
 
 Defined results: null and empty texts are rejected, with the language that markup, suffix and host make likeliest; no
 markup, suffix or host adds no evidence; a null id is kept as null; repeated rows each get a row; an empty table
@@ -38,7 +39,8 @@ BINS = 1 << 16
 TEMPER = 0.2  # weight of a trigram's log-likelihood
 HOST_WEIGHT = 10.0  # pseudo-counts that the wider level lends to the narrower
 MIN_POSTERIOR = 0.4
-MIN_GAIN = -1.0
+MIN_KNOWN = 0.4
+MIN_LETTERS = 20
 CHUNK = 1 << 21
 
 
@@ -69,14 +71,14 @@ def _inside(lengths: np.ndarray, total: int) -> np.ndarray:
 
 
 class TextModel:
-    """Log-probabilities of trigram bins under every language, less those of the byte-frequency model."""
+    """Log-probabilities of trigram bins under every language, and which bins occur in the sample."""
 
-    def __init__(self, languages: list[str], table: np.ndarray, bytes_log: np.ndarray):
-        self.languages, self.table, self.bytes_log = languages, table, bytes_log
+    def __init__(self, languages: list[str], table: np.ndarray, known: np.ndarray):
+        self.languages, self.table, self.known = languages, table, known
 
 
 def _sample_counts(languages: list[str]):
-    """Trigram and byte counts of labelled rows, one packed row a batch and language."""
+    """Trigram counts of labelled rows, by batch and language."""
 
     def run(batches):
         for batch in batches:
@@ -91,17 +93,15 @@ def _sample_counts(languages: list[str]):
                     of = np.isin(row, np.flatnonzero(labels == language)) & ok
                     bins = np.bincount(grams[of], minlength=BINS)
                     at = np.flatnonzero(bins)
-                    freq = np.bincount(data[: len(of)][of], minlength=256)
-                    yield pa.record_batch([pa.array([language] * (len(at) + 256)),
-                                           pa.array(np.append(at, BINS + np.arange(256))),
-                                           pa.array(np.append(bins[at], freq))], names=["label", "bin", "n"])
+                    yield pa.record_batch([pa.array([language] * len(at), pa.string()), pa.array(at), pa.array(bins[at])],
+                                          names=["label", "bin", "n"])
 
     return run
 
 
 def fit_text(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id") -> TextModel:
     """The text model of a bounded sample of labelled rows. What reaches the driver is one count for each bin
-    and language, at most (65,536 + 256) * 64 numbers."""
+    and language, at most 65,536 * 64 numbers."""
     labelled = docs.where(F.col(label_col).isNotNull() & (F.length(text_col) > 0)).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("label"))
     sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().orderBy(F.desc("count"), "label")
@@ -119,25 +119,25 @@ def fit_text(docs: DataFrame, text_col: str = "text", label_col: str = "lang", i
     sample = sample.where(F.col("label").isin(languages)).select("text", "label")
     counts = (sample.mapInArrow(_sample_counts(languages), "label string, bin long, n long")
               .groupBy("label", "bin").agg(F.sum("n").alias("n")).toArrow())
-    table = np.zeros((len(languages), BINS + 256))
+    grams = np.zeros((len(languages), BINS))
     row = np.searchsorted(languages, counts["label"].to_numpy())
-    table[row, counts["bin"].to_numpy()] = counts["n"].to_numpy()
-    grams, bytes_n = table[:, :BINS], table[:, BINS:].sum(axis=0)
+    grams[row, counts["bin"].to_numpy()] = counts["n"].to_numpy()
     total = grams.sum(axis=0)
     backed = (total + 0.5) / (total.sum() + 0.5 * BINS)  # unseen trigrams fall back to those of all languages
     log = np.log((grams + 200.0 * backed) / (grams.sum(axis=1, keepdims=True) + 200.0))
-    freq = (bytes_n + 0.5) / (bytes_n.sum() + 128.0)
-    return TextModel(languages, log.astype(np.float32), np.log(freq))
+    return TextModel(languages, log.astype(np.float32), total > 0)
 
 
 def _score(model: TextModel, text_columns: list[str]):
-    """Sums of log-likelihoods per language, trigrams, and gain of the best language over the byte model."""
+    """Sums of log-likelihoods per language, trigrams of letters and spaces, and how many of those are known."""
+    wordy = np.zeros(256, dtype=bool)
+    wordy[[32, *range(97, 123), *range(128, 256)]] = True
 
     def run(batches):
         for batch in batches:
             for b, e, lengths, data in _chunks(batch):
                 n = e - b
-                sums, plain, counts = np.zeros((n, len(model.languages))), np.zeros(n), np.zeros(n)
+                sums, known, letters = np.zeros((n, len(model.languages))), np.zeros(n), np.zeros(n)
                 if len(data) >= 3:
                     ok = _inside(lengths, len(data))
                     grams = _trigrams(data)
@@ -150,13 +150,13 @@ def _score(model: TextModel, text_columns: list[str]):
 
                     for k in range(len(model.languages)):
                         sums[:, k] = per_text(model.table[k][grams])
-                    byte = model.bytes_log[data]
-                    plain, counts = per_text(byte[:-2] + byte[1:-1] + byte[2:]), per_text(np.ones(len(grams)))
+                    w = wordy[data]
+                    w = w[:-2] & w[1:-1] & w[2:]
+                    known, letters = per_text(w & model.known[grams]), per_text(w)
                 part = batch.slice(b, n)
                 columns = [part.column(c) for c in text_columns]
-                yield pa.record_batch([*columns, pa.array(sums.tolist(), pa.list_(pa.float64())), pa.array(plain),
-                                       pa.array(counts.astype(np.int64))],
-                                      names=[*text_columns, "sums", "plain", "grams"])
+                yield pa.record_batch([*columns, pa.array(sums.tolist(), pa.list_(pa.float64())), pa.array(known),
+                                       pa.array(letters)], names=[*text_columns, "sums", "known", "wordy"])
 
     return run
 
@@ -208,7 +208,7 @@ def identify(rows: DataFrame, model: TextModel, text: Column, keep: list[str], d
                         text.rlike(r"\p{L}").alias("letters"))
     carried = [c for c in named.columns if c != "text"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema if f.name != "text")
-    scored = named.mapInArrow(_score(model, carried), f"{schema}, sums array<double>, plain double, grams long")
+    scored = named.mapInArrow(_score(model, carried), f"{schema}, sums array<double>, known double, wordy double")
     temper = F.lit(TEMPER)
     text_score = [temper * F.col("sums")[i] for i in range(k)]
     first = scored.select("*", *(p.alias(f"p{i}") for i, p in enumerate(_softmax(text_score))))
@@ -231,15 +231,15 @@ def identify(rows: DataFrame, model: TextModel, text: Column, keep: list[str], d
     def likelihood(key: str, i: int) -> Column:
         """log P(this value | language), up to what all languages share; nothing if the value is missing."""
         share = (F.greatest(F.lit(0.0), F.col(f"{key}{i}") - F.col(f"p{i}")) + 0.5) / F.lit(float(total[i]) + 1.0)
-        return F.coalesce(F.log(share), F.lit(0.0))
+        return F.when(F.col(key).isNotNull(), F.log(share)).otherwise(F.lit(0.0))
 
     scores = [text_score[i] + likelihood("declared", i) + likelihood("suffix", i) + F.log(prior[i]) for i in range(k)]
     out = out.select("*", *(s.alias(f"s{i}") for i, s in enumerate(scores)))
     out = out.select("*", *(p.alias(f"q{i}") for i, p in enumerate(_softmax([F.col(f"s{i}") for i in range(k)]))))
     posterior = F.greatest(*(F.col(f"q{i}") for i in range(k))) if k > 1 else F.col("q0")
     language = F.coalesce(*(F.when(F.col(f"q{i}") == F.col("posterior"), F.lit(l)) for i, l in enumerate(model.languages)))
-    gain = F.when(F.col("grams") > 0, (F.array_max("sums") - F.col("plain")) / F.col("grams")).otherwise(F.lit(0.0))
-    accepted = F.coalesce(F.col("letters"), F.lit(False)) & (F.col("posterior") >= MIN_POSTERIOR) & (gain >= MIN_GAIN)
+    foreign = (F.col("wordy") >= MIN_LETTERS) & (F.col("known") < MIN_KNOWN * F.col("wordy"))
+    accepted = F.coalesce(F.col("letters"), F.lit(False)) & (F.col("posterior") >= MIN_POSTERIOR) & ~foreign
     return out.withColumn("posterior", posterior).select(
         *(F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)), language.alias("language"), "posterior",
         accepted.alias("accepted"))
