@@ -32,12 +32,13 @@ def null_safe_key_condition(left: DataFrame, right: DataFrame, keys) -> Column:
 
 
 def padded(c, width: int = 15) -> Column:
-    """Key as text left-padded with zeros to ``width`` (longer values are cut to ``width``, as lpad does)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.lpad(c.cast("string"), width, "0")
+    """Key as text left-padded with zeros to ``width``; a longer key keeps all its characters (lpad would cut it, and
+    different keys would match)."""
+    c = (F.col(c) if isinstance(c, str) else c).cast("string")
+    return F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(c)
 
 
 def padded_key_condition(left: DataFrame, right: DataFrame, pairs, width: int = 15) -> Column:
-    """AND of ``lpad(l, width, '0') = lpad(r, width, '0')`` over ``(left_col, right_col)`` pairs."""
+    """AND of ``padded(l) = padded(r)`` over ``(left_col, right_col)`` pairs."""
     parts = [padded(left[lc], width) == padded(right[rc], width) for lc, rc in pairs]
     return reduce(lambda a, b: a & b, parts)

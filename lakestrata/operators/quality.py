@@ -52,6 +52,14 @@ def _unique_rules(contract: Contract, present) -> list[tuple[str, str, list]]:
     return rules
 
 
+def _rules_by_key(contract: Contract, present) -> list[tuple[list, list[tuple[str, str]]]]:
+    """The unique rules grouped by their key columns, so each key set is aggregated once: (columns, [(check, name)])."""
+    groups: dict[tuple, list] = {}
+    for chk, name, cols in _unique_rules(contract, present):
+        groups.setdefault(tuple(cols), []).append((chk, name))
+    return [(list(cols), rules) for cols, rules in groups.items()]
+
+
 def contract_checks(df: DataFrame, contract: Contract) -> DataFrame:
     """One row per (check, column): ``total`` rows and ``failed`` rows. Run on the raw (string) data so
     type failures are visible before the cast hides them as NULLs."""
@@ -66,18 +74,22 @@ def contract_checks(df: DataFrame, contract: Contract) -> DataFrame:
             .select(F.split("_name", r"\|").getItem(0).alias("check"),
                     F.split("_name", r"\|").getItem(1).alias("column_name"),
                     F.col("_total").cast("long").alias("total"), F.col("failed").cast("long")))
-    for chk, name, cols in _unique_rules(contract, set(df.columns)):
+    for cols, rules in _rules_by_key(contract, set(df.columns)):
         # group sizes per key value (NULL keys form groups too, so the sum is the row total)
         nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
         groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_cnt"), F.max(nn).alias("_nn"))
-        parts.append(groups.agg(
-            F.lit(chk).alias("check"), F.lit(name).alias("column_name"),
+        sums = groups.agg(
             F.coalesce(F.sum("_cnt"), F.lit(0)).cast("long").alias("total"),
             F.coalesce(F.sum(F.when(F.col("_nn") & (F.col("_cnt") > 1), F.col("_cnt"))), F.lit(0))
-            .cast("long").alias("failed")))
+            .cast("long").alias("failed"))
+        parts.append(sums.select(F.inline(_labels(rules)), "total", "failed"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def _labels(rules) -> Column:
+    return F.array(*[F.struct(F.lit(chk).alias("check"), F.lit(name).alias("column_name")) for chk, name in rules])
+
+
 def contract_violations(df: DataFrame, contract: Contract, id_cols) -> DataFrame:
     """One row per violated (row, check, column), identified by ``id_cols``."""
     id_cols = list(id_cols)
@@ -87,10 +99,9 @@ def contract_violations(df: DataFrame, contract: Contract, id_cols) -> DataFrame
     per_row = (df.select(*id_cols, F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("_v"))
                .select(*id_cols, "_v.check", "_v.column_name"))
     parts = [per_row]
-    for chk, name, cols in _unique_rules(contract, set(df.columns)):
+    for cols, rules in _rules_by_key(contract, set(df.columns)):
         dup = _duplicate_keys(df, cols).select(*cols)
-        parts.append(df.join(dup, cols, "left_semi")
-                     .select(*id_cols, F.lit(chk).alias("check"), F.lit(name).alias("column_name")))
+        parts.append(df.join(dup, cols, "left_semi").select(*id_cols, F.inline(_labels(rules))))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -130,11 +141,11 @@ def quarantine_split(df: DataFrame, contract: Contract) -> tuple[DataFrame, Data
     checks = _row_checks(df, contract)
     tags = [F.when(p, F.lit(f"{chk}:{col}")) for chk, col, p in checks]
     marked = df
-    for i, (chk, name, cols) in enumerate(_unique_rules(contract, set(df.columns))):
+    for i, (cols, rules) in enumerate(_rules_by_key(contract, set(df.columns))):
         flag = f"_dup{i}"
         dup = _duplicate_keys(df, cols).select(*cols, F.lit(True).alias(flag))
         marked = marked.join(dup, cols, "left")
-        tags.append(F.when(F.col(flag), F.lit(f"{chk}:{name}")))
+        tags += [F.when(F.col(flag), F.lit(f"{chk}:{name}")) for chk, name in rules]
     flags = [c for c in marked.columns if c.startswith("_dup")]
     marked = marked.withColumn("violations", F.concat_ws(",", *tags)).drop(*flags)
     ok = F.col("violations") == F.lit("")

@@ -659,7 +659,7 @@ _LANDING_COLS = ["event_id", "user_id", "event_type", "ts", "props"]
 _SPLIT_STAMPS = ("20240101_000000", "20240102_000000", "20240103_000000")
 _BRONZE_SQL = f"""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, event_type,
     strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, props,
-    CASE WHEN event_id % 3 = 2 THEN 'extra ' || event_id END AS note,
+    CASE WHEN event_id % 3 = 2 THEN 'extra ' || event_id END AS note, '2024-01-03 00:00:00' AS ingested_at,
     'DH_EVENTS_' || CASE event_id % 3 WHEN 0 THEN '{_SPLIT_STAMPS[0]}' WHEN 1 THEN '{_SPLIT_STAMPS[1]}'
                                       ELSE '{_SPLIT_STAMPS[2]}' END AS extract_timestamp
   FROM events"""
@@ -696,7 +696,8 @@ def _bronze_run(spark, d, crash: bool):
         else:
             raise AssertionError("the run was meant to fail")
     ingest()
-    return read_bronze(spark, target).select(*_LANDING_COLS, "note", C.EXTRACT_TAG)
+    at = F.date_format(C.INGEST_TS, "yyyy-MM-dd HH:mm:ss").alias("ingested_at")
+    return read_bronze(spark, target).select(*_LANDING_COLS, "note", at, C.EXTRACT_TAG)
 
 
 @register("bronze_ingest", _BRONZE_SQL)

@@ -16,7 +16,9 @@ from lakestrata.plans import star
 from lakestrata.plans.jobs import run_gold_job, run_hash_dimension_job, run_silver_job
 from lakestrata.plans.registry import _EVOLVED_OUT, _EVOLVED_SQL, _FACT_OUT, _H, _evolved_batch, _t, register
 from lakestrata.plans.star import portable, with_ctes
+from lakestrata.functions.timefmt import parse_date
 from lakestrata.session import scratch_dir
+from lakestrata.sources.landing import list_landed_files, new_files_since, write_landing_csv
 from lakestrata.sources.tables import LOAD_ID, create_schema, register_table
 
 _TAG = "DH_CUSTOMERS_19950101_000000"
@@ -141,3 +143,50 @@ def q_external_table(spark, d):
         create_schema(spark, name)
         register_table(spark, f"{name}.suppliers", path)
     return spark.table(f"{name}.suppliers")
+
+
+@register("landed_files_since", """WITH landed AS (SELECT event_type AS entity, max(ts) AS last_ts FROM events GROUP BY 1),
+  marks AS (SELECT event_type AS entity, max(ts) AS mark FROM events
+            WHERE event_type NOT IN ('view', 'error') AND ts < TIMESTAMP '2024-01-15 00:00:00' GROUP BY 1
+            UNION ALL SELECT 'error', max(ts) + INTERVAL 1 DAY FROM events WHERE event_type = 'error')
+  SELECT l.entity, l.entity || '_' || strftime(l.last_ts, '%Y%m%d_%H%M%S') || '.csv' AS name
+  FROM landed l LEFT JOIN marks m USING (entity) WHERE m.mark IS NULL OR date_trunc('second', l.last_ts) > m.mark""")
+def q_landed_files_since(spark, d):
+    """Files landed on storage, listed there, and filtered by the watermark of their entity."""
+    _, root = _names(spark, "landed")
+    ev = _t(spark, d, "events")
+    last = ev.groupBy("event_type").agg(F.max("ts").alias("last"))
+    for r in last.collect():  # one folder for each of the few event types
+        write_landing_csv(ev.filter(F.col("event_type") == r["event_type"]),
+                          f"{root}/{r['event_type']}_{r['last']:%Y%m%d_%H%M%S}.csv")
+    files = list_landed_files(spark, root).select(F.element_at(F.split("path", "/"), -2).alias("name")).distinct()
+    early = ev.filter(~F.col("event_type").isin("view", "error") & (F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")))
+    marks = early.groupBy(F.col("event_type").alias("entity_name")).agg(F.max("ts").alias("watermark_value"))
+    done = last.filter("event_type = 'error'").select("event_type", F.col("last") + F.expr("INTERVAL 1 DAY"))
+    return new_files_since(files, marks.union(done)).select("entity", "name")
+
+
+@register("rescued_lines", """SELECT CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_suppkey AS VARCHAR) END AS supplier_id,
+    CASE WHEN s_suppkey % 3 = 0 THEN '"' || s_suppkey || '","' || s_name || '","surplus"' END AS rescued FROM supplier""")
+def q_rescued_lines(spark, d):
+    """Lines with more fields than the header keep their text in the rescue column; no line is lost."""
+    from lakestrata.streaming.bronze import read_by_header
+
+    _, root = _names(spark, "rescued")
+    quoted = lambda c: F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
+    line = F.concat(quoted("s_suppkey"), F.lit(","), quoted("s_name"),
+                    F.when(F.col("s_suppkey") % 3 == 0, F.lit(',"surplus"')).otherwise(F.lit("")))
+    header = spark.range(1).select(F.lit(0).alias("n"), F.lit('"supplier_id","name"').alias("value"))
+    lines = header.union(_t(spark, d, "supplier").select(F.lit(1), line))
+    # the header belongs to the head of the file, so this small fixture is one file
+    lines.repartition(1).sortWithinPartitions("n").select("value").write.text(f"{root}/suppliers_20240101_000000.csv")
+    path = list_landed_files(spark, f"{root}/suppliers_20240101_000000.csv", glob="*.txt").first()["path"]
+    out = read_by_header(spark, [path], rescue_column="_rescued")
+    return out.select(F.when(F.col("_rescued").isNull(), F.col("supplier_id")).alias("supplier_id"), F.col("_rescued").alias("rescued"))
+
+
+@register("parse_dates", """SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderdate AS DATE) END AS order_date FROM orders""")
+def q_parse_dates(spark, d):
+    """ISO text to dates; unreadable text gives NULL."""
+    text = F.when(F.col("o_orderkey") % 5 == 0, F.lit("31/12/1999")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    return _t(spark, d, "orders").select("o_orderkey", parse_date(text).alias("order_date"))

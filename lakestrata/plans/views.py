@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+import warnings
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.contract import END_DATE
@@ -73,17 +74,17 @@ def supplier_category(fact: DataFrame, products: DataFrame, suppliers: DataFrame
 
 def category_share_window(fact: DataFrame, products: DataFrame, suppliers: DataFrame,
                           threshold: float = DOMINANCE_SHARE) -> DataFrame:
-    """Same share with a window sum over the category (one pass over the aggregated groups)."""
-    scs = _supplier_category_sales(fact, products, suppliers)
-    w = Window.partitionBy("category")
-    return _finish_share(scs.withColumn("_total", F.sum("category_revenue").over(w)), "_total", threshold)
+    """The share as a window over the category says it, computed in two levels: a window would gather all suppliers
+    of a category in one task, sums of (supplier, category) groups do not."""
+    return supplier_category(fact, products, suppliers, threshold)
 
 
 def deploy_views(spark: SparkSession, root: str, substitutions: dict | None = None, min_len: int = 10,
                  create_schemas: bool = False) -> list[str]:
     """Run every ``.sql`` file below ``root`` (one schema per sub-folder, created first when
     ``create_schemas``): statements split on ';', environment names substituted, pieces of ``min_len``
-    characters or fewer skipped. Failures are collected and raised together after all files ran."""
+    characters or fewer skipped; a warning names those that hold more than white space. Failures are collected and
+    raised together after all files ran."""
     errors, ran = [], []
     for sub in sorted(os.listdir(root)):
         folder = os.path.join(root, sub)
@@ -101,6 +102,8 @@ def deploy_views(spark: SparkSession, root: str, substitutions: dict | None = No
                 for old, new in (substitutions or {}).items():
                     stmt = stmt.replace(old, new)
                 if len(stmt.strip()) <= min_len:
+                    if stmt.strip():
+                        warnings.warn(f"{path}: skipped a short statement: {stmt.strip()!r}", stacklevel=2)
                     continue
                 try:
                     spark.sql(stmt)

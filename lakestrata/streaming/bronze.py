@@ -79,7 +79,9 @@ def read_by_header(spark: SparkSession, paths, rescue_column: str | None = None)
         reader = spark.read.options(**CSV_OPTIONS).option("enforceSchema", "true")
         if rescue_column:
             fields.append(T.StructField(rescue_column, T.StringType()))
-            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", rescue_column)
+            # without pruning: a parser that reads only some columns does not notice surplus fields
+            reader = (reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", rescue_column)
+                      .option("columnPruning", "false"))
         frames.append(reader.schema(T.StructType(fields)).csv(sorted(ps))
                       .withColumn("_source_file", F.col("_metadata.file_path")))
     if not frames:
