@@ -35,12 +35,33 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+ORACLE["op1_topk_search"] = """WITH v AS (
+    SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+  scored AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+  FROM scored QUALIFY rank <= 5"""
+
+
 @query
 def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5, scale=256)
 
 
+ORACLE["op2_substring_dedup"] = r"""WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+  starts AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM w),
+  again AS (SELECT doc_id, i FROM starts QUALIFY count(*) OVER (PARTITION BY list_slice(ws, i, i + 34)) > 1),
+  gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p, TRUE AS hit FROM again),
+  words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+  left_over AS (SELECT doc_id, count(hit) AS n_removed, string_agg(word, ' ' ORDER BY p) FILTER (hit IS NULL) AS kept
+    FROM words LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
+  SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+  FROM w LEFT JOIN left_over USING (doc_id)"""
+
+
 @query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeated_windows(read(spark, sf_dir, "documents"), size=35)
