@@ -120,21 +120,70 @@ def _windows(string: bytes, size: int) -> list[bytes]:
     return [string[e - n: f] for e, n, f in zip(ends, lengths, ends[size - 1:])]
 
 
-def _gather(batches):
-    """All packed rows of a task: different strings, their minimisers, and the occurrences of strings."""
-    index: dict[bytes, int] = {}
-    lead, which, places = [], [], []
-    for batch in batches:
-        for packed in batch.column("packed").to_pylist():
-            strings, (m, w, ids, hashes, first) = S.unpack(packed)
-            before = len(index)
-            here = np.fromiter((index.setdefault(s, len(index)) for s in strings), np.int64, len(strings))
-            lead.append(m[here >= before])
-            which.append(here[w])
-            places.append(np.stack([ids, hashes, first]))
-    if not index:
-        return [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((3, 0), np.int64)
-    return list(index), np.concatenate(lead), np.concatenate(which), np.concatenate(places, axis=1)
+class Bucket:
+    """The super-k-mers of a task, row by row. Only different strings are kept, each with its first place: when a
+    string comes again, its places are repeated and go out at once."""
+
+    def __init__(self, size: int, shards: int, hot: int):
+        self.size, self.shards, self.hot = size, shards, hot
+        self.place: dict[bytes, tuple[int, int, int] | None] = {}  # None: known to be repeated, its places are out
+        self.of_lead: dict[int, list[bytes]] = {}
+        self.hot_leads: set[int] = set()
+
+    def add(self, packed: bytes):
+        """Take one packed row; yields what it settles."""
+        strings, (lead, which, ids, hashes, first) = S.unpack(packed)
+        times = np.bincount(which, minlength=len(strings))
+        again, out, dealt = times >= 2, [], []
+        where = np.empty(len(strings), dtype=np.int64)
+        where[which] = np.arange(len(which))
+        for at, (s, m, n) in enumerate(zip(strings, lead.tolist(), times.tolist())):
+            here = None if n > 1 else (int(ids[where[at]]), int(hashes[where[at]]), int(first[where[at]]))
+            if m in self.hot_leads:
+                dealt.append((s, here))
+            elif s in self.place:
+                again[at] = True
+                if self.place[s] is not None:
+                    out.append((s, self.place[s]))
+                    self.place[s] = None
+            else:
+                self.place[s] = here
+                group = self.of_lead.setdefault(m, [])
+                group.append(s)
+                if len(group) > self.hot:  # the group leaves; what comes later follows it
+                    self.hot_leads.add(m)
+                    dealt += [(x, self.place.pop(x)) for x in self.of_lead.pop(m)]
+        yield from self._whole([(strings[w], (i, h, f)) for w, i, h, f in zip(
+            which[again[which]].tolist(), ids[again[which]].tolist(), hashes[again[which]].tolist(), first[again[which]].tolist())] + out)
+        yield from self._deal(dealt)
+
+    def _whole(self, repeated):
+        """All windows of these (string, place) are repeated."""
+        if repeated:
+            i, h, f = zip(*(p for _, p in repeated))
+            yield _found([i, h, f, [s.count(b" ") + 2 - self.size for s, _ in repeated]])
+
+    def _deal(self, dealt):
+        for at in range(0, len(dealt), 4096):
+            yield _deal_windows(dealt[at: at + 4096], self.size, self.shards)
+
+    def finish(self):
+        """Count the windows of strings that share a minimiser but differ."""
+        for group in self.of_lead.values():
+            if len(group) < 2 or all(self.place[s] is None for s in group):
+                continue
+            windows, owner, offset = [], [], []
+            for s in group:
+                cut = _windows(s, self.size)
+                windows += cut
+                owner += [s] * len(cut)
+                offset += range(len(cut))
+            order = sorted(range(len(windows)), key=windows.__getitem__)
+            hit = {x for a, b in zip(order, order[1:]) if windows[a] == windows[b] for x in (a, b)}
+            rows = [(*self.place[owner[x]][:2], self.place[owner[x]][2] + offset[x], 1) for x in sorted(hit)
+                    if self.place[owner[x]] is not None]
+            if rows:
+                yield _found(list(zip(*rows)))
 
 
 def _found(columns=(), shard=(), packed=()) -> pa.RecordBatch:
@@ -149,65 +198,35 @@ def _count(size: int, shards: int, hot: int):
     """Buckets to repeated runs (id, th, first word, number of windows) and packed windows of hot minimisers."""
 
     def run(batches):
-        strings, lead, which, places = _gather(batches)
-        if not strings:
-            return
-        times = np.bincount(which, minlength=len(strings))
-        whole = times[which] >= 2
-        n_windows = np.fromiter((s.count(b" ") + 2 - size for s in strings), np.int64, len(strings))
-        yield _found([*places[:, whole], n_windows[which[whole]]])
-        occurrence = np.empty(len(strings), dtype=np.int64)
-        occurrence[which] = np.arange(len(which))
-        for _, group in S.grouped(lead):
-            if len(group) < 2 or not (times[group] == 1).any():
-                continue
-            if len(group) > hot:
-                yield from _deal_windows(strings, group, times, occurrence, places, size, shards)
-                continue
-            starts, numbers = [], []
-            windows, owner, offset = [], [], []
-            for g in group.tolist():
-                cut = _windows(strings[g], size)
-                windows += cut
-                owner += [g] * len(cut)
-                offset += range(len(cut))
-            order = sorted(range(len(windows)), key=windows.__getitem__)
-            flagged = [False] * len(windows)
-            for a, b in zip(order, order[1:]):
-                if windows[a] == windows[b]:
-                    flagged[a] = flagged[b] = True
-            for i, hit in enumerate(flagged):
-                if hit and times[owner[i]] == 1:
-                    starts.append(offset[i])
-                    numbers.append(occurrence[owner[i]])
-            if starts:
-                p = places[:, numbers]
-                yield _found([p[0], p[1], p[2] + np.array(starts), np.ones(len(starts), np.int64)])
+        bucket = Bucket(size, shards, hot)
+        for batch in batches:
+            for packed in batch.column("packed"):
+                yield from bucket.add(packed.as_py())
+        yield from bucket.finish()
 
     return run
 
 
-def _deal_windows(strings, group, times, occurrence, places, size, shards):
-    """The windows of a hot minimiser, packed by a hash of their own text. A window of a super-k-mer that occurs
-    more than once travels without places: its places are already found."""
+def _deal_windows(dealt, size: int, shards: int) -> pa.RecordBatch:
+    """The windows of super-k-mers of hot minimisers, packed by a hash of their own text. Those of a super-k-mer that
+    is repeated as a whole travel without places: its places are out already."""
     from xxhash import xxh64_intdigest
 
-    for at in range(0, len(group), 4096):
-        windows, known, where = [], [], []
-        for g in group[at: at + 4096].tolist():
-            cut = _windows(strings[g], size)
-            windows += cut
-            known += [times[g] >= 2] * len(cut)
-            i, h, f = places[:, occurrence[g]].tolist()
-            where += [(i, h, f + j) for j in range(len(cut))]
-        where = np.array(where, dtype=np.int64).reshape(-1, 3)
-        known = np.array(known)
-        shard = np.fromiter((xxh64_intdigest(w) % shards for w in windows), np.int64, len(windows))
-        out = []
-        for s, rows in S.grouped(shard):
-            w = where[rows]
-            out.append((s, S.pack([windows[r] for r in rows.tolist()], known[rows], w[:, 0], w[:, 1], w[:, 2])))
-        yield _found((), [s for s, _ in out], [p for _, p in out])
+    windows, known, where = [], [], []
+    for s, place in dealt:
+        cut = _windows(s, size)
+        windows += cut
+        known += [place is None] * len(cut)
+        i, h, f = place or (0, 0, 0)
+        where += [(i, h, f + j) for j in range(len(cut))]
+    where = np.array(where, dtype=np.int64).reshape(-1, 3)
+    known = np.array(known)
+    shard = np.fromiter((xxh64_intdigest(w) % shards for w in windows), np.int64, len(windows))
+    out = []
+    for s, rows in S.grouped(shard):
+        w = where[rows]
+        out.append((s, S.pack([windows[r] for r in rows.tolist()], known[rows], w[:, 0], w[:, 1], w[:, 2])))
+    return _found((), [s for s, _ in out], [p for _, p in out])
 
 
 def _count_windows(batches):
