@@ -22,8 +22,6 @@ rows each get the same result; a null doc_id is kept as null; an empty table giv
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -7,7 +7,7 @@ from lakestrata.llm import language_id as L
 from lakestrata.llm import piece_dropout as P
 from lakestrata.llm import simhash_dedup as H
 from lakestrata.llm.surrogates import replace_entities
-from lakestrata.llm.queries import DROPOUT_SEED, SURROGATE_KEY
+from lakestrata.llm.queries import SURROGATE_KEY
 from llm_tables import edge_docs, no_docs  # noqa: F401
 from test_dedup import groups
 from test_text import brute_items, texts_of

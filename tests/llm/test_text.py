@@ -6,7 +6,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
-import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from lakestrata.llm import piece_dropout as P
 from lakestrata.llm import secrets_scan as X
 from lakestrata.llm import surrogates as U
 from lakestrata.llm import token_counts as T
-from llm_tables import DOC_SCHEMA, LONG, SOLID, doc, edge_docs, no_docs  # noqa: F401
+from llm_tables import DOC_SCHEMA, doc, edge_docs, no_docs  # noqa: F401
 
 MODEL = "piece_bpe_32k.model"
 
