@@ -5,11 +5,12 @@ a word mark after another character, so no token crosses units; this is checked
 unit, characters are merged as the agenda says: always the candidate pair whose piece has the best score,
 the leftmost of equals. A candidate is skipped for good if a hash keyed by ``seed`` of (variant, place, left
 symbol, right symbol) falls below ``dropout``; so the same seed gives the same tokens on every run and
-executor. Each unit of each document draws one of ``VARIANTS`` variants by a hash keyed by the seed, the id and the
-unit's number, so occurrences of a word are cut differently; ``dropout`` 0 gives the library's tokens.
+executor. The variant of a unit is a hash keyed by the seed, the document's id and the unit's number, so every
+occurrence of a word draws for itself; ``dropout`` 0 gives the library's tokens.
 
-Equal (unit, variant) pairs of a chunk are encoded once, all together: every round merges the best candidate of
-each unit. Units longer than ``LONG_UNIT`` characters go through a heap instead, which takes n log n steps.
+The occurrences in a chunk are encoded all together: those of one unit share the work for as long as they drop
+the same candidates, and every round merges the best candidate of each such group. Units longer than ``LONG_UNIT``
+characters go through a heap instead, which takes n log n steps, once for each occurrence.
 
 Characters outside the vocabulary, and a literal word mark in the text, become byte pieces, so decoding gives the
 very text back. Defined results: a null or empty text has no tokens and decodes to the empty text; repeated rows
@@ -30,9 +31,9 @@ from pyspark.sql import DataFrame
 from lakestrata.llm._common import by_bytes, id_and_text, mix64, public_id
 from lakestrata.llm.token_counts import MARK, tokenizer_path
 
-VARIANTS = 8
+VARIANTS = 1 << 62  # range of the hash that is an occurrence's variant
 LONG_UNIT = 48
-TOGETHER = 1 << 16  # units merged together, to bound memory
+TOGETHER = 1 << 18  # occurrences merged together, to bound memory
 CHUNK = 1 << 23
 _M64 = (1 << 64) - 1
 _NONE = np.int32(2 ** 31 - 1)
@@ -130,86 +131,109 @@ def load(name: str) -> PieceModel:
     return PieceModel(name)
 
 
-def skipped(seed: int, variant, place, left, right, dropout: float):
-    """Is the candidate dropped? Arrays or numbers; keyed by the seed."""
+def candidate_hash(seed: int, place, left, right) -> np.ndarray:
+    """The candidate's part of what decides whether it is dropped. Arrays or numbers; keyed by the seed."""
     with np.errstate(over="ignore"):
-        pair = np.asarray(left, dtype=np.uint64) << np.uint64(32) | np.asarray(right, dtype=np.uint64)
-        at = np.asarray(variant, dtype=np.uint64) << np.uint64(40) | np.asarray(place, dtype=np.uint64)
-        x = mix64((pair * np.uint64(0xD1342543DE82EF95)) ^ (at * np.uint64(0xAF251AF3B0F025B5)) ^ np.uint64(seed & _M64))
+        pair = np.asarray(left).astype(np.uint64) << np.uint64(32) | np.asarray(right).astype(np.uint64)
+        at = np.asarray(place).astype(np.uint64)
+        return mix64((pair * np.uint64(0xD1342543DE82EF95)) ^ (at * np.uint64(0xAF251AF3B0F025B5)) ^ np.uint64(seed & _M64))
+
+
+def skipped(candidate: np.ndarray, variant, dropout: float):
+    """Is the candidate dropped in the occurrences with these variants?"""
+    if dropout <= 0:
+        return np.zeros(np.shape(candidate), dtype=bool)
+    with np.errstate(over="ignore"):
+        x = mix64(candidate + np.asarray(variant).astype(np.uint64))
     return x < np.uint64(min(_M64, int(dropout * 2.0 ** 64)))
 
 
-def merge_rounds(model: PieceModel, symbols: np.ndarray, lengths: np.ndarray, variants: np.ndarray, seed: int, dropout: float):
-    """Merge all units together. Returns the symbols left and how many each unit has.
+def merge_rounds(model: PieceModel, symbols: np.ndarray, lengths: np.ndarray, which: np.ndarray, variants: np.ndarray,
+                 seed: int, dropout: float):
+    """Merge all occurrences together; occurrence i is of unit ``which[i]``. Returns the symbols left in each form, how
+    many each form has, and the form of each occurrence.
 
-    Units with the same number of symbols are the rows of a table. A round merges the best candidate of every
-    row, which leaves rows one symbol shorter that join the units of that length; rows without a candidate are done.
+    A row stands for all occurrences of a unit whose candidates had the same fate so far; rows with the same number of
+    symbols are a table. A round asks every occurrence whether it drops the best candidate of its row. Those that do
+    stay in the table, in a row without that candidate; the others go on in a row one symbol shorter, which joins
+    the units of that length. Rows without a candidate are forms.
     """
-    counts = np.zeros(len(lengths), dtype=np.int64)
-    if not len(lengths):
-        return symbols, counts
+    form = np.zeros(len(which), dtype=np.int64)
+    if not len(which):
+        return symbols[:0], form[:0], form
     begin = np.cumsum(lengths) - lengths
-
-    def candidates(unit, left, right, place):
-        """Ranks of symbol pairs; ``_NONE`` where they do not merge or are dropped."""
-        rank = np.full(len(left), _NONE)
-        pair = model.find_pairs(left, right)
-        good = np.flatnonzero(pair >= 0)
-        if dropout > 0:
-            good = good[~skipped(seed, variants[unit[good]], place[good], left[good], right[good], dropout)]
-        rank[good] = model.pair_rank[pair[good]]
-        return rank
-
-    def pairs_of(unit, table, place):
-        n, width = table.shape
-        rank = np.full((n, width), _NONE)
-        if width > 1:
-            rank[:, :-1] = candidates(np.repeat(unit, width - 1), table[:, :-1].ravel(), table[:, 1:].ravel(),
-                                      place[:, :-1].ravel()).reshape(n, width - 1)
-        return rank
-
-    done = []
-    unit, table = np.zeros(0, np.int64), np.zeros((0, 0), np.int64)
-    place, rank = table, table
+    width_of = lengths[which]
+    by_width = np.argsort(width_of.astype(np.int16), kind="stable")
+    edges = np.searchsorted(width_of[by_width], np.arange(int(lengths.max()) + 2))
+
+    def candidates(left, right):
+        """Ranks of symbol pairs; ``_NONE`` where they do not merge."""
+        pair = model.find_pairs(left.astype(np.int64), right.astype(np.int64))
+        return np.where(pair >= 0, model.pair_rank[pair], _NONE)
+
+    done, forms = [], 0
+    occ, at = np.zeros(0, np.int64), np.zeros(0, np.int64)  # occurrences in the table, and the row of each
+    table, place, rank = np.zeros((0, 0), np.int32), np.zeros((0, 0), np.int8), np.zeros((0, 0), np.int32)
+    slot = np.zeros(len(lengths), dtype=np.int64)
     for width in range(int(lengths.max()), 0, -1):
         new = np.flatnonzero(lengths == width)
         if len(new):
-            fresh = symbols[begin[new][:, None] + np.arange(width)]
-            spots = np.broadcast_to(np.arange(width), fresh.shape)
-            ranks = pairs_of(new, fresh, spots)
-            if len(unit):
-                unit, table = np.concatenate([unit, new]), np.concatenate([table, fresh])
-                place, rank = np.concatenate([place, spots]), np.concatenate([rank, ranks])
+            fresh = symbols[begin[new][:, None] + np.arange(width)].astype(np.int32)
+            ranks = np.full(fresh.shape, _NONE)
+            ranks[:, :-1] = candidates(fresh[:, :-1].ravel(), fresh[:, 1:].ravel()).reshape(len(new), width - 1)
+            spots = np.broadcast_to(np.arange(width, dtype=np.int8), fresh.shape)
+            slot[new] = len(table) + np.arange(len(new))
+            more = by_width[edges[width]: edges[width + 1]]
+            occ, at = np.concatenate([occ, more]), np.concatenate([at, slot[which[more]]])
+            if len(table):
+                table, place, rank = (np.concatenate(x) for x in ((table, fresh), (place, spots), (rank, ranks)))
             else:
-                unit, table, place, rank = new, fresh, spots, ranks
-        if not len(unit):
-            continue
-        row, best = np.arange(len(unit)), rank.argmin(axis=1)
-        active = rank[row, best] < _NONE
-        if not active.all():
-            done.append((unit[~active], table[~active]))
-            unit, table, place, rank, best = unit[active], table[active], place[active], rank[active], best[active]
-            row = np.arange(len(unit))
-        if not len(unit):
-            continue
-        merged = model.pair_piece[model.find_pairs(table[row, best], table[row, best + 1])]
-        stay = np.ones(table.shape, dtype=bool)
-        stay[row, best + 1] = False
-        shape = (len(unit), width - 1)
-        rank[row, best] = rank[row, best + 1]
-        table, place, rank = table[stay].reshape(shape), place[stay].reshape(shape), rank[stay].reshape(shape)
-        table[row, best] = merged
-        for r, at in ((row[best < width - 2], best[best < width - 2]), (row[best > 0], best[best > 0] - 1)):
-            rank[r, at] = candidates(unit[r], table[r, at], table[r, at + 1], place[r, at])
-        r = row[best == width - 2]
-        rank[r, width - 2] = _NONE
-    for units, rows in done:
-        counts[units] = rows.shape[1]
-    at = np.cumsum(counts) - counts
-    out = np.empty(int(counts.sum()), dtype=np.int64)
-    for units, rows in done:
-        out[at[units][:, None] + np.arange(rows.shape[1])] = rows
-    return out, counts
+                table, place, rank = fresh, spots, ranks
+        shorter, moved = [], 0
+        while len(table):
+            row, best = np.arange(len(table)), rank.argmin(axis=1)
+            active = rank[row, best] < _NONE
+            if not active.all():
+                go_on = active[at]
+                form[occ[~go_on]] = (forms + np.cumsum(~active) - 1)[at[~go_on]]
+                done.append(table[~active])
+                forms += len(done[-1])
+                occ, at = occ[go_on], (np.cumsum(active) - 1)[at[go_on]]
+                table, place, rank, best = table[active], place[active], rank[active], best[active]
+                row = np.arange(len(table))
+                if not len(table):
+                    break
+            skip = skipped(candidate_hash(seed, place[row, best], table[row, best], table[row, best + 1])[at],
+                           variants[occ], dropout)
+            merging, waiting = np.zeros(len(table), dtype=bool), np.zeros(len(table), dtype=bool)
+            merging[at[~skip]] = True
+            waiting[at[skip]] = True
+            shorter.append((occ[~skip], (moved + np.cumsum(merging) - 1)[at[~skip]],
+                            *_merged(model, candidates, table[merging], place[merging], rank[merging], best[merging])))
+            moved += len(shorter[-1][2])
+            occ, at = occ[skip], (np.cumsum(waiting) - 1)[at[skip]]
+            rank[row, best] = _NONE  # dropped for good where they wait
+            table, place, rank = table[waiting], place[waiting], rank[waiting]
+        if shorter:
+            occ, at, table, place, rank = (np.concatenate(x) for x in zip(*shorter))
+    counts = np.concatenate([np.full(len(rows), rows.shape[1], dtype=np.int64) for rows in done])
+    return np.concatenate([rows.ravel() for rows in done]).astype(np.int64), counts, form
+
+
+def _merged(model: PieceModel, candidates, table: np.ndarray, place: np.ndarray, rank: np.ndarray, best: np.ndarray):
+    """The rows (symbols, places, ranks) with the candidate at ``best`` merged."""
+    row, width = np.arange(len(table)), table.shape[1]
+    left, right = table[row, best].astype(np.int64), table[row, best + 1].astype(np.int64)
+    merged = model.pair_piece[model.find_pairs(left, right)]
+    stay = np.ones(table.shape, dtype=bool)
+    stay[row, best + 1] = False
+    shape = (len(table), width - 1)
+    table, place, rank = table[stay].reshape(shape), place[stay].reshape(shape), rank[stay].reshape(shape)
+    table[row, best] = merged
+    for r, at in ((row[best < width - 2], best[best < width - 2]), (row[best > 0], best[best > 0] - 1)):
+        rank[r, at] = candidates(table[r, at], table[r, at + 1])
+    rank[row[best == width - 2], width - 2] = _NONE
+    return table, place, rank
 
 
 def merge_heap(model: PieceModel, symbols: np.ndarray, variant: int, seed: int, dropout: float) -> list[int]:
@@ -226,7 +250,7 @@ def merge_heap(model: PieceModel, symbols: np.ndarray, variant: int, seed: int,
         pairs = [(i, a, b, m) for i, a, b in pairs if (m := model.merges.get(a << 32 | b))]
         if pairs and dropout > 0:
             i, a, b, _ = zip(*pairs)
-            pairs = [p for p, skip in zip(pairs, skipped(seed, variant, i, a, b, dropout)) if not skip]
+            pairs = [p for p, skip in zip(pairs, skipped(candidate_hash(seed, i, a, b), variant, dropout)) if not skip]
         for i, a, b, (rank, piece) in pairs:
             heapq.heappush(agenda, (rank, i, a, b, piece))
 
@@ -261,29 +285,42 @@ def to_tokens(model: PieceModel, symbols: np.ndarray, counts: np.ndarray) -> tup
     return out.astype(np.int32), np.bincount(owner, weights=width, minlength=len(counts)).astype(np.int64)
 
 
-def encode_units(model: PieceModel, units: list[str], variants: np.ndarray, seed: int, dropout: float):
-    """Token ids of units (each stands for one space and its text), joined, and how many each has."""
+def encode_units(model: PieceModel, units: list[str], variants: np.ndarray, seed: int, dropout: float,
+                 which: np.ndarray | None = None):
+    """Token ids of occurrences of units (each stands for one space and its text), joined, and how many each has.
+    Occurrence i is of unit ``which[i]`` (without ``which``, of unit i) and has the variant ``variants[i]``."""
+    which = np.arange(len(units)) if which is None else which
     text = " " + " ".join(units) if units else ""
     lengths = np.fromiter(map(len, units), np.int64, len(units)) + 1
     symbols = model.symbols(text)
-    long = lengths > LONG_UNIT
     begin = np.cumsum(lengths) - lengths
+    long = lengths[which] > LONG_UNIT
+    form = np.zeros(len(which), dtype=np.int64)
+    parts, sizes, forms = [], [], 0
     short = np.flatnonzero(~long)
-    kept, counts_short = merge_rounds(model, symbols[np.repeat(~long, lengths)], lengths[short], variants[short], seed, dropout)
-    if not long.any():
-        return to_tokens(model, kept, counts_short)
-    counts = np.zeros(len(units), dtype=np.int64)
-    counts[short] = counts_short
-    merged = {}
-    for u in np.flatnonzero(long).tolist():
-        merged[u] = merge_heap(model, symbols[begin[u]: begin[u] + lengths[u]], int(variants[u]), seed, dropout)
-        counts[u] = len(merged[u])
-    out = np.zeros(int(counts.sum()), dtype=np.int64)
-    out[np.repeat(~long, counts)] = kept
-    at = np.cumsum(counts) - counts
-    for u, s in merged.items():
-        out[at[u]: at[u] + len(s)] = s
-    return to_tokens(model, out, counts)
+    short = short[np.argsort(which[short], kind="stable")]  # the occurrences of a unit together
+    for b in range(0, len(short), TOGETHER):
+        part = short[b: b + TOGETHER]
+        used, at = np.unique(which[part], return_inverse=True)
+        flat = np.repeat(begin[used] - (np.cumsum(lengths[used]) - lengths[used]), lengths[used])
+        kept, counts, of = merge_rounds(model, symbols[flat + np.arange(len(flat))], lengths[used], at, variants[part], seed, dropout)
+        form[part] = forms + of
+        parts.append(kept)
+        sizes.append(counts)
+        forms += len(counts)
+    for o in np.flatnonzero(long).tolist():
+        u = which[o]
+        kept = merge_heap(model, symbols[begin[u]: begin[u] + lengths[u]], int(variants[o]), seed, dropout)
+        form[o] = forms
+        parts.append(np.array(kept, dtype=np.int64))
+        sizes.append([len(kept)])
+        forms += 1
+    if not forms:
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    tokens, counts = to_tokens(model, np.concatenate(parts), np.concatenate(sizes))
+    first, width = (np.cumsum(counts) - counts)[form], counts[form]
+    ends = np.cumsum(width)
+    return tokens[np.repeat(first - (ends - width), width) + np.arange(int(ends[-1]))], width
 
 
 def split_units(texts: pa.Array) -> pa.ListArray:
@@ -310,21 +347,10 @@ def encode_texts(model: PieceModel, ids: np.ndarray, texts: pa.Array, seed: int,
     number = np.arange(len(words)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
     with np.errstate(over="ignore"):
         draw = mix64(mix64(np.repeat(ids, per_text).astype(np.uint64) ^ np.uint64(seed & _M64)) + number.astype(np.uint64))
-    variant = (draw % np.uint64(VARIANTS)).astype(np.int64) if dropout > 0 else np.zeros(len(words), np.int64)
+    variant = (draw % np.uint64(VARIANTS)).astype(np.int64)
     coded = words.dictionary_encode()
-    code = coded.indices.to_numpy().astype(np.int64) * VARIANTS + variant
-    present = np.zeros(len(coded.dictionary) * VARIANTS, dtype=bool)
-    present[code] = True
-    used = np.flatnonzero(present)
-    which = (np.cumsum(present) - 1)[code]
-    units = coded.dictionary.take(pa.array(used // VARIANTS)).to_pylist()
-    parts = [encode_units(model, units[b: b + TOGETHER], used[b: b + TOGETHER] % VARIANTS, seed, dropout)
-             for b in range(0, len(units), TOGETHER)]
-    tokens, counts = (np.concatenate(x) for x in zip(*parts))
-    begin, width = (np.cumsum(counts) - counts)[which], counts[which]
-    ends = np.cumsum(width)
-    flat = tokens[np.repeat(begin - (ends - width), width) + np.arange(int(ends[-1]))]
-    edges = np.append(0, ends)[np.append(0, np.cumsum(per_text))]
+    flat, width = encode_units(model, coded.dictionary.to_pylist(), variant, seed, dropout, coded.indices.to_numpy().astype(np.int64))
+    edges = np.append(0, np.cumsum(width))[np.append(0, np.cumsum(per_text))]
     return pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(flat))
 
 

@@ -135,6 +135,56 @@ def test_rounds_equal_the_heap(monkeypatch):
     assert (a == b).all() and (n == m).all()
 
 
+def test_every_occurrence_draws_for_itself():
+    model, n = P.load(MODEL), 20_000
+    tokens = P.encode_texts(model, np.array([1, 2]), pa.array([" ".join(["internationally"] * n)] * 2), 3, 0.1)
+    text, word = library().encode("internationally"), "internationally"
+    rows = [r for doc in tokens.to_pylist() for r in by_word(model, doc)]
+    assert len(rows) == 2 * n and all(P.decode_tokens(model, r) == word for r in rows)
+    assert len(set(map(tuple, rows))) > 100  # eight fixed draws give at most eight
+    rng, runs = random.Random(9), 4000
+    share, want = sum(r == text for r in rows) / len(rows), sum(drawn(model, word, rng, 0.1) == text for _ in range(runs)) / runs
+    assert abs(share - want) < 5 * (want * (1 - want) / runs) ** 0.5
+
+
+def drawn(model, word, rng, dropout):
+    """Symbols of a word where each candidate is dropped for good by an independent draw."""
+    s, drop = [(i, x) for i, x in enumerate(model.symbols(" " + word).tolist())], {}
+    while True:
+        pairs = [(model.merges[a << 32 | b], at, (i, a, b)) for at, ((i, a), (_, b)) in enumerate(zip(s, s[1:])) if a << 32 | b in model.merges]
+        for _, _, c in pairs:
+            if c not in drop:
+                drop[c] = rng.random() < dropout
+        left = [(m[0], at, m[1]) for m, at, c in pairs if not drop[c]]
+        if not left:
+            return [x for _, x in s]
+        _, at, piece = min(left)
+        s[at: at + 2] = [(s[at][0], piece)]
+
+
+def test_occurrences_equal_the_heap():
+    model, rng, seed = P.load(MODEL), random.Random(6), 12
+    pool = ["".join(rng.choice("abcdetinorsé日\n") for _ in range(rng.randint(0, 30))) for _ in range(50)] + ["transportation"] * 20
+    units = [rng.choice(pool) for _ in range(3000)]
+    keys = np.array([rng.getrandbits(62) for _ in units])
+    which = np.array([pool.index(u) for u in units])
+    flat, counts = P.encode_units(model, pool, keys, seed, 0.3, which)
+    got = [x.tolist() for x in np.split(flat, np.cumsum(counts)[:-1])]
+    for u, k, tokens in zip(units, keys.tolist(), got):
+        kept = P.merge_heap(model, model.symbols(" " + u), k, seed, 0.3)
+        assert tokens == P.to_tokens(model, np.array(kept), np.array([len(kept)]))[0].tolist()
+
+
+def by_word(model, tokens):
+    """Tokens of a text cut before each that begins with a space."""
+    out = []
+    for t in tokens:
+        if model.token_bytes[t][:1] == b" ":
+            out.append([])
+        out[-1].append(t)
+    return out
+
+
 # ------------------------------------------------------------------ decontamination
 def brute_items(docs, items):
     cut = lambda t: [w for w in re.split(C.SEPARATORS, (t or "").lower()) if w]
