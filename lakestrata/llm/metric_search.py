@@ -16,8 +16,9 @@ In a tree, pages wait in a queue ordered by their smallest possible distance. En
 computing a distance where |d(q, parent) - d(entry, parent)| less the covering radius exceeds the k-th
 distance. Queries visit trees in blocks; the k best of each tree are merged by a ranked window.
 
-Of equal vectors only the k+1 smallest ids can ever be in a result, so only those are indexed (a ranked window,
-limited before the shuffle): a vector that a third of all rows share costs k+1 rows.
+Of equal vectors only the k+1 smallest different ids can ever be in a result (one may be the query's own), each at most
+k times, so only those are indexed (rows counted by vector and id, then a ranked window limited before the shuffle): a
+vector that a third of all rows share costs at most k (k+1) rows, k+1 where ids are unique.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; shorter vectors count
 as padded with zeros; rows with a null id take no part; repeated rows (same id) are candidates each; a query never
@@ -148,10 +149,13 @@ class Tree:
             if len(best) == k:
                 better = np.flatnonzero(scores >= best[0][0])
                 scores, ids = scores[better], ids[better]
-            elif len(scores) > 4 * (k + 1):  # the page's own k + 1 best, ties included
-                worst = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
-                better = np.flatnonzero(scores >= worst)
-                scores, ids = scores[better], ids[better]
+            elif len(scores) > 4 * (k + 1):  # the page's own k best, ties included; the query's id may be many rows
+                others = np.flatnonzero(ids != query_id)
+                scores, ids = scores[others], ids[others]
+                if len(scores) > k:
+                    worst = np.partition(scores, len(scores) - k)[len(scores) - k]
+                    better = np.flatnonzero(scores >= worst)
+                    scores, ids = scores[better], ids[better]
             for at in np.lexsort((ids, -scores)).tolist():
                 entry = (int(scores[at]), -int(ids[at]))
                 if -entry[1] == query_id:
@@ -244,7 +248,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
         return spark.createDataFrame([], result)
     dim = max(dim, asked_dim)
     alike = Window.partitionBy("v").orderBy("id")
-    rows = base.withColumn("nth", F.row_number().over(alike)).where(F.col("nth") <= k + 1).select("id", "v")
+    copies_of = base.groupBy("id", "v").agg(F.count(F.lit(1)).cast("int").alias("copies"))
+    rows = copies_of.withColumn("nth", F.row_number().over(alike)).where(F.col("nth") <= k + 1).select(
+        F.explode(F.array_repeat("id", F.least("copies", F.lit(k)))).alias("id"), "v")
     sample = min(MAX_REGIONS, -(-n // ROWS_EACH))
     picked = base.select("v").orderBy(F.xxhash64("id"), "id").limit(sample).toArrow()  # bounded by MAX_REGIONS rows
     pivots = np.unique(lifted(matrix(picked["v"], dim), top), axis=0)

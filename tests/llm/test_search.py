@@ -45,6 +45,23 @@ def test_random_with_copies(spark, monkeypatch):
     assert set(run(spark, vectors, queries)) == brute(vectors, queries, 5)
 
 
+def test_repeated_ids(spark):
+    shared = [(i, [0.5, 0.25]) for i in (0, 0, 1, 1, 2, 2, 3)]
+    vectors = shared + [(0, [0.5, 0.25])] * 9 + [(4, [0.25, 0.25]), (4, [0.25, 0.5]), (5, [0.125, 0.0])]
+    queries = [(i, v) for i, v in vectors if i in (0, 3, 5)]
+    assert sorted(run(spark, shared, shared[:1])) == sorted(brute(shared, shared[:1], 5))
+    assert sorted(run(spark, vectors, queries)) == sorted(brute(vectors, queries, 5))
+
+
+def test_own_rows_do_not_fill_a_page():
+    x = np.concatenate([np.full((30, 2), 9), np.arange(60).reshape(30, 2) % 7]).astype(np.int64)
+    ids = np.concatenate([np.zeros(30), np.arange(1, 31)]).astype(np.int64)
+    s = x @ x[0]
+    best = sorted((-int(v), int(i)) for v, i in zip(s, ids) if i)[:5]
+    found = M.Tree(ids, x, float((x * x).sum(axis=1).max())).search(0, x[0], 5, math.inf)
+    assert sorted((-a, b) for a, b in found) == best
+
+
 def test_few_and_none(spark):
     assert set(run(spark, [(1, [1.0]), (2, [2.0])], [(1, [1.0])])) == {(1, 1, 2, 131072)}
     assert run(spark, [(1, [1.0])], [(1, [1.0])]) == [] and run(spark, [], []) == []
