@@ -225,6 +225,16 @@ def test_contaminated_documents(spark, edge_docs, no_docs):
     assert C.find_items(no_docs, frame).count() == 0 and C.find_items(docs, frame.where("false")).count() == 0
 
 
+def test_windows_with_repeated_shingles(spark):
+    items, docs = [], []
+    for n in range(30):  # the document lacks six shingles of the item and holds its last one seven times: 48 of 60
+        words = [f"w{n}x{j}" for j in range(53)]
+        items.append((n, " ".join(words + [f"again{n}"] * 5)))
+        docs.append((n, " ".join(words[6:] + [f"again{n}"] * 11)))
+    found = C.find_items(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.similarity) for r in found.collect()} == {(n, n, 0.8) for n in range(30)}
+
+
 def test_decontamination_query_equals_brute_force(spark):
     from lakestrata.llm.queries import QUERIES
 
