@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm._common import id_and_text, partitions_for, public_id, shuffle_partitions, stored
+from lakestrata.llm._common import ABSENT_ID, id_and_text, partitions_for, public_id, shuffle_partitions, stored
 from lakestrata.llm.components import components
 
 SEED = 42
@@ -66,15 +66,18 @@ def fingerprint(text: str, k: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * votes > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fp) for every row; fp is the fingerprint's bits as a signed long."""
+def fingerprints(docs: DataFrame, k: int = 3, id_col: str = "doc_id", text_col: str = "text", hashed: bool = False) -> DataFrame:
+    """(id, fp) for every row; fp is the fingerprint's bits as a signed long. With ``hashed``, ``th`` is the text's hash."""
+    names = ["id", "th"] if hashed else ["id"]
 
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t.as_py(), k) for t in batch.column("text")], dtype=np.uint64)
-            yield pa.record_batch([batch.column("id"), pa.array(fps.view(np.int64))], names=["id", "fp"])
+            yield pa.record_batch([*(batch.column(c) for c in names), pa.array(fps.view(np.int64))], names=[*names, "fp"])
 
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, "id long, fp long")
+    base = id_and_text(docs, id_col, text_col)
+    return (base.withColumn("th", F.xxhash64("text")) if hashed else base).mapInArrow(
+        run, "".join(f"{c} long, " for c in names) + "fp long")
 
 
 @lru_cache(maxsize=1)
@@ -311,9 +314,17 @@ def near_duplicates(docs: DataFrame, k: int = 3, bits: int = MAX_BITS, id_col: s
 
 
 def keep_first(docs: DataFrame, k: int = 3, bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` (columns unchanged) that are the first document of their component. Of rows that
-    repeat a doc_id one stays; rows without a doc_id all stay."""
-    found = near_duplicates(docs, k, bits)
-    firsts = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(firsts, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The rows of ``docs`` (columns unchanged) that are the first document of their component, in the order of doc_id
+    and text hash. Rows that share a doc_id are told apart by their texts; of those equal in both one stays. Rows
+    without a doc_id all stay."""
+    fps = stored(fingerprints(docs, k, hashed=True), "fingerprints")
+    nodes = stored(fps.select("fp").distinct().select(F.col("fp").alias("id"), "fp"), "nodes")
+    found = components(fingerprint_links(nodes, bits))
+    of_fp = nodes.join(found, F.col("id") == F.col("node"), "left").select("fp", F.coalesce("component", "fp").alias("component"))
+    first = F.min(F.struct("id", "th")).alias("first")
+    firsts = fps.join(of_fp, "fp").groupBy("component").agg(first).where(F.col("first.id") != ABSENT_ID).select(
+        F.col("first.id").alias("first_id"), F.col("first.th").alias("first_th"))
+    same = (F.col("doc_id").cast("long") == F.col("first_id")) & (
+        F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("first_th"))
+    kept = docs.join(firsts, same).dropDuplicates(["first_id", "first_th"])
     return kept.select(*docs.columns).union(docs.where("doc_id is null"))

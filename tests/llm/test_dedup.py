@@ -201,3 +201,12 @@ def test_one_document_of_each_group_stays(spark, edge_docs):
     grouped_with_null = {i for i in want if (H.fingerprint(dict(plain(edge_docs))[i] or "") ^ H.fingerprint(dict(plain(edge_docs))[None])).bit_count() <= 3}
     firsts = {i for i, c in want.items() if i == c} - {c for i, c in want.items() if i in grouped_with_null}
     assert sorted(x for x in ids if x is not None) == sorted(firsts) and ids.count(None) == 1
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    far = ["a quiet harbour town where fishing boats return at dusk", "quarterly revenue of the steel mill rose by nine percent",
+           "the proof uses induction over the depth of every tree"]
+    assert min((H.fingerprint(x) ^ H.fingerprint(y)).bit_count() for x in far for y in far if x != y) > 3
+    rows = [(3, far[0]), (7, far[0]), (7, far[1]), (7, far[2]), (7, far[2]), (9, far[1])]
+    kept = H.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept)) == sorted([(3, far[0]), (7, far[1]), (7, far[2])])
