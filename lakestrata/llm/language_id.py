@@ -100,13 +100,14 @@ def _sample_counts(languages: list[str]):
 
 
 def fit_text(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id") -> TextModel:
-    """The text model of a bounded sample of labelled rows. What reaches the driver is one count for each bin
+    """The text model of a bounded sample of labelled rows; more than ``MAX_LANGUAGES`` labels are an error. What reaches the driver is one count for each bin
     and language, at most 65,536 * 64 numbers."""
     labelled = docs.where(F.col(label_col).isNotNull() & (F.length(text_col) > 0)).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("label"))
-    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().orderBy(F.desc("count"), "label")
-             .limit(MAX_LANGUAGES).collect()}
+    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().limit(MAX_LANGUAGES + 1).collect()}
     languages = sorted(sizes)
+    if len(languages) > MAX_LANGUAGES:  # none is left out silently: its documents would get another language
+        raise ValueError(f"more than {MAX_LANGUAGES} labels to fit")
     if not languages:
         raise ValueError("no labelled rows to fit on")
     # rows are first thinned by their own hash to about twice the sample, so the ranking sees a bounded number of rows

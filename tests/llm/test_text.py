@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
@@ -57,6 +58,14 @@ def test_language_evidence_decides_where_text_cannot(spark):
     assert (got[902], got[903]) == ("es", "de") and 904 in got  # declared markup
 
 
+def test_too_many_labels_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(L, "MAX_LANGUAGES", 3)
+    docs = lambda n: spark.createDataFrame([(i, f"text number {i}", f"l{i}") for i in range(n)], "doc_id long, text string, lang string")
+    assert L.fit_text(docs(3)).languages == ["l0", "l1", "l2"]
+    with pytest.raises(ValueError):
+        L.fit_text(docs(4))
+
+
 def test_language_edges(spark, edge_docs, no_docs):
     got = {(r.doc_id, r.text_hash): r.accepted for r in L.document_languages(edge_docs).collect()}
     assert len(got) == len({t for t in texts_of(edge_docs)})
