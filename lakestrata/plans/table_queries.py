@@ -176,12 +176,14 @@ def q_rescued_lines(spark, d):
     quoted = lambda c: F.concat(F.lit('"'), F.col(c).cast("string"), F.lit('"'))
     line = F.concat(quoted("s_suppkey"), F.lit(","), quoted("s_name"),
                     F.when(F.col("s_suppkey") % 3 == 0, F.lit(',"surplus"')).otherwise(F.lit("")))
-    header = spark.range(1).select(F.lit(0).alias("n"), F.lit('"supplier_id","name"').alias("value"))
-    lines = header.union(_t(spark, d, "supplier").select(F.lit(1), line))
-    # the header belongs to the head of the file, so this small fixture is one file
-    lines.repartition(1).sortWithinPartitions("n").select("value").write.text(f"{root}/suppliers_20240101_000000.csv")
-    path = list_landed_files(spark, f"{root}/suppliers_20240101_000000.csv", glob="*.txt").first()["path"]
-    out = read_by_header(spark, [path], rescue_column="_rescued")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))  # each with the header line at its head
+    header = spark.range(files).select(F.col("id").cast("int").alias("bucket"), F.lit(0).alias("n"),
+                                       F.lit('"supplier_id","name"').alias("value"))
+    rows = _t(spark, d, "supplier").select(F.pmod(F.hash("s_suppkey"), F.lit(files)).alias("bucket"), F.lit(1), line)
+    lines = header.union(rows).repartition(files, "bucket").sortWithinPartitions("bucket", "n")
+    lines.drop("n").write.partitionBy("bucket").text(f"{root}/suppliers_20240101_000000.csv")
+    paths = [r["path"] for r in list_landed_files(spark, f"{root}/suppliers_20240101_000000.csv", glob="*.txt").select("path").collect()]
+    out = read_by_header(spark, paths, rescue_column="_rescued")
     return out.select(F.when(F.col("_rescued").isNull(), F.col("supplier_id")).alias("supplier_id"), F.col("_rescued").alias("rescued"))
 
 

@@ -149,3 +149,16 @@ def test_bronze_stream_one_file_per_batch(spark):
     out = read_bronze(spark, target)
     assert out.select("batch_id").distinct().count() > 1  # one micro-batch per file
     assert sorted((r.id, r.v) for r in out.collect()) == sorted((str(i), f"v{i}") for i in range(12))
+
+
+def test_rescued_lines_come_from_many_files(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from lakestrata.plans import table_queries
+    from lakestrata.streaming import bronze
+
+    seen, read = [], bronze.read_by_header
+    monkeypatch.setattr(bronze, "read_by_header", lambda s, paths, **kw: seen.extend(paths) or read(s, paths, **kw))
+    rows = table_queries.q_rescued_lines(spark, SF_SMALL).collect()
+    keys = [r.s_suppkey for r in spark.read.parquet(f"{SF_SMALL}/supplier.parquet").select("s_suppkey").collect()]
+    assert len(seen) > 1 and len(rows) == len(keys)
+    assert {r.supplier_id for r in rows if r.rescued is None} == {str(k) for k in keys if k % 3}
