@@ -23,8 +23,6 @@ gives an empty result; without any labelled row an error is raised unless the ta
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -42,6 +40,7 @@ MIN_POSTERIOR = 0.4
 MIN_KNOWN = 0.4
 MIN_LETTERS = 20
 CHUNK = 1 << 21
+SHARE = 1 << 20  # one row, as an integer
 
 
 def _trigrams(data: np.ndarray) -> np.ndarray:
@@ -100,10 +99,11 @@ def _sample_counts(languages: list[str]):
 
 
 def fit_text(docs: DataFrame, text_col: str = "text", label_col: str = "lang", id_col: str = "doc_id") -> TextModel:
-    """The text model of a bounded sample of labelled rows; more than ``MAX_LANGUAGES`` labels are an error. What reaches the driver is one count for each bin
-    and language, at most 65,536 * 64 numbers."""
+    """The text model of a bounded sample of labelled rows; more than ``MAX_LANGUAGES`` labels are an error. What reaches
+    the driver is one row a language with at most 65,536 counts. Rows are sampled by a hash of id and text, so rows without
+    an id and different rows of one id count like all others, and repeated rows count once."""
     labelled = docs.where(F.col(label_col).isNotNull() & (F.length(text_col) > 0)).select(
-        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).alias("label"))
+        F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("text"), F.col(label_col).alias("label"))
     sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().limit(MAX_LANGUAGES + 1).collect()}
     languages = sorted(sizes)
     if len(languages) > MAX_LANGUAGES:  # none is left out silently: its documents would get another language
@@ -111,26 +111,32 @@ def fit_text(docs: DataFrame, text_col: str = "text", label_col: str = "lang", i
     if not languages:
         raise ValueError("no labelled rows to fit on")
     # rows are first thinned by their own hash to about twice the sample, so the ranking sees a bounded number of rows
-    w = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    n_of = reduce(lambda c, l: c.when(F.col("label") == l, F.lit(sizes[l])), languages[1:],
-                  F.when(F.col("label") == languages[0], F.lit(sizes[languages[0]])))
-    thin = labelled.select("id", "label").where(F.pmod(F.xxhash64("id"), n_of) < 2 * SAMPLE_PER_LANGUAGE)
-    ids = thin.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= SAMPLE_PER_LANGUAGE).select("id", "label")
-    sample = labelled.join(F.broadcast(ids), ["id", "label"], "left_semi")  # at most 500 * 64 ids
-    sample = sample.where(F.col("label").isin(languages)).select("text", "label")
-    counts = (sample.mapInArrow(_sample_counts(languages), "label string, bin long, n long")
-              .groupBy("label", "bin").agg(F.sum("n").alias("n")).toArrow())
+    rows_of = F.create_map(*(F.lit(x) for l in languages for x in (l, sizes[l])))
+    thin = labelled.select("h", "label").where(F.pmod("h", rows_of[F.col("label")]) < 2 * SAMPLE_PER_LANGUAGE)
+    w = Window.partitionBy("label").orderBy("h")
+    chosen = thin.distinct().withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= SAMPLE_PER_LANGUAGE)
+    sample = labelled.join(F.broadcast(chosen.select("h", "label")), ["h", "label"], "left_semi")  # at most 500 * 64 hashes
+    sample = sample.dropDuplicates(["h", "label"]).select("text", "label")
+    by_bin = sample.mapInArrow(_sample_counts(languages), "label string, bin long, n long").groupBy("label", "bin").agg(
+        F.sum("n").alias("n"))
+    counts = by_bin.groupBy("label").agg(F.collect_list("bin").alias("bins"), F.collect_list("n").alias("ns")).toArrow()
     grams = np.zeros((len(languages), BINS))
-    row = np.searchsorted(languages, counts["label"].to_numpy())
-    grams[row, counts["bin"].to_numpy()] = counts["n"].to_numpy()
+    for label, bins, ns in zip(counts["label"].to_pylist(), counts["bins"], counts["ns"]):
+        grams[languages.index(label), bins.values.to_numpy()] = ns.values.to_numpy()
     total = grams.sum(axis=0)
     backed = (total + 0.5) / (total.sum() + 0.5 * BINS)  # unseen trigrams fall back to those of all languages
     log = np.log((grams + 200.0 * backed) / (grams.sum(axis=1, keepdims=True) + 200.0))
     return TextModel(languages, log.astype(np.float32), total > 0)
 
 
+def softmax(scores: np.ndarray) -> np.ndarray:
+    raised = np.exp(scores - scores.max(axis=1, keepdims=True))
+    return raised / raised.sum(axis=1, keepdims=True)
+
+
 def _score(model: TextModel, text_columns: list[str]):
-    """Sums of log-likelihoods per language, trigrams of letters and spaces, and how many of those are known."""
+    """By row: tempered log-likelihoods of the languages, the row's share in each of them (its text posterior, in units
+    of 1 / SHARE, so that sums of shares are exact), trigrams of letters and spaces, and how many of those are known."""
     wordy = np.zeros(256, dtype=bool)
     wordy[[32, *range(97, 123), *range(128, 256)]] = True
 
@@ -146,7 +152,7 @@ def _score(model: TextModel, text_columns: list[str]):
                     cut = np.minimum(np.stack([ends - lengths, ends]), len(grams))
 
                     def per_text(values):
-                        total = np.append(0.0, np.cumsum(np.where(ok, values, 0.0)))
+                        total = np.append(0.0, np.cumsum(np.where(ok, values, 0.0), dtype=np.float64))
                         return total[cut[1]] - total[cut[0]]
 
                     for k in range(len(model.languages)):
@@ -156,8 +162,11 @@ def _score(model: TextModel, text_columns: list[str]):
                     known, letters = per_text(w & model.known[grams]), per_text(w)
                 part = batch.slice(b, n)
                 columns = [part.column(c) for c in text_columns]
-                yield pa.record_batch([*columns, pa.array(sums.tolist(), pa.list_(pa.float64())), pa.array(known),
-                                       pa.array(letters)], names=[*text_columns, "sums", "known", "wordy"])
+                sums *= TEMPER
+                share = np.rint(softmax(sums) * SHARE).astype(np.int64)
+                yield pa.record_batch([*columns, pa.array(sums.tolist(), pa.list_(pa.float64())),
+                                       pa.array(share.tolist(), pa.list_(pa.int64())), pa.array(known), pa.array(letters)],
+                                      names=[*text_columns, "score", "share", "known", "wordy"])
 
     return run
 
@@ -186,64 +195,92 @@ def domain_of(host: Column) -> Column:
     return F.when(found != "", found)
 
 
-def _softmax(scores: list[Column]) -> list[Column]:
-    top = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    raised = [F.exp(s - top) for s in scores]
-    total = sum(raised[1:], raised[0])
-    return [r / total for r in raised]
+LEVELS = ("declared", "suffix", "host", "domain")
+
+
+def _level_counts(first: DataFrame) -> DataFrame:
+    """(level, value, n): the summed shares of every value of every level, one array entry a language."""
+    values = F.array(*(F.struct(F.lit(l).alias("level"), F.col(l).alias("value")) for l in LEVELS))
+    seen = first.select(F.explode(values).alias("v"), "share").where("v.value IS NOT NULL")
+    sums = (seen.select("v.level", "v.value", F.posexplode("share").alias("at", "n"))
+            .groupBy("level", "value", "at").agg(F.sum("n").alias("n")))
+    packed = sums.groupBy("level", "value").agg(F.array_sort(F.collect_list(F.struct("at", "n"))).alias("n"))
+    return packed.select("level", "value", F.col("n.n").alias("n"))  # as many entries as languages
+
 
+def _filled(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """A list column as a matrix, zeros for nulls; and which rows are not null."""
+    there = column.is_valid().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(column), k))
+    out[there] = column.flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+    return out, there
 
-def _counts(rows: DataFrame, key: str, k: int) -> DataFrame:
-    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(*(F.sum(f"p{i}").alias(f"{key}{i}") for i in range(k)))
+
+def _fuse(languages: list[str], total: np.ndarray, keep: list[str]):
+    """Posterior of every row from its text, what it declares, its address suffix and the prior of its host."""
+    k = len(languages)
+    overall = (total + 1.0) / (total.sum() + k)
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            score, _ = _filled(batch.column("score"), k)
+            own, _ = _filled(batch.column("share"), k)
+            others, there = {}, {}
+            for level in LEVELS:  # counts without the row's own share
+                n, there[level] = _filled(batch.column(f"n_{level}"), k)
+                others[level] = np.maximum(0.0, n - own) / SHARE
+
+            def smoothed(level: str, wider: np.ndarray) -> np.ndarray:
+                n = others[level]
+                return np.where(there[level][:, None], (n + HOST_WEIGHT * wider) / (n.sum(axis=1, keepdims=True) + HOST_WEIGHT), wider)
+
+            score = score + np.log(smoothed("host", smoothed("domain", np.broadcast_to(overall, score.shape))))
+            for level in ("declared", "suffix"):  # log P(value | language); nothing where the value is missing
+                score = score + np.where(there[level][:, None], np.log((others[level] + 0.5) / (total + 1.0)), 0.0)
+            posterior = softmax(score)
+            best = posterior.argmax(axis=1)
+            top = posterior[np.arange(len(best)), best]
+            wordy, known = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("wordy", "known"))
+            letters = pc.fill_null(batch.column("letters"), False).to_numpy(zero_copy_only=False)
+            foreign = (wordy >= MIN_LETTERS) & (known < MIN_KNOWN * wordy)
+            yield pa.record_batch([*(batch.column(c) for c in keep), pa.array(np.array(languages, dtype=object)[best], pa.string()),
+                                   pa.array(top), pa.array(letters & (top >= MIN_POSTERIOR) & ~foreign)],
+                                  names=[*keep, "language", "posterior", "accepted"])
+
+    return run
 
 
 def identify(rows: DataFrame, model: TextModel, text: Column, keep: list[str], declared: Column | None = None,
              suffix: Column | None = None, host: Column | None = None) -> DataFrame:
-    """``keep`` columns, ``language``, ``posterior`` and ``accepted`` of every row."""
-    k = len(model.languages)
+    """``keep`` columns, ``language``, ``posterior`` and ``accepted`` of every row. Evidence travels as one array column a
+    source, so plans and generated code are the same for any number of languages."""
     none = F.lit(None).cast("string")
     named = rows.select(*(F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)), text.alias("text"),
                         (declared if declared is not None else none).alias("declared"),
                         (suffix if suffix is not None else none).alias("suffix"),
                         (host if host is not None else none).alias("host"),
                         text.rlike(r"\p{L}").alias("letters"))
-    carried = [c for c in named.columns if c != "text"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema if f.name != "text")
-    scored = named.mapInArrow(_score(model, carried), f"{schema}, sums array<double>, known double, wordy double")
-    temper = F.lit(TEMPER)
-    text_score = [temper * F.col("sums")[i] for i in range(k)]
-    first = scored.select("*", *(p.alias(f"p{i}") for i, p in enumerate(_softmax(text_score))))
-    first = stored(first.withColumn("domain", domain_of(F.col("host"))), "language-evidence")
-
-    total = first.agg(*(F.coalesce(F.sum(f"p{i}"), F.lit(0.0)) for i in range(k))).first()
-    overall = [(t + 1.0) / (sum(total) + k) for t in total]
+    carried = [f for f in named.schema if f.name != "text"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)
+    scored = named.mapInArrow(_score(model, [f.name for f in carried]),
+                              f"{schema}, score array<double>, share array<long>, known double, wordy double")
+    first = stored(scored.withColumn("domain", domain_of(F.col("host"))), "language-evidence")
+    sums = first.select(F.posexplode("share").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).collect()
+    total = np.zeros(len(model.languages))  # one row a language
+    for r in sums:
+        total[r["at"]] = r["n"] / SHARE
+    counts = stored(_level_counts(first), "language-counts")
     out = first
-    for key in ("declared", "suffix", "host", "domain"):
-        out = out.join(_counts(first, key, k), key, "left")
-
-    def smoothed(key: str, wider: list[Column]) -> list[Column]:
-        """Counts of a level without the row's own share, smoothed towards the wider level."""
-        n = [F.greatest(F.lit(0.0), F.col(f"{key}{i}") - F.col(f"p{i}")) for i in range(k)]
-        size = sum(n[1:], n[0])
-        return [F.coalesce((c + HOST_WEIGHT * w) / (size + HOST_WEIGHT), w) for c, w in zip(n, wider)]
-
-    prior = smoothed("host", smoothed("domain", [F.lit(p) for p in overall]))
-
-    def likelihood(key: str, i: int) -> Column:
-        """log P(this value | language), up to what all languages share; nothing if the value is missing."""
-        share = (F.greatest(F.lit(0.0), F.col(f"{key}{i}") - F.col(f"p{i}")) + 0.5) / F.lit(float(total[i]) + 1.0)
-        return F.when(F.col(key).isNotNull(), F.log(share)).otherwise(F.lit(0.0))
-
-    scores = [text_score[i] + likelihood("declared", i) + likelihood("suffix", i) + F.log(prior[i]) for i in range(k)]
-    out = out.select("*", *(s.alias(f"s{i}") for i, s in enumerate(scores)))
-    out = out.select("*", *(p.alias(f"q{i}") for i, p in enumerate(_softmax([F.col(f"s{i}") for i in range(k)]))))
-    posterior = F.greatest(*(F.col(f"q{i}") for i in range(k))) if k > 1 else F.col("q0")
-    language = F.coalesce(*(F.when(F.col(f"q{i}") == F.col("posterior"), F.lit(l)) for i, l in enumerate(model.languages)))
-    foreign = (F.col("wordy") >= MIN_LETTERS) & (F.col("known") < MIN_KNOWN * F.col("wordy"))
-    accepted = F.coalesce(F.col("letters"), F.lit(False)) & (F.col("posterior") >= MIN_POSTERIOR) & ~foreign
-    return out.withColumn("posterior", posterior).select(
-        *(F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)), language.alias("language"), "posterior",
-        accepted.alias("accepted"))
+    apart = F.concat(F.lit("\0"), F.hex(F.xxhash64("score", "known", "wordy")))  # rows without a value are spread, not matched
+    for level in LEVELS:
+        of = counts.where(F.col("level") == level).select(F.col("value").alias("_value"), F.col("n").alias(f"n_{level}"))
+        out = out.withColumn("_value", F.coalesce(level, apart)).join(of, "_value", "left").drop("_value")
+    kept = [f for f in carried if f.name.startswith("keep_")]
+    fused = out.mapInArrow(_fuse(model.languages, total, [f.name for f in kept]), ", ".join(
+        [f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + ["language string, posterior double, accepted boolean"]))
+    return fused.select(*(F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)), "language", "posterior", "accepted")
 
 
 def document_languages(docs: DataFrame, model: TextModel | None = None) -> DataFrame:

@@ -1,6 +1,8 @@
 """Language ID, token counts, piece encoding, decontamination, PII and secrets against brute force."""
+import math
 import random
 import re
+import unicodedata
 import zlib
 from collections import Counter, defaultdict
 
@@ -66,6 +68,77 @@ def test_too_many_labels_are_an_error(spark, monkeypatch):
         L.fit_text(docs(4))
 
 
+def brute_languages(rows, model):
+    """(language, posterior, accepted) of (text, declared, suffix, host) rows by the formulas, one row after the other."""
+    k, dist = len(model.languages), []
+    for text, *_ in rows:
+        data = np.frombuffer((text or "").encode().lower(), np.uint8)
+        grams = L._trigrams(data) if len(data) > 2 else np.zeros(0, int)
+        score = [L.TEMPER * sum(float(model.table[j][g]) for g in grams) for j in range(k)]
+        raised = [math.exp(s - max(score)) for s in score]
+        ok = [all(b == 32 or 97 <= b <= 122 or b >= 128 for b in data[i: i + 3]) for i in range(len(grams))]
+        known = sum(o and bool(model.known[g]) for o, g in zip(ok, grams))
+        dist.append((score, [round(r / sum(raised) * L.SHARE) / L.SHARE for r in raised], sum(ok), known))
+    total = [sum(d[1][j] for d in dist) for j in range(k)]
+    overall = [(t + 1) / (sum(total) + k) for t in total]
+    domain = lambda h: ".".join(h.split(".")[-2:]) if h and "." in h else None
+    out = []
+    for r, (text, declared, suffix, host) in enumerate(rows):
+        score, own, wordy, known = dist[r]
+
+        def seen(value, of):
+            return [sum(dist[i][1][j] for i, x in enumerate(rows) if i != r and of(x) == value) for j in range(k)]
+
+        prior = overall
+        for value, of in ((domain(host), lambda x: domain(x[3])), (host, lambda x: x[3])):
+            if value is not None:
+                n = seen(value, of)
+                prior = [(n[j] + L.HOST_WEIGHT * prior[j]) / (sum(n) + L.HOST_WEIGHT) for j in range(k)]
+        score = [s + math.log(p) for s, p in zip(score, prior)]
+        for value, of in ((declared, lambda x: x[1]), (suffix, lambda x: x[2])):
+            if value is not None:
+                n = seen(value, of)
+                score = [s + math.log((n[j] + 0.5) / (total[j] + 1)) for j, s in enumerate(score)]
+        raised = [math.exp(s - max(score)) for s in score]
+        top = max(raised) / sum(raised)
+        foreign = wordy >= L.MIN_LETTERS and known < L.MIN_KNOWN * wordy
+        letters = any(unicodedata.category(c)[0] == "L" for c in text or "")
+        out.append((model.languages[raised.index(max(raised))], top, letters and top >= L.MIN_POSTERIOR and not foreign))
+    return out
+
+
+def test_languages_equal_the_formulas_row_by_row(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    model, rng = L.fit_text(docs), random.Random(4)
+    texts = [t[:60] for _, t in texts_of(docs)][:120] + [None, "", "12 34", "\u65e5\u672c" * 20, "zq xj vk " * 9]
+    pick = lambda *v: rng.choice([None, *v])
+    rows = [(t, pick("en", "fr", "de"), pick("com", "fr", "com/fr"), pick("a.site.fr", "b.site.fr", "x.com", "plain")) for t in texts]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, d string, s string, h string")
+    got = L.identify(frame, model, F.col("text"), ["doc_id"], F.col("d"), F.col("s"), F.col("h")).orderBy("doc_id").collect()
+    want = brute_languages(rows, model)
+    assert [(r.language, r.accepted) for r in got] == [(w[0], w[2]) for w in want]
+    assert max(abs(r.posterior - w[1]) for r, w in zip(got, want)) < 1e-6
+
+
+def test_language_plans_do_not_grow_with_the_languages(spark):
+    def plan(k):
+        names = [f"l{i:02d}" for i in range(k)]
+        model = L.TextModel(names, np.zeros((k, L.BINS), np.float32), np.ones(L.BINS, bool))
+        out = L.document_languages(spark.createDataFrame([doc(1, "some text")], DOC_SCHEMA), model)
+        assert out.first().language == "l00"
+        return len(out._jdf.queryExecution().optimizedPlan().toString())
+
+    assert abs(plan(4) - plan(64)) < 200
+
+
+def test_language_sample_covers_rows_without_id_and_counts_copies_once(spark):
+    rows = [doc(None, f"wort{i} und haus{i}", "de") for i in range(40)] + [doc(1, "the one text", "en")] * 3000
+    model = L.fit_text(spark.createDataFrame(rows, DOC_SCHEMA))
+    assert model.languages == ["de", "en"]
+    gram = L._trigrams(np.frombuffer(b"ort", np.uint8))[0]
+    assert model.table[0][gram] > model.table[1][gram]
+
+
 def test_language_edges(spark, edge_docs, no_docs):
     got = {(r.doc_id, r.text_hash): r.accepted for r in L.document_languages(edge_docs).collect()}
     assert len(got) == len({t for t in texts_of(edge_docs)})
