@@ -21,6 +21,7 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.checkpoint.dir", ckpt)
+         .config("spark.sql.codegen.fallback", "false")  # generated code that does not compile is an error
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     yield s
