@@ -59,7 +59,7 @@ def matrix(column, dim: int) -> np.ndarray:
         column = column.combine_chunks()
     lengths = np.diff(column.offsets.to_numpy())
     flat = column.flatten().to_numpy()
-    if len(lengths) and (lengths == dim).all():
+    if dim and len(lengths) and (lengths == dim).all():
         return flat.reshape(-1, dim)
     out = np.zeros((len(lengths), dim), dtype=np.int64)
     if len(flat):

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators. Each applies its operator to whole tables."""
+"""The registered queries of the operators. Each applies its operator to whole tables."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.llm._common import ship
 from lakestrata.llm.decontaminate import find_items
+from lakestrata.llm.hard_negatives import hard_negatives
 from lakestrata.llm.language_id import document_languages, fit_text, page_languages
 from lakestrata.llm.metric_search import top_k
 from lakestrata.llm.piece_dropout import encode
@@ -124,3 +125,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
         F.sha2(F.concat_ws(",", F.transform(base, label)), 256).alias("base_sha256"),
         F.concat_ws(",", F.transform("spans", label)).alias("spans"), count("checked_token").alias("n_checked"))
+
+
+ORACLE["op11_hard_negatives"] = """WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+  scored AS (SELECT a.vec_id AS anchor_id, a.label = c.label AS alike, c.vec_id, CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id),
+  positive AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+  SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+  FROM positive JOIN scored USING (anchor_id)
+  WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score QUALIFY rank <= 3"""
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", changed.alias("label"))
+    return hard_negatives(vectors, F.col("id") % 50 == 0, positives=5, negatives=3, low=50, high=95, scale=256)
