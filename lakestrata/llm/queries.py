@@ -11,6 +11,7 @@ from lakestrata.llm._common import ship
 from lakestrata.llm.decontaminate import find_items
 from lakestrata.llm.hard_negatives import hard_negatives
 from lakestrata.llm.language_id import document_languages, fit_text, page_languages
+from lakestrata.llm.line_quality import quality
 from lakestrata.llm.metric_search import top_k
 from lakestrata.llm.piece_dropout import encode
 from lakestrata.llm.secrets_scan import find_secrets
@@ -146,3 +147,8 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", changed.alias("label"))
     return hard_negatives(vectors, F.col("id") % 50 == 0, positives=5, negatives=3, low=50, high=95, scale=256)
+
+
+@query
+def op12_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
