@@ -13,6 +13,7 @@ from lakestrata.llm.hard_negatives import hard_negatives
 from lakestrata.llm.language_id import document_languages, fit_text, page_languages
 from lakestrata.llm.line_quality import quality
 from lakestrata.llm.metric_search import top_k
+from lakestrata.llm.phrases import collocations
 from lakestrata.llm.piece_dropout import encode
 from lakestrata.llm.secrets_scan import find_secrets
 from lakestrata.llm.simhash_dedup import near_duplicates
@@ -152,3 +153,29 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), threshold=0.7)
+
+
+ORACLE["op13_collocations"] = r"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+  n AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+  starts AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+  grams AS (SELECT lang, list_slice(ws, i, i + len - 1) AS ws FROM starts, (SELECT unnest(range(1, 6)) AS len) WHERE i + len - 1 <= len(ws)),
+  f AS MATERIALIZED (SELECT lang, array_to_string(ws, ' ') AS phrase, count(*) AS f FROM grams GROUP BY lang, ws HAVING count(*) >= 100),
+  c AS (SELECT lang, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE contains(phrase, ' ')),
+  spots AS (SELECT lang, ws, a, unnest(range(1, len(ws))) AS i FROM c),
+  part AS (SELECT lang, array_to_string(list_slice(ws, i, i + len - 1), ' ') AS phrase, a AS most
+    FROM spots, (SELECT unnest(range(2, 5)) AS len) WHERE len < len(ws) AND i + len - 1 <= len(ws)),
+  gone AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN part p ON c.lang = p.lang AND c.phrase = p.phrase AND 100 * p.most >= 100 * c.a),
+  cuts AS (SELECT lang, phrase, a, k, array_to_string(list_slice(ws, 1, k), ' ') AS head, array_to_string(list_slice(ws, k + 1, len(ws)), ' ') AS tail
+    FROM (SELECT *, unnest(range(1, len(ws))) AS k FROM c) ANTI JOIN gone USING (lang, phrase)),
+  scored AS (SELECT lang, cuts.phrase, a, k, x.f AS l, y.f AS r, n, CAST((1000 * a::HUGEINT * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+    FROM cuts JOIN f x USING (lang) JOIN f y USING (lang) JOIN n USING (lang) WHERE x.phrase = head AND y.phrase = tail
+    QUALIFY row_number() OVER (PARTITION BY lang, cuts.phrase ORDER BY score, k) = 1)
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+  FROM scored QUALIFY rank <= 2000"""
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
