@@ -90,6 +90,17 @@ def fill_null_keys(df: DataFrame, keys) -> DataFrame:
     return df.select(*exprs)
 
 
+def is_unkeyed(df: DataFrame, keys) -> Column:
+    """Rows with a key that is NULL or was filled by ``fill_null_keys``: nothing tells such rows apart."""
+    keys = set(keys)
+    found = F.lit(False)
+    for f in df.schema.fields:
+        if f.name in keys:
+            d = _key_default(f.dataType)
+            found = found | F.col(f.name).isNull() | (F.col(f.name) == d if d is not None else F.lit(False))
+    return found
+
+
 # Storage type of each contract type in the coarse projection; other types are kept as they are.
 COARSE_TYPES = ((T.StringType, "string"), (T.IntegralType, "long"), (T.FractionalType, "double"), (T.BooleanType, "boolean"),
                 (T.DatetimeType, "timestamp"))

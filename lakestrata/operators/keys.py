@@ -1,24 +1,24 @@
 """Dense surrogate keys without a single-partition window.
 
-``ROW_NUMBER() OVER (ORDER BY k)`` on its own makes Spark gather every row into one task. Here the rows
-are range-partitioned on the ordering columns (Spark samples the bounds), sorted inside each range, and
-numbered by position. That numbered copy is written once to the shared checkpoint folder; a per-range row
-count taken from the stored copy (one row per range, so its size is bounded by the number of ranges, not
-by the data) gives each range its starting offset. The result is exactly the global row number: ranges are
-disjoint and ordered, and positions inside a range follow the sort.
-
-Storing the numbered copy is what makes this exact. Range bounds are sampled each time a range exchange
-runs, so counting from a second, separately planned exchange (Catalyst prunes columns differently for
-the count) could use different bounds. Both the counts and the keys come from the same files, and a lost
-executor re-reads them instead of renumbering.
+``ROW_NUMBER() OVER (ORDER BY k)`` on its own makes Spark gather every row into one task. Here the order is cut into ranges
+at points taken from a bounded sample of the order columns. The cut points are literals, so every pass over the rows
+agrees on the ranges. One pass over the order columns alone counts the rows of every range (combined before the
+shuffle); prefix sums of these counts are where the ranges begin. The rows are then shuffled once, by range, and
+numbered inside their range. The result is exactly the global row number, and nothing is stored: a lost
+executor recomputes its ranges.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _B, _POS, _N, _START = "_dk_range", "_dk_pos", "_dk_n", "_dk_start"
+RANGE_BYTES = 64 << 20
+MAX_RANGES = 100_000
+SAMPLE_A_RANGE = 32
+MAX_SAMPLE = 200_000
 
 
 def max_key(df: DataFrame, key_col: str, alias: str = "max_sk") -> DataFrame:
@@ -26,37 +26,63 @@ def max_key(df: DataFrame, key_col: str, alias: str = "max_sk") -> DataFrame:
     return df.agg(F.coalesce(F.max(F.col(key_col)).cast("long"), F.lit(0).cast("long")).alias(alias))
 
 
+def range_count(df: DataFrame) -> int:
+    """One range for every ``RANGE_BYTES`` of the tables that ``df`` reads, at least the shuffle partitions."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(n for n in sizes if n < 1 << 60)  # a leaf of unknown size says nothing
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MAX_RANGES, known // RANGE_BYTES + 1))
+
+
+def cut_points(df: DataFrame, order_cols: list[Column], ranges: int) -> list[T.Row]:
+    """At most ``ranges`` - 1 values of the order columns, ascending, that cut them about evenly (quantiles of a sample of at
+    most 200,000 rows)."""
+    if ranges < 2:
+        return []
+    keys = df.select(*(c.alias(f"k{i}") for i, c in enumerate(order_cols)))
+    sample = keys.orderBy(F.rand(11)).limit(min(MAX_SAMPLE, SAMPLE_A_RANGE * ranges))
+    rows = sample.distinct().orderBy(*(F.col(c).asc_nulls_first() for c in keys.columns)).collect()
+    at = sorted({i * len(rows) // ranges for i in range(1, ranges)} - {0})
+    return [rows[i] for i in at]
+
+
+def range_of(order_cols: list[Column], types: list[T.DataType], cuts: list) -> Column:
+    """How many cut points are not above a row: a binary search (NULLs come first, as in the order)."""
+    if not cuts:
+        return F.lit(0)
+    row = F.struct(*(c.alias(f"k{i}") for i, c in enumerate(order_cols)))
+    points = F.array(*(F.struct(*(F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(cut, types)))) for cut in cuts))
+    pair = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
+
+    def halve(found: Column, _: Column) -> Column:
+        low, high = found["low"], found["high"]
+        middle = F.shiftright(low + high, 1)
+        inside = F.when(F.get(points, middle) <= row, pair(middle + 1, high)).otherwise(pair(low, middle))
+        return F.when(low < high, inside).otherwise(found)
+
+    steps = F.array(*(F.lit(0) for _ in range(len(cuts).bit_length())))
+    return F.aggregate(steps, pair(F.lit(0), F.lit(len(cuts))), halve, lambda found: found["low"])
+
+
 def dense_keys(df: DataFrame, order_cols, key_col: str, offset=0, num_ranges: int | None = None) -> DataFrame:
     """Add ``key_col = offset + row_number() over (order by order_cols)``.
 
     ``offset`` is an int or a one-row DataFrame whose first column holds it (e.g. ``max_key`` of the
-    target), so the offset never travels through the driver. Order columns should be unique per row
-    (ties are numbered in an arbitrary but retry-stable order within one range).
+    target), so the offset never travels through the driver. ``df`` is evaluated three times (a sample, counts of the order
+    columns, the rows), so an expensive or random one should be stored before. Order columns should be unique per row
+    (ties are numbered in an arbitrary order, and lie in one range).
     """
     spark = df.sparkSession
-    # One task per range: by default as many ranges as a shuffle has partitions. The count is explicit, so AQE leaves
-    # this exchange as planned and both branches below see the same ranges.
-    n = int(num_ranges or spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(num_ranges or range_count(df))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    ordered = [c.asc_nulls_first() for c in order_cols]
-    pid = F.spark_partition_id()
-    from lakestrata.session import scratch_dir
-
-    numbered = (
-        df.repartitionByRange(n, *ordered)
-        .sortWithinPartitions(*ordered)
-        # monotonically_increasing_id() = (partition id << 33) + record number inside the partition
-        .withColumns({_B: pid, _POS: F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)})
-    )
-    path = scratch_dir(spark, "dense-keys")
-    numbered.write.mode("overwrite").parquet(path)  # one pass: sample, range shuffle, sort, positions
-    ranged = spark.read.parquet(path)
-    counts = ranged.groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
+    types = [f.dataType for f in df.select(*order_cols).schema]
+    of = range_of(order_cols, types, cut_points(df, order_cols, n))
+    counts = df.select(of.alias(_B)).groupBy(_B).agg(F.count(F.lit(1)).alias(_N))
     if isinstance(offset, DataFrame):
         base = offset.select(F.lit(-1).alias(_B), F.col(offset.columns[0]).cast("long").alias(_N))
     else:
         base = spark.range(1).select(F.lit(-1).alias(_B), F.lit(int(offset)).cast("long").alias(_N))
-    # At most num_ranges + 1 rows: an unpartitioned window here is bounded by construction.
+    # At most MAX_RANGES + 1 rows: an unpartitioned window here is bounded by construction.
     starts = (
         counts.unionByName(base)
         .withColumn(_START, F.coalesce(
@@ -64,9 +90,12 @@ def dense_keys(df: DataFrame, order_cols, key_col: str, offset=0, num_ranges: in
         .filter(F.col(_B) >= 0)
         .select(_B, _START)
     )
+    w = Window.partitionBy(_B).orderBy(*(c.asc_nulls_first() for c in order_cols))
+    placed = df.withColumn(_B, of).repartition(n, _B)
     return (
-        ranged.join(F.broadcast(starts), _B)
-        .withColumn(key_col, (F.col(_START) + F.col(_POS) + 1).cast("long"))
+        placed.withColumn(_POS, F.row_number().over(w))
+        .join(F.broadcast(starts), _B)
+        .withColumn(key_col, (F.col(_START) + F.col(_POS)).cast("long"))
         .drop(_B, _POS, _START)
     )
 

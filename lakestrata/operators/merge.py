@@ -3,7 +3,9 @@
 No MERGE statement is needed: each function takes the current target state and a batch (one row per
 business key, see ``dedup.one_per_key``) and returns the next state as DataFrames, which the caller
 publishes: the full state with ``sources.tables.publish_state``, or for SCD2 only the change
-(``scd2_delta``: rows closed by this run + the new open set) with ``sources.tables.publish_scd2``.
+(``scd2_delta``: rows closed by this run + the new open set). Stored tables (``sources.keyed_store``) take just the
+change: ``scd1_changes``, ``scd2_changes`` and ``scd2_hash_changes`` classify a batch by one join to the current rows, which
+are not shuffled, and give the rows to add and the rows to close.
 Closed history is passed through untouched and never joined. Every clock is the ``as_of`` parameter.
 """
 
@@ -150,8 +152,8 @@ SLICE, CURRENT_SLICE = "_slice", "current"
 
 
 def split_versions(target: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(open versions, history). A table stored by ``publish_scd2`` carries the ``_slice`` partition
-    column, so the split is partition pruning; otherwise the end-date predicates are pushed to the scan."""
+    """(open versions, history). A table of ``sources.keyed_store`` shows them as ``_slice``, so the split reads only
+    the slices of its side; otherwise the end-date predicates are pushed to the scan."""
     if SLICE in target.columns:
         return (target.filter(F.col(SLICE) == CURRENT_SLICE).drop(SLICE),
                 target.filter(F.col(SLICE) != CURRENT_SLICE).drop(SLICE))
@@ -271,3 +273,68 @@ def scd2_hash_state(target: DataFrame | None, batch: DataFrame, keys, attrs, sk:
     ins = (dense_keys(ins, keys, sk, offset=max_key(target, sk))
            .withColumns({END_DATE: F.lit(OPEN_END), IS_ACTIVE: F.lit(True)}))
     return _union(past, tgt_out, ins)
+
+
+# --------------------------------------------------------------------------- changes to a stored table
+def classified(current: DataFrame, batch: DataFrame, keys, differs) -> DataFrame:
+    """The one pass over the current rows: the batch, each row with the current row of its key as ``_old`` (NULL if there is
+    none) and ``_status`` NEW / CHANGED / SAME. ``differs(old, batch)`` is the condition of a change. Keys are compared in
+    the store's types, so a store bucketed by them stays where it is."""
+    keys = list(keys)
+    batch = batch.withColumns({k: F.col(k).cast(current.schema[k].dataType) for k in keys})
+    old = current.select(*keys, F.struct(*(F.col(c) for c in current.columns)).alias("_old"))
+    out = batch.join(old, keys, "left")
+    status = F.when(F.col("_old").isNull(), NEW).when(differs(set(current.columns), batch), CHANGED).otherwise(SAME)
+    return out.withColumn("_status", status)
+
+
+def _old_differs(keys, sk: str, ignore=()):
+    """Any column of the batch but keys, surrogate key and system columns differs, NULLs being equal."""
+    skip = set(keys) | {sk} | set(SYSTEM_COLUMNS) | set(ignore)
+
+    def differs(have: set[str], batch: DataFrame) -> Column:
+        old = lambda c: F.col("_old")[c] if c in have else F.lit(None)
+        return reduce(lambda a, b: a | b, (~old(c).eqNullSafe(F.col(c)) for c in batch.columns if c not in skip), F.lit(False))
+
+    return differs
+
+
+def scd1_changes(current: DataFrame, batch: DataFrame, keys, sk: str, as_of, top: int, keep=lambda df, name: df) -> DataFrame:
+    """The rows an SCD1 batch writes: known keys keep surrogate key, create date and the columns that the batch lacks; new
+    keys are numbered after ``top`` in key order. ``keep(frame, name)`` may store the classified batch, which is
+    used twice."""
+    d, have = _date(as_of), set(current.columns)
+    batch = batch.drop(sk, CREATE_DATE, UPDATE_DATE)
+    rows = keep(classified(current, batch, keys, lambda *_: F.lit(True)), "scd1")
+    lacking = {c: F.col("_old")[c] for c in current.columns if c not in batch.columns and c not in (CREATE_DATE, UPDATE_DATE)}
+    old = rows.filter(F.col("_status") != NEW).withColumns({
+        **lacking, CREATE_DATE: F.col("_old")[CREATE_DATE] if CREATE_DATE in have else d, UPDATE_DATE: d})
+    new = dense_keys(rows.filter(F.col("_status") == NEW), list(keys), sk, offset=top).withColumns({CREATE_DATE: d, UPDATE_DATE: d})
+    return _union(old.drop("_old", "_status"), new.drop("_old", "_status"))
+
+
+def scd2_changes(current: DataFrame, batch: DataFrame, keys, sk: str, as_of, top: int, close: str = "same_day", ignore=(),
+                 keep=lambda df, name: df) -> tuple[DataFrame, DataFrame]:
+    """(closed, fresh) of an SCD2 batch with validity dates: the same rows as ``scd2_delta`` closes and opens."""
+    keys, d = list(keys), _date(as_of)
+    batch = batch.drop(sk, START_DATE, END_DATE, SLICE)
+    rows = classified(current, batch, keys, _old_differs(keys, sk, ignore))
+    rows = keep(rows.filter(F.col("_status") != SAME), "scd2")
+    closed = rows.filter(F.col("_status") == CHANGED).select("_old.*").withColumn(
+        END_DATE, d if close == "same_day" else F.date_sub(d, 1))
+    fresh = dense_keys(rows.drop("_old"), ["_status", *keys], sk, offset=top).drop("_status")
+    return closed, fresh.withColumns({START_DATE: d, END_DATE: F.lit(OPEN_END)})
+
+
+def scd2_hash_changes(current: DataFrame, batch: DataFrame, keys, attrs, sk: str, as_of, top: int,
+                      keep=lambda df, name: df) -> tuple[DataFrame, DataFrame]:
+    """(closed, fresh) of a flag-form SCD2 batch: the same rows as ``scd2_hash_state`` closes and inserts."""
+    keys = list(keys)
+    src = batch if START_DATE in batch.columns else batch.withColumn(START_DATE, _date(as_of))
+    src = src.drop(sk, END_DATE, IS_ACTIVE, SLICE).withColumn(ROW_HASH, row_hash(attrs))
+    rows = classified(current, src, keys, lambda *_: F.col("_old")[ROW_HASH] != F.col(ROW_HASH))
+    rows = keep(rows.filter(F.col("_status") != SAME), "scd2-hash")
+    closed = rows.filter(F.col("_status") == CHANGED).select("_old.*", F.date_sub(F.col(START_DATE), 1).alias("_end"))
+    closed = closed.withColumns({END_DATE: F.col("_end"), IS_ACTIVE: F.lit(False)}).drop("_end")
+    fresh = dense_keys(rows.drop("_old", "_status"), keys, sk, offset=top)
+    return closed, fresh.withColumns({END_DATE: F.lit(OPEN_END), IS_ACTIVE: F.lit(True)})

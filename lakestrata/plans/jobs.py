@@ -2,7 +2,8 @@
 
 Each job is a thin composition of the operators; the decision of what to do is made from the contract
 (table type, keys, dependencies), never from counting data. No job drops rows: appends are plain (or replace a
-load of the same id), and rows whose keys cannot be read go to a quarantine table.
+load of the same id), rows whose keys cannot be read go to a quarantine table, and the rows of a dimension
+whose key was missing, which share the member of the default key, are all kept beside it.
 """
 
 from __future__ import annotations
@@ -11,13 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import contract as C
-from lakestrata.functions.cleansing import contract_cast, fill_null_keys, pattern_clean
+from lakestrata.functions.cleansing import contract_cast, fill_null_keys, is_unkeyed, pattern_clean
 from lakestrata.operators.dedup import one_per_key
 from lakestrata.operators.lookup import Lookup, resolve_lookups
-from lakestrata.operators.merge import scd1_state, scd2_delta, scd2_first_load, scd2_hash_state, scd2_state
+from lakestrata.operators.merge import (scd1_changes, scd1_first_load, scd1_state, scd2_changes, scd2_first_load, scd2_hash_changes,
+                                        scd2_hash_first_load, scd2_state)
 from lakestrata.operators.quality import unreadable_keys
-from lakestrata.sources.tables import (append_load, append_table, incremental_read, missing_tables, publish_scd1_buckets,
-                                       publish_scd2, publish_state)
+from lakestrata.session import Scratch
+from lakestrata.sources.keyed_store import open_rows, publish_changes, top_key
+from lakestrata.sources.loads import append_table, publish_load
+from lakestrata.sources.tables import append_load, incremental_read, missing_tables
 
 SILVER_PARTITIONS = (C.EXTRACT_TAG,)
 
@@ -102,23 +106,22 @@ def run_silver_job(spark: SparkSession, bronze: DataFrame, contract: C.Contract,
                    watermark=None, load_id: str | None = None, dedup: bool = False) -> bool:
     """Bronze -> silver table, with quarantined rows in ``<table>__quarantine``. Returns whether rows were written: not
     if the batch has columns that neither the table nor the contract knows. ``load_id`` (for instance the bronze batch
-    number) makes a repeated run replace its earlier rows."""
+    number) makes a repeated run replace its earlier rows, in both tables by one switch."""
     good, bad = silver_split(bronze, contract, watermark, dedup=dedup)
     known = spark.table(table).columns if spark.catalog.tableExists(table) else good.columns
     if not C.evolution_allowed(good.columns, known, contract.columns):
         return False
-    load_id = append_table(spark, good, table, f"{root.rstrip('/')}/silver", load_id, SILVER_PARTITIONS)
-    append_table(spark, bad, f"{table}__quarantine", f"{root.rstrip('/')}/quarantine", load_id)
+    publish_load(spark, {table: (good, SILVER_PARTITIONS), f"{table}__quarantine": (bad, ())}, root, load_id)
     return True
 
 
 def run_gold_job(spark: SparkSession, silver: DataFrame, contract: C.Contract, table: str, root: str, as_of,
                  dimensions: dict | None = None, watermark=None, watermark_col: str = C.INGEST_TS,
                  versions: str = "current", as_of_col: str | None = None, load_id: str | None = None) -> None:
-    """Silver -> gold table by contract type. SCD2: only the open set and this run's closed rows are written. SCD1: only
-    the key buckets the batch touches. FACT: appended, with the dimension keys of ``versions`` (current, all,
-    as_of with ``as_of_col``); a load id of an earlier load replaces it. Dependencies not given in ``dimensions`` are
-    read from the catalog."""
+    """Silver -> gold table by contract type. SCD1 and SCD2: only new rows and this run's closed rows are written; the rows
+    whose key was missing share one member, with the latest values, and are all kept in ``<table>__unkeyed``. FACT: appended, with the
+    dimension keys of ``versions`` (current, all, as_of with ``as_of_col``). A load id of an earlier load replaces what that
+    load appended. Dependencies not given in ``dimensions`` are read from the catalog."""
     batch = silver if watermark is None else incremental_read(silver, watermark_col, watermark)
     batch = batch.drop("_load_id")
     dims = catalog_dimensions(spark, contract, dimensions)
@@ -129,18 +132,28 @@ def run_gold_job(spark: SparkSession, silver: DataFrame, contract: C.Contract, t
     if contract.table_type not in ("SCD1", "SCD2"):
         raise ValueError(f"{contract.name}: unknown table type {contract.table_type}")
     keys, sk = list(contract.keys), _surrogate_key(contract)
+    append_table(spark, batch.filter(is_unkeyed(batch, keys)), f"{table}__unkeyed", f"{root.rstrip('/')}/unkeyed", load_id)
     batch = one_per_key(batch, keys, watermark_col, "latest")
     if contract.dependencies:
         batch = resolve_dependencies(batch, contract, dims, versions="current")
-    if contract.table_type == "SCD1":
-        publish_scd1_buckets(spark, batch, table, root, keys, sk, as_of)
-    elif not spark.catalog.tableExists(table):
-        publish_scd2(spark, None, scd2_first_load(batch, keys, sk, as_of), table, root)
-    else:
-        publish_scd2(spark, *scd2_delta(spark.table(table), batch, keys, sk, as_of), table, root)
+    closed, history, known = None, contract.table_type == "SCD2", spark.catalog.tableExists(table)
+    with Scratch(spark) as scratch:
+        if not known:
+            fresh = (scd2_first_load if history else scd1_first_load)(batch, keys, sk, as_of)
+        elif history:
+            closed, fresh = scd2_changes(open_rows(spark, table), batch, keys, sk, as_of, top_key(spark, table), keep=scratch.stored)
+        else:
+            fresh = scd1_changes(open_rows(spark, table), batch, keys, sk, as_of, top_key(spark, table), keep=scratch.stored)
+        publish_changes(spark, table, root, keys, sk, fresh, closed, history)
 
 
 def run_hash_dimension_job(spark: SparkSession, batch: DataFrame, keys, attrs, sk: str, table: str, root: str, as_of) -> None:
-    """Flag-form SCD2 driven by a row hash, stored as a table: the next state is published as a new version."""
-    target = spark.table(table) if spark.catalog.tableExists(table) else None
-    publish_state(spark, scd2_hash_state(target, batch, list(keys), list(attrs), sk, as_of), table, root)
+    """Flag-form SCD2 driven by a row hash, stored as a table: only new versions and closed rows are written."""
+    keys, attrs, closed = list(keys), list(attrs), None
+    with Scratch(spark) as scratch:
+        if spark.catalog.tableExists(table):
+            closed, fresh = scd2_hash_changes(open_rows(spark, table), batch, keys, attrs, sk, as_of, top_key(spark, table),
+                                              keep=scratch.stored)
+        else:
+            fresh = scd2_hash_first_load(batch, keys, attrs, sk, as_of)
+        publish_changes(spark, table, root, keys, sk, fresh, closed)

@@ -63,6 +63,57 @@ def q_silver_bad_keys(spark, d):
     return parts[0].unionByName(parts[1])
 
 
+@register("load_replay", """SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name, 'silver' AS kept_in, 'a' AS load_id
+    FROM customer WHERE c_custkey % 3 = 0
+  UNION ALL SELECT CASE WHEN c_custkey % 4 = 0 THEN 'key ' || c_custkey ELSE CAST(c_custkey AS VARCHAR) END, c_name,
+    IF(c_custkey % 4 = 0, 'quarantine', 'silver'), 'c' FROM customer WHERE c_custkey % 3 = 1""")
+def q_load_replay(spark, d):
+    """Three loads. The first comes again with fewer tags and its keys corrected, the second with no rows at all: nothing of
+    what they brought before is left, neither in the table nor in quarantine."""
+    table, root = _names(spark, "load_replay")
+    key, n = F.col("customer_id"), F.col("customer_id").cast("long")
+    raw = fx.raw_customers(spark, d, "all").withColumn(C.EXTRACT_TAG, F.concat(F.lit("TAG_"), (n % 3).cast("string")))
+    wrong = raw.withColumn("customer_id", F.when(n % 4 == 0, F.concat(F.lit("key "), key)).otherwise(key))
+    tag = F.col(C.EXTRACT_TAG)
+    for load, rows in (("a", wrong), ("b", wrong.filter(tag == "TAG_2")), ("c", wrong.filter(tag == "TAG_1")),
+                       ("a", raw.filter(tag == "TAG_0")), ("b", raw.filter("false"))):
+        run_silver_job(spark, rows, C.SILVER_CUSTOMERS, table, root, load_id=load)
+    parts = [spark.table(t).select(key.cast("string").alias("customer_id"), "name", F.lit(kept).alias("kept_in"), F.col(LOAD_ID).alias("load_id"))
+             for t, kept in ((table, "silver"), (f"{table}__quarantine", "quarantine"))]
+    return parts[0].unionByName(parts[1])
+
+
+@register("scd2_small_runs", f"""WITH v AS (SELECT c_custkey, 0 AS run, c_name AS name FROM customer
+    UNION ALL SELECT c_custkey, unnest(range(1, 7)), NULL FROM customer),
+  changed AS (SELECT c_custkey, run, coalesce(name, 'renamed in ' || run) AS name FROM v WHERE run = 0 OR (c_custkey + run) % 40 < 4),
+  ordered AS (SELECT *, lead(run) OVER (PARTITION BY c_custkey ORDER BY run) AS next_run FROM changed)
+  SELECT c_custkey AS customer_id, name, DATE '2024-03-01' + CAST(run AS INTEGER) AS effective_start_date,
+    CASE WHEN next_run IS NULL THEN DATE '9999-12-31' ELSE DATE '2024-03-01' + CAST(next_run AS INTEGER) END AS effective_end_date,
+    CAST(row_number() OVER (ORDER BY run, c_custkey) AS BIGINT) AS customer_id_sk FROM ordered""")
+def q_scd2_small_runs(spark, d):
+    """A first load of all customers and six small batches through the SCD2 job's store: versions, validity and keys."""
+    table, root = _names(spark, "small_runs")
+    base = fx.silver_customers(spark, d, "all").select("customer_id", "name", C.INGEST_TS)
+    run_gold_job(spark, base, C.GOLD_CUSTOMERS, table, root, "2024-03-01")
+    for run in range(1, 7):
+        batch = base.filter((F.col("customer_id") + run) % 40 < 4).withColumn("name", F.lit(f"renamed in {run}"))
+        run_gold_job(spark, batch, C.GOLD_CUSTOMERS, table, root, f"2024-03-0{1 + run}")
+    return spark.table(table).select("customer_id", "name", "effective_start_date", "effective_end_date", "customer_id_sk")
+
+
+@register("unkeyed_rows", """SELECT c_name AS name, 'apart' AS kept_in FROM customer WHERE c_custkey % 4 = 0
+  UNION ALL SELECT c_name, 'gold' FROM customer WHERE c_custkey % 4 <> 0""")
+def q_unkeyed_rows(spark, d):
+    """Every fourth customer comes without a key: the dimension has one member for them, and all of them are kept."""
+    table, root = _names(spark, "unkeyed")
+    raw = fx.raw_customers(spark, d, "all")
+    raw = raw.withColumn("customer_id", F.when(F.col("customer_id").cast("long") % 4 != 0, F.col("customer_id")))
+    run_silver_job(spark, raw, C.SILVER_CUSTOMERS, f"{table}_silver", f"{root}/silver")
+    run_gold_job(spark, spark.table(f"{table}_silver"), C.GOLD_CUSTOMERS, table, f"{root}/gold", fx.B1_ASOF)
+    gold = spark.table(table).filter("customer_id <> 0").select("name", F.lit("gold").alias("kept_in"))
+    return gold.unionByName(spark.table(f"{table}__unkeyed").select("name", F.lit("apart").alias("kept_in")))
+
+
 @register("evolved_table_append", with_ctes(_EVOLVED_OUT, _EVOLVED_SQL))
 def q_evolved_table_append(spark, d):
     """A declared new column arrives in a catalog table; an undeclared one is refused."""
@@ -118,7 +169,7 @@ def q_hash_table_load(spark, d):
     for batch, as_of in (("1", fx.B1_ASOF), ("2", fx.B2_ASOF)):
         run_hash_dimension_job(spark, fx.silver_customers(spark, d, batch), ["customer_id"], star.COMPARE_CUSTOMERS,
                                "customer_id_sk", table, root, as_of)
-    return portable(spark.table(table))
+    return portable(spark.table(table).drop("_slice"))
 
 
 @register("fact_table_load_asof", with_ctes(f"SELECT {', '.join(_FACT_OUT)} FROM fact_as_of"))

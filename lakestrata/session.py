@@ -69,3 +69,25 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+class Scratch:
+    """Copies that a job needs only while it runs: removed when the ``with`` block ends, however it ends."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def stored(self, df, name: str):
+        """Write ``df`` to a fresh shared folder and read it back: it is computed once, and survives lost executors."""
+        path = scratch_dir(self.spark, name)
+        self.paths.append(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)

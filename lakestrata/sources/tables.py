@@ -3,11 +3,8 @@
 Publishing never overwrites what may be read, and becomes visible by one statement:
 
 * ``publish_state`` writes a whole state to a fresh ``v=<n>`` folder and repoints the table at it.
-* ``publish_scd2`` and ``publish_scd1_buckets`` write only what changed, as new partitions of a data table
-  (``<name>__data``), and then replace the view ``<name>`` that tells which partitions count. A run that fails
-  before that statement changes nothing that readers see; the next run replaces its leftovers.
-* ``append_load`` adds rows in partitions of a load id of their own. With the id of an earlier load it replaces
-  exactly that load (replay); without one it is a plain append.
+* ``sources.loads`` adds loads that can be corrected; ``sources.keyed_store`` keeps the current rows of a dimension and its
+  history. Both write only what changed, to partitions of a data table (``<name>__data``), and show it by a view ``name``.
 """
 
 from __future__ import annotations
@@ -19,8 +16,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LOAD_ID = "_load_id"
-
 
 def _hadoop_path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -32,6 +27,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+LOAD_ID = "_load_id"
+
+
 def incremental_read(df: DataFrame, column: str, watermark) -> DataFrame:
     """Rows strictly newer than the watermark; the predicate reaches the parquet scan (PushedFilters)."""
     return df.filter(F.col(column) > F.lit(watermark))
@@ -82,14 +80,31 @@ def table_location(spark: SparkSession, name: str) -> str | None:
     return rows[0]["data_type"] if rows else None
 
 
+def quoted(name: str) -> str:
+    """A table name as SQL, every part in backticks."""
+    return ".".join(column_list([p]) for p in name.split("."))
+
+
+def column_list(names) -> str:
+    return ", ".join("`" + n.replace("`", "``") + "`" for n in names)
+
+
+def text_literal(value) -> str:
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _columns_ddl(fields) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    return ", ".join(f"{column_list([f.name])} {f.dataType.simpleString()}" for f in fields)
 
 
-def create_table(spark: SparkSession, name: str, df: DataFrame, path: str, partition_by=(), fmt: str = "parquet") -> None:
-    """An empty catalog table with the columns of ``df``, partitioned by its ``partition_by`` columns."""
-    parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
-    spark.sql(f"CREATE TABLE {name} ({_columns_ddl(df.schema.fields)}) USING {fmt} {parts} LOCATION '{path}'")
+def create_table(spark: SparkSession, name: str, df: DataFrame, path: str, partition_by=(), fmt: str = "parquet",
+                 bucket_by=(), buckets: int = 0) -> None:
+    """An empty catalog table with the columns of ``df``, partitioned by its ``partition_by`` columns, and bucketed if
+    ``bucket_by`` is given."""
+    parts = f"PARTITIONED BY ({column_list(partition_by)})" if partition_by else ""
+    dealt = f"CLUSTERED BY ({column_list(bucket_by)}) INTO {buckets} BUCKETS" if bucket_by else ""
+    spark.sql(f"CREATE TABLE {quoted(name)} ({_columns_ddl(df.schema.fields)}) USING {fmt} {parts} {dealt} LOCATION {text_literal(path)}")
 
 
 def add_columns(spark: SparkSession, name: str, df: DataFrame) -> list[str]:
@@ -97,44 +112,66 @@ def add_columns(spark: SparkSession, name: str, df: DataFrame) -> list[str]:
     have = set(spark.table(name).columns)
     new = [f for f in df.schema.fields if f.name not in have]
     if new:
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns_ddl(new)})")
+        spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({_columns_ddl(new)})")
     return [f.name for f in new]
 
 
-def _add_partitions(spark: SparkSession, name: str, partitions) -> None:
+def _spec(spec: dict) -> str:
+    return "PARTITION (" + ", ".join(f"{column_list([k])}={text_literal(v)}" for k, v in spec.items()) + ")"
+
+
+def add_partitions(spark: SparkSession, name: str, partitions) -> None:
     """Register (spec, location) pairs with one statement."""
-    specs = " ".join("PARTITION ({}) LOCATION '{}'".format(", ".join(f"{k}='{v}'" for k, v in spec.items()), path)
-                     for spec, path in partitions)
+    specs = " ".join(f"{_spec(spec)} LOCATION {text_literal(path)}" for spec, path in partitions)
     if specs:
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {specs}")
+        spark.sql(f"ALTER TABLE {quoted(name)} ADD IF NOT EXISTS {specs}")
 
 
-def append_load(spark: SparkSession, df: DataFrame, path: str, load_id: str | None = None, partition_by=()) -> str:
-    """Append rows below ``path`` in partitions (``partition_by``, load id). The same ``load_id`` again replaces that
-    load and nothing else; by default every call is a load of its own. Returns the load id."""
-    load_id = load_id or uuid.uuid4().hex[:16]
-    out = df.drop(LOAD_ID).withColumn(LOAD_ID, F.lit(load_id))
-    write_table(out, path, "overwrite", [*partition_by, LOAD_ID], replace_partitions=True)
-    return load_id
+def drop_partitions(spark: SparkSession, name: str, specs) -> None:
+    """Forget partitions (the files of an external table stay)."""
+    listed = ", ".join(_spec(s) for s in specs)
+    if listed:
+        spark.sql(f"ALTER TABLE {quoted(name)} DROP IF EXISTS {listed}")
 
 
-def append_table(spark: SparkSession, df: DataFrame, name: str, root: str, load_id: str | None = None,
-                 partition_by=()) -> str:
-    """``append_load`` into a catalog table, created on the first load; new columns are added to the catalog first and
-    only the new partitions of this load are registered. Returns the load id."""
-    load_id = load_id or uuid.uuid4().hex[:16]
-    tagged = df.drop(LOAD_ID).withColumn(LOAD_ID, F.lit(load_id))
-    if not spark.catalog.tableExists(name):
-        create_table(spark, name, tagged, f"{root.rstrip('/')}/table", [*partition_by, LOAD_ID])
-    add_columns(spark, name, tagged)
-    location = table_location(spark, name)
-    append_load(spark, tagged, location, load_id, partition_by)
-    pattern, fs = _hadoop_path(spark, "/".join([location, *(f"{p}=*" for p in partition_by), f"{LOAD_ID}={load_id}"]))
-    folders = [str(s.getPath()) for s in (fs.globStatus(pattern) or [])]  # one per tag of this load
+def partition_spec(spark: SparkSession, path: str) -> dict[str, str]:
+    """The values in a partition path (``a=1/b=x%20y``), unescaped."""
     unescape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
-    _add_partitions(spark, name, [(
-        {k: unescape(v) for k, v in (part.split("=", 1) for part in f.split("/")[-len(partition_by) - 1:])}, f) for f in folders])
-    spark.sql(f"REFRESH TABLE {name}")
+    return {unescape(k): unescape(v) for k, v in (p.split("=", 1) for p in path.strip("/").split("/") if "=" in p)}
+
+
+def full_path(spark: SparkSession, path: str) -> str:
+    """A path as the file system spells it."""
+    p, fs = _hadoop_path(spark, path)
+    return str(fs.makeQualified(p).toString())
+
+
+def list_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """The folders ``depth`` levels below a path (metadata; names that begin with _ or . are left out)."""
+    level = [path]
+    for _ in range(depth):
+        below = []
+        for folder in level:
+            p, fs = _hadoop_path(spark, folder)
+            if fs.exists(p):
+                below += [str(s.getPath().toString()) for s in fs.listStatus(p)
+                          if s.isDirectory() and (s.getPath().getName()[0] not in "_." or "=" in s.getPath().getName())]
+        level = below
+    return level
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
+def append_load(spark: SparkSession, df: DataFrame, path: str, load_id: str | None = None, partition_by=()) -> str:
+    """Append rows below ``path`` in a folder of the load, which the same ``load_id`` replaces as a whole (files only:
+    ``sources.loads`` does it for catalog tables, by one switch). By default every call is a load of its own. Returns the
+    load id."""
+    load_id = load_id or uuid.uuid4().hex[:16]
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    write_table(df.drop(LOAD_ID), f"{path.rstrip('/')}/{LOAD_ID}={escape(load_id)}", partition_by=list(partition_by))
     return load_id
 
 
@@ -153,97 +190,14 @@ def publish_state(spark: SparkSession, state: DataFrame, name: str, root: str, f
     return path
 
 
-def _published(spark: SparkSession, name: str) -> dict | None:
-    """What the view of a published table records: its run number, and more."""
+def published(spark: SparkSession, name: str) -> dict | None:
+    """What the view of a published table records about it."""
     if not spark.catalog.tableExists(name):
         return None
-    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()
     return next((json.loads(r["value"]) for r in rows if r["key"] == "lakestrata.published"), None)
 
 
-def _switch(spark: SparkSession, name: str, record: dict, select: str) -> None:
-    """The one statement by which a run becomes visible."""
-    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('lakestrata.published' = '{json.dumps(record)}') AS {select}")
-
-
-def _replace_partition(spark: SparkSession, name: str, specs) -> None:
-    """Forget partitions that an unfinished run may have left."""
-    for spec in specs:
-        inside = ", ".join(f"{k}='{v}'" for k, v in spec.items())
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({inside})")
-
-
-def publish_scd2(spark: SparkSession, closed: DataFrame | None, current: DataFrame, name: str, root: str) -> str:
-    """Store an SCD2 table so that history is never rewritten.
-
-    Each run adds two partitions to ``<name>__data``: ``open-<n>`` with the open versions and ``closed-<n>`` with the rows
-    it closes. The view ``name`` shows the newest open partition (as ``_slice = 'current'``) and the closed partitions
-    of all finished runs; filters on ``_slice`` prune partitions. Replacing the view is the only switch. Returns the
-    folder of the open versions.
-    """
-    col, data, root = "_slice", f"{name}__data", root.rstrip("/")
-    record = _published(spark, name)
-    run = (record["run"] if record else 0) + 1
-    current = current.drop(col)
-    if not spark.catalog.tableExists(data):
-        create_table(spark, data, current.withColumn(col, F.lit("")), f"{root}/table", [col])
-    add_columns(spark, data, current)
-    slices = {f"open-{run:06d}": current} | ({f"closed-{run:06d}": closed.drop(col)} if closed is not None else {})
-    paths = {s: f"{root}/{s}-{uuid.uuid4().hex[:8]}" for s in slices}
-    for s, df in slices.items():
-        write_table(df, paths[s])
-    _replace_partition(spark, data, [{col: s} for s in (f"open-{run:06d}", f"closed-{run:06d}")])
-    _add_partitions(spark, data, [({col: s}, p) for s, p in paths.items()])
-    spark.sql(f"REFRESH TABLE {data}")
-    columns = ", ".join(f"`{c}`" for c in spark.table(data).columns if c != col)
-    _switch(spark, name, {"run": run}, f"""SELECT {columns},
-        CASE WHEN {col} = 'open-{run:06d}' THEN 'current' ELSE {col} END AS {col} FROM {data}
-        WHERE {col} = 'open-{run:06d}' OR ({col} >= 'closed-' AND {col} <= 'closed-{run:06d}')""")
-    return paths[f"open-{run:06d}"]
-
-
-def key_bucket(keys, buckets: int):
-    """Stable bucket of a business key: pmod(xxhash64(keys), buckets)."""
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
-
-
-def publish_scd1_buckets(spark: SparkSession, batch: DataFrame, name: str, root: str, keys, sk: str, as_of,
-                         buckets: int = 64) -> list[int]:
-    """SCD1 publish that rewrites only the key buckets the batch touches.
-
-    ``<name>__data`` is partitioned by (bucket of the business key, run). A run computes the next state of the touched
-    buckets only and adds it as partitions of its own; new keys get surrogate keys after the table-wide maximum. The
-    view ``name`` shows each bucket as of the last finished run that touched it; replacing it is the only switch. The
-    number of buckets is fixed by the first run; the touched buckets are the only thing collected. Returns them.
-    """
-    from lakestrata.operators.keys import max_key
-    from lakestrata.operators.merge import scd1_merge, scd1_prepare, scd1_state
-
-    bcol, rcol, data, root, keys = "_bucket", "_run", f"{name}__data", root.rstrip("/"), list(keys)
-    record = _published(spark, name) or {"run": 0, "buckets": buckets, "runs": {}}
-    run, buckets = record["run"] + 1, record["buckets"]
-    batch = batch.withColumn(bcol, key_bucket(keys, buckets))
-    if record["runs"]:
-        touched = sorted(r[0] for r in batch.select(bcol).distinct().collect())
-        shown = [f"({bcol} = {b} AND {rcol} = {record['runs'][str(b)]})" for b in touched if str(b) in record["runs"]]
-        part = spark.table(data).filter(" OR ".join(shown) or "false").drop(rcol)
-        prepared = scd1_prepare(part, batch, keys, sk, as_of, offset=max_key(spark.table(name), sk))
-        state = scd1_merge(part, prepared, [sk])
-    else:
-        touched, state = None, scd1_state(None, batch, keys, sk, as_of)
-    out = f"{root}/run-{run:06d}-{uuid.uuid4().hex[:8]}"
-    write_table(state, out, partition_by=[bcol])
-    if touched is None:
-        touched = sorted(r[0] for r in spark.read.parquet(out).select(bcol).distinct().collect())
-    if not spark.catalog.tableExists(data):
-        create_table(spark, data, state.withColumn(rcol, F.lit(0)), f"{root}/table", [bcol, rcol])
-    add_columns(spark, data, state)
-    _replace_partition(spark, data, [{bcol: b, rcol: run} for b in touched])
-    _add_partitions(spark, data, [({bcol: b, rcol: run}, f"{out}/{bcol}={b}") for b in touched])
-    spark.sql(f"REFRESH TABLE {data}")
-    runs = record["runs"] | {str(b): run for b in touched}
-    columns = ", ".join(f"`{c}`" for c in spark.table(data).columns if c not in (bcol, rcol))
-    shown = " ".join(f"WHEN {b} THEN {r}" for b, r in runs.items())
-    where = f"{rcol} = CASE {bcol} {shown} END" if runs else "false"
-    _switch(spark, name, {"run": run, "buckets": buckets, "runs": runs}, f"SELECT {columns} FROM {data} WHERE {where}")
-    return touched
+def replace_view(spark: SparkSession, name: str, record, select: str) -> None:
+    """Create or replace the view of a published table, with its record: one statement."""
+    spark.sql(f"CREATE OR REPLACE VIEW {quoted(name)} TBLPROPERTIES ('lakestrata.published' = {text_literal(json.dumps(record))}) AS {select}")

@@ -7,6 +7,7 @@ from lakestrata.plans.jobs import run_gold_job, run_silver_job
 from lakestrata.operators.merge import scd1_state
 from lakestrata.session import scratch_dir
 from lakestrata.sources.landing import write_landing_csv
+from lakestrata.sources.tables import published
 from lakestrata.streaming.bronze import read_bronze, run_bronze_ingest
 from conftest import SF_SMALL
 SF_MID_OR_SMALL = "/root/testdata/sf0.01"
@@ -47,14 +48,15 @@ def test_scd2_gold_job_keeps_history_in_place(spark):
                      f"{root}/gold", as_of)
     table = spark.table("lakestrata_gold_cust")
     slices = sorted(r[0] for r in table.select("_slice").distinct().collect())
-    assert slices == ["closed-000002", "current"]  # the replay closed nothing
+    assert slices == ["closed", "current"]
+    assert [x["slice"][:13] for x in published(spark, "lakestrata_gold_cust")["closed"]] == ["closed-000002"]  # the replay closed nothing
     t1 = scd2_state(None, fx.silver_customers(spark, SF_SMALL, "1"), ["customer_id"], "customer_id_sk", fx.B1_ASOF)
     want = scd2_state(t1, fx.silver_customers(spark, SF_SMALL, "2"), ["customer_id"], "customer_id_sk", fx.B2_ASOF)
     got = table.drop("_slice").drop(C.INGEST_TS)
     want = want.drop(C.INGEST_TS).select(*got.columns)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
     plan = table.filter("_slice = 'current'")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "open-000003" in plan
+    assert "PartitionFilters: [" in plan and "open-00000" in plan and "closed-" not in plan
 
 
 def test_fact_job_append_is_replay_safe(spark):
@@ -86,7 +88,7 @@ def test_scd2_delta_reads_only_the_current_slice(spark):
     assert closed.count() == 0  # replay of the last batch
     plan = current._jdf.queryExecution().executedPlan().toString()
     scans = [ln for ln in plan.splitlines() if "FileScan" in ln and "gold_slice" in ln]
-    assert scans and all("PartitionFilters: [" in ln and "open-000002" in ln for ln in scans)
+    assert scans and all("PartitionFilters: [" in ln and "open-00000" in ln and "closed-" not in ln for ln in scans)
 
 
 def test_current_lookup_prunes_to_open_slice(spark):
@@ -101,7 +103,7 @@ def test_current_lookup_prunes_to_open_slice(spark):
     out = resolve_lookups(fact, [Lookup(dim, "customer_id_sk", ("customer_id",))])
     assert out.count() == fact.count() and out.filter(F.col("customer_id_sk").isNull()).count() == 0
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "open-000002" in plan
+    assert "PartitionFilters: [" in plan and "open-00000" in plan and "closed-" not in plan
 
 
 def test_concurrent_layer_build_equals_sequential(spark):
@@ -115,30 +117,44 @@ def test_concurrent_layer_build_equals_sequential(spark):
         assert a.exceptAll(b.select(*a.columns)).count() == 0, name
 
 
-def test_scd1_bucket_publish_rewrites_only_touched_buckets(spark):
+def test_scd1_job_writes_only_the_batch(spark):
     from lakestrata.operators.merge import scd1_state
-    from lakestrata.sources.tables import publish_scd1_buckets
 
-    root = scratch_dir(spark, "t-scd1-buckets")
+    root = scratch_dir(spark, "t-scd1-store")
     b1 = fx.silver_suppliers(spark, SF_MID_OR_SMALL, "1")
-    b2 = fx.silver_suppliers(spark, SF_MID_OR_SMALL, "2").filter(F.col("supplier_id") < 40)  # a small batch
-    publish_scd1_buckets(spark, b1, "lakestrata_scd1_b", root, ["supplier_id"], "supplier_id_sk", fx.B1_ASOF, 16)
-    touched = publish_scd1_buckets(spark, b2, "lakestrata_scd1_b", root, ["supplier_id"], "supplier_id_sk",
-                                   fx.B2_ASOF, 16)
-    assert 0 < len(touched) < 16
+    b2 = fx.silver_suppliers(spark, SF_MID_OR_SMALL, "2").filter(F.col("supplier_id") < 20)  # a small batch
+    for batch, as_of in ((b1, fx.B1_ASOF), (b2, fx.B2_ASOF)):
+        run_gold_job(spark, batch, C.GOLD_SUPPLIERS, "lakestrata_scd1_b", root, as_of)
+    levels = published(spark, "lakestrata_scd1_b")["open"]
+    assert [x["rows"] for x in levels] == [b1.count(), b2.count()] and 0 < b2.count() < b1.count() / 2
     got = spark.table("lakestrata_scd1_b")
     want = scd1_state(scd1_state(None, b1, ["supplier_id"], "supplier_id_sk", fx.B1_ASOF), b2, ["supplier_id"],
                       "supplier_id_sk", fx.B2_ASOF).select(*got.columns)
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
+def test_rows_without_a_key_are_all_kept(spark):
+    root = scratch_dir(spark, "t-unkeyed")
+    raw = fx.raw_customers(spark, SF_SMALL, "all")
+    key = F.col("customer_id").cast("long")
+    raw = raw.withColumn("customer_id", F.when(key % 4 != 0, F.col("customer_id")))
+    run_silver_job(spark, raw, C.SILVER_CUSTOMERS, "lakestrata_unk_silver", f"{root}/silver")
+    silver = spark.table("lakestrata_unk_silver")
+    for _ in range(2):  # the load repeated
+        run_gold_job(spark, silver, C.GOLD_CUSTOMERS, "lakestrata_unk_gold", f"{root}/gold", fx.B1_ASOF, load_id="one")
+    gold, apart = spark.table("lakestrata_unk_gold"), spark.table("lakestrata_unk_gold__unkeyed")
+    missing = raw.filter("customer_id IS NULL").count()
+    assert apart.count() == missing > 1 and apart.select("name").distinct().count() == missing
+    assert gold.filter("customer_id <> 0").count() == raw.count() - missing and gold.filter("customer_id = 0").count() == 1
+
+
 def _fail_at(monkeypatch, spark, n):
     """Make the n-th SQL statement fail."""
     calls = {"n": 0}
     real = type(spark).sql
 
     def sql(self, *a, **k):
-        if a and str(a[0]).lstrip().split()[0] in ("ALTER", "CREATE", "REFRESH"):
+        if a and str(a[0]).lstrip().split()[0] in ("ALTER", "CREATE", "REFRESH", "DROP"):
             calls["n"] += 1
             if calls["n"] == n:
                 raise RuntimeError("lost")
@@ -151,7 +167,7 @@ def _fail_at(monkeypatch, spark, n):
 def _run_with_losses(spark, monkeypatch, publish, name):
     """Run ``publish`` with a failure at each statement in turn; readers see the old state until a run succeeds."""
     before = sorted(map(tuple, spark.table(name).collect()))
-    for n in range(1, 12):
+    for n in range(1, 40):
         with monkeypatch.context() as m:
             _fail_at(m, spark, n)
             try:
