@@ -5,14 +5,15 @@ suffixes that begin with a phrase is the phrase's frequency, so a phrase's count
 
 **Vertical partitioning.** The suffix tree is cut at word prefixes. A first pass counts words. Prefixes of more than
 ``BUDGET`` suffixes are extended by a word, and counted again, until all fit (as many passes as the longest such prefix has
-words). The prefixes are dealt by hash into groups of about half the budget, and each group's subtrees are built on their own:
+words). The prefixes are dealt by hash into groups of about the budget (words that are not frequent, about half, are left
+out, see below), and each group's subtrees are built on their own:
 its suffixes are sorted, so a node is a run of equal prefixes. Nodes above a cut are the extended prefixes; they are
 counted exactly by the passes that extended them. What the driver holds are the extended prefixes, at most
 ``depth`` * words / ``BUDGET``.
 
 **Less to send.** A phrase is frequent only if its words are, so suffixes end before words that are not: a bitmap of fixed
 size (``FILTER_BITS``), built from the frequent words, tells them; it errs only towards keeping. Equal suffixes of a
-block of text travel once, with their number; a block's suffixes of one group travel as one row of at most all of them.
+block of text travel once, with their number; a block's suffixes of one group travel as one compressed row.
 
 **Cuts.** A candidate cut after k words has the score floor(1000 a n / (l r)); counts of both parts come by joins, the
 arithmetic is done with decimals of 38 digits. A candidate inside a longer one of equal frequency is dropped; it suffices to
@@ -33,13 +34,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakestrata.llm._common import mix64, partitions_for, stored
 
-BLOCK = 8 << 20  # bytes of text that are worked on together
-BUDGET = 1 << 21  # suffixes a group is built from
+BLOCK = 16 << 20  # bytes of text whose suffixes are packed together
+STRETCH = 4 << 20  # bytes of text that are words at a time
+HELD_WORDS = 400_000  # different words that a task holds before it hands their counts on
+BUDGET = 1 << 22  # suffixes a group is built from
 FILTER_BITS = 1 << 23
 BLOCK_BITS = 1 << 13
 #: Characters that end a piece, and characters that end a word.
@@ -49,10 +53,10 @@ _TABLE = bytes.maketrans(PIECE_ENDS + b"\t", END * len(PIECE_ENDS) + b" ")
 
 
 def _stretches(data: bytes) -> Iterator[bytes]:
-    """A long text in stretches of about ``BLOCK`` bytes, cut after a character that ends a word."""
+    """A long text in stretches of about ``STRETCH`` bytes, cut after a character that ends a word."""
     begin = 0
-    while len(data) - begin > BLOCK:
-        ends = [at for c in PIECE_ENDS + WORD_ENDS if (at := data.find(bytes([c]), begin + BLOCK)) >= 0]
+    while len(data) - begin > STRETCH:
+        ends = [at for c in PIECE_ENDS + WORD_ENDS if (at := data.find(bytes([c]), begin + STRETCH)) >= 0]
         if not ends:
             break
         yield data[begin: min(ends) + 1]
@@ -65,38 +69,76 @@ def _tokens(data: bytes) -> list[bytes]:
     return data.lower().translate(_TABLE).replace(END, b" . ").split()
 
 
-def blocks(batches, depth: int) -> Iterator[tuple[str, list[bytes], int]]:
-    """(language, tokens, how many of them are new): short texts of a language together, long ones in stretches, each with
-    the ``depth`` - 1 tokens before it in front. Only tokens from the last ``depth`` - 1 of the block before on start suffixes
-    that are not whole there; see ``starts``."""
+def stretches(batches) -> Iterator[tuple[str, list[bytes], bool]]:
+    """(language, tokens, whether the text goes on in the next one): short texts of a language together, long ones in
+    stretches."""
     waiting: dict[str, list[bytes]] = defaultdict(list)
     size: Counter = Counter()
     for batch in batches:
         for lang, data in zip(batch.column("lang").to_pylist(), pc.cast(batch.column("text"), pa.binary()).to_pylist()):
             data = data or b""
-            if len(data) > BLOCK:
-                held: list[bytes] = []
+            if len(data) > STRETCH:
                 parts = list(_stretches(data))
                 for i, part in enumerate(parts):
-                    tokens = held + _tokens(part)
-                    keep = min(depth - 1, len(tokens)) if i + 1 < len(parts) else 0
-                    yield lang, tokens, len(tokens) - keep
-                    held = tokens[len(tokens) - keep:] if keep else []
+                    yield lang, _tokens(part), i + 1 < len(parts)
                 continue
             waiting[lang].append(data)
             size[lang] += len(data)
-            if size[lang] >= BLOCK:
-                tokens = _tokens(END.join(waiting.pop(lang)))
+            if size[lang] >= STRETCH:
                 size[lang] = 0
-                yield lang, tokens, len(tokens)
-        if sum(size.values()) >= 4 * BLOCK:  # many languages: none waits for long
+                yield lang, _tokens(END.join(waiting.pop(lang))), False
+        if sum(size.values()) >= 4 * STRETCH:  # many languages: none waits for long
             for lang in list(waiting):
-                tokens = _tokens(END.join(waiting.pop(lang)))
-                yield lang, tokens, len(tokens)
+                yield lang, _tokens(END.join(waiting.pop(lang))), False
             size.clear()
     for lang, texts in waiting.items():
-        tokens = _tokens(END.join(texts))
-        yield lang, tokens, len(tokens)
+        yield lang, _tokens(END.join(texts)), False
+
+
+def overlapped(batches, depth: int) -> Iterator[tuple[str, list[bytes], int]]:
+    """(language, tokens, from how many of them on no suffix starts): stretches of one text overlap by ``depth`` - 1 tokens,
+    so every suffix is whole in one of them."""
+    held: list[bytes] = []
+    for lang, tokens, more in stretches(batches):
+        tokens = held + tokens
+        keep = min(depth - 1, len(tokens)) if more else 0
+        yield lang, tokens, len(tokens) - keep
+        held = tokens[len(tokens) - keep:] if keep else []
+
+
+def numbered(batches, depth: int) -> Iterator[tuple[str, list[bytes], np.ndarray]]:
+    """(language, words by number, the words of about ``BLOCK`` bytes of text as numbers): 0 is the end of a piece. Where a
+    block ends inside a text, the next begins with its last ``depth`` - 1 words, and -1 stands behind those that start no
+    suffix in the block before."""
+    ids: dict[str, dict[bytes, int]] = {}
+    flat: dict[str, list[np.ndarray]] = defaultdict(list)
+    size: Counter = Counter()
+    held: list[bytes] = []
+    for lang, tokens, more in stretches(batches):
+        own = ids.get(lang)
+        if own is None:
+            own = ids[lang] = defaultdict(itertools.count().__next__)
+            own[END]
+        if held:  # the text that this goes on with was flushed
+            flat[lang].append(np.fromiter(map(own.__getitem__, held), np.int64, len(held)))
+            held = []
+        flat[lang].append(np.fromiter(map(own.__getitem__, tokens), np.int64, len(tokens)))
+        if not more:
+            flat[lang].append(np.zeros(1, np.int64))
+        size[lang] += sum(map(len, tokens)) + len(tokens)
+        if size[lang] >= BLOCK:
+            if more:
+                whole = np.concatenate(flat[lang])
+                names = list(own)
+                held = [names[i] for i in whole[max(0, len(whole) - depth + 1):]]
+            yield lang, list(own), np.concatenate([*flat.pop(lang), np.full(1, -1 if more else 0)])
+            del ids[lang], size[lang]
+        elif sum(size.values()) >= 4 * BLOCK and not more:  # many languages
+            for other in list(flat):
+                yield other, list(ids.pop(other)), np.concatenate(flat.pop(other))
+            size.clear()
+    for lang, parts in flat.items():
+        yield lang, list(ids[lang]), np.concatenate(parts)
 
 
 def _strings(words) -> pa.Array:
@@ -106,20 +148,30 @@ def _strings(words) -> pa.Array:
 _COUNTS = "lang string, phrase string, n long"
 
 
+def _counted(lang: str, n: Counter) -> pa.RecordBatch:
+    return pa.record_batch([pa.array([lang] * len(n), pa.string()), _strings(n), pa.array(n.values(), pa.int64())],
+                           names=["lang", "phrase", "n"])
+
+
 def _count_words(batches):
-    for lang, tokens, new in blocks(batches, 1):
-        n = Counter(tokens[:new])
+    held: dict[str, Counter] = defaultdict(Counter)
+    for lang, tokens, _ in stretches(batches):
+        held[lang].update(tokens)
+        if sum(map(len, held.values())) > HELD_WORDS:
+            for other in list(held):
+                n = held.pop(other)
+                n.pop(END, None)
+                yield _counted(other, n)
+    for lang, n in held.items():
         n.pop(END, None)
-        if n:
-            yield pa.record_batch([pa.array([lang] * len(n), pa.string()), _strings(n), pa.array(n.values(), pa.int64())],
-                                  names=["lang", "phrase", "n"])
+        yield _counted(lang, n)
 
 
 def _count_extended(hot: dict[str, set[tuple[bytes, ...]]], words: int):
     """Counts of the prefixes of ``words`` words that extend the prefixes ``hot`` of one word less."""
 
     def run(batches):
-        for lang, tokens, new in blocks(batches, words):
+        for lang, tokens, new in overlapped(batches, words):
             known = hot.get(lang)
             if not known:
                 continue
@@ -129,8 +181,7 @@ def _count_extended(hot: dict[str, set[tuple[bytes, ...]]], words: int):
             grams = (tuple(tokens[i: i + words]) for i in at)
             n = Counter(g for g in grams if g[:-1] in known and g[-1] != END)
             if n:
-                yield pa.record_batch([pa.array([lang] * len(n), pa.string()), _strings(b" ".join(g) for g in n), pa.array(n.values(), pa.int64())],
-                                      names=["lang", "phrase", "n"])
+                yield _counted(lang, Counter({b" ".join(g): c for g, c in n.items()}))
 
     return run
 
@@ -177,25 +228,37 @@ def _runs(m: np.ndarray) -> np.ndarray:
     return agree
 
 
-_PACK = pa.schema([("g", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("rows", pa.int64()), ("ids", pa.binary()),
+_PACK = pa.schema([("g", pa.int64()), ("lang", pa.string()), ("rows", pa.int64()), ("words", pa.binary()), ("ids", pa.binary()),
                    ("n", pa.binary()), ("cut", pa.binary())])
-PACK = "g long, lang string, words binary, rows long, ids binary, n binary, cut binary"
+PACK = "g long, lang string, rows long, words binary, ids binary, n binary, cut binary"
+
+
+def _narrow(values: np.ndarray) -> bytes:
+    """Numbers in as few bytes each as hold them."""
+    top = int(values.max(initial=0))
+    return np.ascontiguousarray(values.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)).tobytes()
+
+
+def _widened(data: bytes, count: int) -> np.ndarray:
+    return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.uint32}[len(data) // count])
 
 
 def _pack_suffixes(bitmap: np.ndarray, hot: list[dict[str, set[tuple[bytes, ...]]]], groups: int, depth: int):
     """The different suffixes of every block, by group. ``hot[k]`` are the extended prefixes of k + 1 words."""
 
     def run(batches):
-        for lang, tokens, new in blocks(batches, depth):
-            ids: dict[bytes, int] = defaultdict(itertools.count().__next__)
-            ids[END]
-            flat = np.fromiter(map(ids.__getitem__, tokens), np.int64, len(tokens))
-            words = list(ids)
+        zstd = zstandard.ZstdCompressor()
+        for lang, words, flat in numbered(batches, depth):
+            ids = {w: i for i, w in enumerate(words)}
+            goes_on = flat[-1] < 0
+            flat = np.maximum(flat, 0)
+            new = len(flat) - (depth if goes_on else 0)  # the others start their suffix in the next block
             h = np.fromiter((_hash(w, lang) for w in words), np.uint64, len(words))
             at = (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)
             often = (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
             often[0] = False
             flat = np.concatenate([np.where(often[flat], flat, 0), np.zeros(depth, np.int64)])
+            new = max(new, 0)
             live = np.flatnonzero((flat[:new] > 0) & (flat[1: new + 1] > 0))  # one word alone is counted already
             m = np.stack([flat[live + k] for k in range(depth)], axis=1).astype(np.int32)
             for k in range(2, depth):
@@ -234,11 +297,9 @@ def _pack_suffixes(bitmap: np.ndarray, hot: list[dict[str, set[tuple[bytes, ...]
                 used[m[part]] = True
                 used[0] = True
                 number = np.cumsum(used) - 1
-                kind = np.uint16 if number[-1] < 1 << 16 else np.uint32
-                yield pa.record_batch([pa.array([v], f.type) for v, f in zip((
-                    int(g[part[0]]), lang, b" ".join(words[i] for i in np.flatnonzero(used)[1:]), len(part),
-                    np.ascontiguousarray(number[m[part]].T.astype(kind)).tobytes(), n[part].astype(np.uint32).tobytes(),
-                    cut[part].tobytes()), _PACK)], schema=_PACK)
+                data = (b" ".join(words[i] for i in np.flatnonzero(used)[1:]), _narrow(number[m[part]].T), _narrow(n[part]), _narrow(cut[part]))
+                packed = (int(g[part[0]]), lang, len(part), *map(zstd.compress, data))
+                yield pa.record_batch([pa.array([v], f.type) for v, f in zip(packed, _PACK)], schema=_PACK)
 
     return run
 
@@ -247,6 +308,7 @@ def _subtrees(depth: int, least: int):
     """The nodes of a group's subtrees with ``least`` suffixes or more, from two words on."""
 
     def run(packs: pa.Table) -> pa.Table:
+        unzstd = zstandard.ZstdDecompressor()
         by_lang = defaultdict(list)
         for row in range(packs.num_rows):
             by_lang[packs["lang"][row].as_py()].append(row)
@@ -256,12 +318,11 @@ def _subtrees(depth: int, least: int):
             parts, numbers, cuts = [], [], []
             for row in rows:
                 size = packs["rows"][row].as_py()
-                own = packs["words"][row].as_py().split(b" ")
-                number = np.array([0, *(ids[w] for w in own)], np.int32)
-                data = packs["ids"][row].as_py()
-                parts.append(number[np.frombuffer(data, np.uint16 if len(data) == 2 * depth * size else np.uint32).reshape(depth, size).T])
-                numbers.append(np.frombuffer(packs["n"][row].as_py(), np.uint32))
-                cuts.append(np.frombuffer(packs["cut"][row].as_py(), np.uint8))
+                own, rows_ids, n, cut = (unzstd.decompress(packs[c][row].as_py()) for c in ("words", "ids", "n", "cut"))
+                number = np.array([0, *(ids[w] for w in own.split(b" "))], np.int32)
+                parts.append(number[_widened(rows_ids, size * depth).reshape(depth, size).T])
+                numbers.append(_widened(n, size))
+                cuts.append(_widened(cut, size))
             m, n, cut = np.concatenate(parts), np.concatenate(numbers).astype(np.int64), np.concatenate(cuts)
             del parts, numbers, cuts
             order = _sorted_rows(m, len(ids) + 1)
@@ -300,7 +361,7 @@ def phrase_counts(docs: DataFrame, least: int, depth: int = 5, text_col: str = "
             hot[-1][r["lang"]].add(tuple(r["phrase"].encode().split(b" ")))
         counted = stored(summed(texts.mapInArrow(_count_extended(dict(hot[-1]), len(hot) + 1), _COUNTS)), "prefixes")
         found.append(counted.where(F.col("n") > BUDGET))  # where the tree is cut further down; the others are nodes of subtrees
-    groups = max(1, -(-2 * total // BUDGET))
+    groups = max(1, -(-total // BUDGET))
     bitmap = _bitmap(found[0])
     packs = texts.mapInArrow(_pack_suffixes(bitmap, [dict(h) for h in hot], groups, depth), PACK)
     packs = packs.repartition(max(groups, partitions_for(docs, 64 << 20)) if groups < 100_000 else 100_000, "g")

@@ -58,7 +58,7 @@ def random_docs(spark, seed, n=120, parts=3):
 
 @pytest.mark.parametrize("seed, block, budget, bits", [(1, 1 << 20, 1 << 20, 1 << 23), (2, 200, 40, 1 << 13), (3, 90, 6, 1 << 13), (4, 3000, 300, 1 << 14)])
 def test_equal_brute_force(spark, monkeypatch, seed, block, budget, bits):
-    for name, value in (("BLOCK", block), ("BUDGET", budget), ("FILTER_BITS", bits)):
+    for name, value in (("BLOCK", block), ("STRETCH", block // 3), ("BUDGET", budget), ("FILTER_BITS", bits)):
         monkeypatch.setattr(P, name, value)
     docs, rows = random_docs(spark, seed)
     least, longest, top = {1: (3, 5, 10_000), 2: (3, 5, 10_000), 3: (8, 5, 7), 4: (5, 3, 2000)}[seed]
