@@ -3,16 +3,18 @@
 Words are runs of letters and digits, lower-cased (all ASCII characters that are neither separate words); shingles are
 five consecutive words. For an item of n words:
 
-1. *Alignment.* Only windows that share a shingle with the item can be similar to it. Positions of
-   documents whose shingle occurs in an item (an equi-join on shingle hashes) place the item: a shingle at place p
-   of the document and q of the item says that the window starts at p - q. (Document, item) pairs with fewer
-   shared places than a similarity of ``threshold`` needs fall away; this loses nothing.
-2. *Fingerprints.* Each window of n words placed so gets a SimHash: a bit is set where more than half of the
-   shingle hashes have it. So do the items.
+1. *Placement.* Of two multisets of w and m shingles with similarity t, t (w + m) / (1 + t) shingles are shared. So an item-sized
+   window can match only if so many of its places hold shingles of the item, in whatever order. Places of documents
+   whose shingle occurs in an item come from an equi-join on shingle hashes; a sliding count over the sorted places of a
+   (document, item) pair gives all windows that hold enough. Of these it suffices to look at windows that begin at a
+   shared place, or at the end of the text (moving a window off an unshared first place loses nothing), and among
+   neighbours of those not at ones whose last place is unshared (moving back onto the shared place before loses nothing).
+2. *Fingerprints.* Each such window gets a SimHash: a bit is set where more than half of the shingle hashes have it. So
+   do the items.
 3. *Multi-index.* The 64 bits are cut into ``radius + 1`` blocks. Two fingerprints within ``radius`` bits agree in at
-   least one block, so an equi-join on (block, value) guarantees all items within the radius of a window, whichever
-   item placed it. The distance is then computed. Where the window or the item repeats a shingle, the window and
-   the item that placed it are a pair at any distance.
+   least one block, so an equi-join on (item, block, value) guarantees all windows within the radius of an item they were
+   placed by; no other window can be similar to it. The distance is then computed. Where the window or the item
+   repeats a shingle, the two are a pair at any distance.
 4. *Verification.* The similarity of the shingle multisets, as strings: sum of the smaller counts over sum of the
    larger ones, at least ``threshold``.
 
@@ -22,7 +24,8 @@ the broadcast threshold and shuffles otherwise. A common shingle is skew on the
 
 Defined results: items and documents of fewer than five words never match; null texts count as empty; repeated rows
 give their matches once; a null doc_id is kept as null; an empty table on either side gives no matches; a document
-shorter than an item is compared as a whole.
+shorter than an item is compared as a whole; of windows of equal similarity the nearest fingerprint counts, then the first
+start among those looked at.
 """
 
 from __future__ import annotations
@@ -83,10 +86,33 @@ def weighted_similarity(a: Column, b: Column) -> Column:
     def count(xs, x):
         return F.size(F.filter(xs, lambda y: y == x))
 
-    both = F.aggregate(F.array_distinct(a), F.lit(0), lambda n, x: n + F.least(count(a, x), count(b, x)))
+    shared = F.array_intersect(a, b)  # only these can count, and once each unless an array repeats them
+    counted = F.aggregate(shared, F.lit(0), lambda n, x: n + F.least(count(a, x), count(b, x)))
+    both = F.when(repeats(a) & repeats(b), counted).otherwise(F.size(shared))
     return both / (F.size(a) + F.size(b) - both)
 
 
+def needed(m: Column, places: Column, threshold: float) -> Column:
+    """How many shared places a window needs: the shingles that two multisets of this similarity share."""
+    share = F.lit(threshold / (1.0 + threshold))
+    return F.greatest(F.lit(1), F.ceil(share * (F.least(m, places) + m) - 1e-6)).cast("int")
+
+
+def window_starts(shared: Column, m: Column, places: Column, need: Column) -> Column:
+    """The starts of the windows of ``m`` places to look at, from the sorted shared places of a document of ``places``."""
+    last = F.greatest(F.lit(0), places - m)
+
+    def worth(s: Column, i: Column) -> Column:
+        enough = F.coalesce(F.get(shared, i + need - 1) <= s + m - 1, F.lit(False))
+        after_shared = F.coalesce(F.get(shared, i - 1) == s - 1, F.lit(False))
+        ends_shared = F.array_contains(F.slice(shared, i + 1, m), s + m - 1)
+        return (s < last) & enough & (~after_shared | ends_shared)
+
+    at_end = F.when(F.coalesce(F.get(shared, F.size(shared) - need) >= last, F.lit(False)), F.array(last)).otherwise(
+        F.array().cast("array<int>"))
+    return F.concat(F.filter(shared, worth), at_end)
+
+
 def find_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, radius: int = RADIUS,
                id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
                item_text: str = "text") -> DataFrame:
@@ -103,36 +129,33 @@ def find_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD,
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(ABSENT_ID)).alias("id"), F.col(text_col).alias("text"))
     base = base.withColumn("th", F.xxhash64("text"))
     hashed = base.select("id", "th", words_of(F.col("text")).alias("words")).where(F.size("words") >= SHINGLE)
-    hits = (hashed.select("id", "th", F.posexplode(shingle_hashes(F.col("words"))).alias("p", "h"))
+    hits = (hashed.select("id", "th", (F.size("words") - (SHINGLE - 1)).alias("places"), F.posexplode(shingle_hashes(F.col("words"))).alias("p", "h"))
             .join(places, "h"))
-    # a similarity of t needs at least t * m shared shingles, each at a place of its own in the document
-    placed = hits.groupBy("id", "th", "item", "m").agg(F.collect_set("p").alias("shared"),
-                                                       F.collect_set(F.col("p") - F.col("q")).alias("starts"))
-    placed = stored(placed.where(F.size("shared") >= F.lit(threshold) * F.col("m") - 1e-6).drop("shared"), "benchmark-places")
-    aligned = placed.select("id", "th", (F.col("m") + (SHINGLE - 1)).alias("n"), F.explode("starts").alias("start")).distinct()
+    placed = hits.groupBy("id", "th", "item", "m", "places").agg(F.sort_array(F.collect_set("p")).alias("shared"))
+    placed = placed.withColumn("need", needed(F.col("m"), F.col("places"), threshold)).where(F.size("shared") >= F.col("need"))
+    placed = stored(placed.withColumn("start", F.explode(window_starts(F.col("shared"), F.col("m"), F.col("places"), F.col("need"))))
+                    .select("id", "th", "item", (F.col("m") + (SHINGLE - 1)).alias("n"), "start"), "benchmark-places")
 
     # the texts of the few documents placed; a broadcast of their ids where it is small
-    texts = base.join(aligned, ["id", "th"]).select(
-        "id", "th", "n", words_of(F.col("text")).alias("words"), "start")
-    windows = texts.withColumn("start", F.greatest(F.lit(0), F.col("start"))).select(
-        "id", "th", "start", F.expr("slice(words, start + 1, n)").alias("words"))
-    windows = windows.where(F.size("words") >= SHINGLE).dropDuplicates(["id", "th", "start", "words"])
+    aligned = placed.groupBy("id", "th", "n", "start").agg(F.collect_set("item").alias("items"))  # items of one length
+    texts = base.join(aligned, ["id", "th"]).dropDuplicates(["id", "th", "n", "start"]).select(
+        "id", "th", "items", "n", words_of(F.col("text")).alias("words"), "start")
+    windows = texts.select("id", "th", "items", "start", F.expr("slice(words, start + 1, n)").alias("words"))
     windows = windows.withColumn("hashes", shingle_hashes(F.col("words"))).select(
-        "id", "th", "start", "words", simhash(F.col("hashes")).alias("fp"), repeats(F.col("hashes")).alias("repeats"))
+        "id", "th", F.explode("items").alias("item"), "start", "words", simhash(F.col("hashes")).alias("fp"), repeats(F.col("hashes")).alias("repeats"))
     windows = stored(windows, "benchmark-windows")
 
-    keyed = windows.select("id", "th", "start", "words", "fp", F.explode(blocks(F.col("fp"), radius)).alias("key"))
+    keyed = windows.select("id", "th", "start", "words", "fp", "item", F.explode(blocks(F.col("fp"), radius)).alias("key"))
     index = item.select("item", "item_words", "item_fp", F.explode(blocks(F.col("item_fp"), radius)).alias("key"))
-    near = keyed.join(index, "key").withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))))
+    near = keyed.join(index, ["item", "key"]).withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))))
     near = near.where(F.col("distance") <= radius).select("id", "th", "start", "words", "fp", "item", "item_words", "distance")
     # where shingles repeat, one difference counts many times in the vote: such pairs are verified at any distance
-    pairs = placed.select("id", "th", "item", F.explode("starts").alias("start")).withColumn(
-        "start", F.greatest(F.lit(0), F.col("start"))).distinct()
-    direct = windows.join(pairs, ["id", "th", "start"]).join(item, "item").where(F.col("repeats") | F.col("item_repeats")).select(
+    direct = windows.join(item, "item").where(F.col("repeats") | F.col("item_repeats")).select(
         "id", "th", "start", "words", "fp", "item", "item_words",
         F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))).alias("distance"))
-    near = near.union(direct).dropDuplicates(["id", "th", "start", "fp", "item"])
-    verified = near.withColumn("similarity", weighted_similarity(shingles(F.col("words")), shingles(F.col("item_words"))))
+    near = near.union(direct).dropDuplicates(["id", "th", "start", "item", "item_words"])
+    strings = near.withColumns({"a": shingles(F.col("words")), "b": shingles(F.col("item_words"))})
+    verified = strings.withColumn("similarity", weighted_similarity(F.col("a"), F.col("b")))
     best = verified.where(F.col("similarity") >= threshold).groupBy("id", "th", "item").agg(
         F.max(F.struct("similarity", -F.col("distance"), -F.col("start"))).alias("b"))
     return best.select(public_id().alias(id_col), F.col("th").alias("text_hash"), F.col("item").alias(item_id),

@@ -77,3 +77,10 @@ def test_tree_prunes_and_is_exact():
         s = x @ x[at]
         best = sorted((-int(v), int(i)) for v, i in zip(s, ids) if i != ids[at])[:5]
         assert sorted((-a, b) for a, b in tree.search(int(ids[at]), x[at], 5, math.inf)) == best
+
+
+def test_vectors_without_components(spark):
+    rows = [(i, [], 1) for i in range(5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {(r.query_id, r.rank, r.vec_id, r.score) for r in M.top_k(frame, frame.where("vec_id < 2"), k=2).collect()}
+    assert got == {(0, 1, 1, 0), (0, 2, 2, 0), (1, 1, 0, 0), (1, 2, 2, 0)}

@@ -307,6 +307,35 @@ def test_contaminated_documents(spark, edge_docs, no_docs):
     assert C.find_items(no_docs, frame).count() == 0 and C.find_items(docs, frame.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_every_window_counts(spark, seed):
+    """Items rearranged, shifted, repeated, thinned and cut, between other words: the same pairs as over all windows."""
+    rng = random.Random(seed)
+    word = lambda: f"w{rng.randint(0, 4000)}"
+    items = [(k, " ".join(word() for _ in range(rng.choice([30, 50, 80])))) for k in range(6)]
+    items.append((6, " ".join(["again", "and"] * 12 + [word() for _ in range(20)])))
+    docs = []
+    for i in range(60):
+        w = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 2)):
+            how, at = rng.randint(0, 6), rng.randrange(1, len(w))
+            w = {0: w[at:] + w[:at], 1: w[: len(w) // 2][::1] + w[len(w) // 2:], 2: w[len(w) // 2:] + w[: len(w) // 2], 3: w[: at] + [word()] + w[at:],
+                 4: w[: at] + w[at + 1:], 5: w[at // 10:], 6: w + w[:at]}[how]
+        docs.append((i, " ".join([word() for _ in range(rng.choice([0, 3, 90]))] + w + [word() for _ in range(rng.choice([0, 3, 90]))])))
+    frame = spark.createDataFrame([doc(i, t) for i, t in docs], DOC_SCHEMA)
+    got = {(r.doc_id, r.item_id) for r in C.find_items(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = brute_items(docs, items)
+    assert got == want and len(want) > 25
+
+
+def test_swapped_halves_are_found_inside_a_text(spark):
+    w = [f"x{i}" for i in range(80)]
+    around = " ".join(f"y{i}" for i in range(200))
+    docs = [doc(1, " ".join(w[40:] + w[:40])), doc(2, f"{around} {' '.join(w[40:] + w[:40])} {around}")]
+    got = C.find_items(spark.createDataFrame(docs, DOC_SCHEMA), spark.createDataFrame([(9, " ".join(w))], "item_id long, text string"))
+    assert sorted((r.doc_id, r.start, round(r.similarity, 2)) for r in got.collect()) == [(1, 0, 0.9), (2, 200, 0.9)]
+
+
 def test_windows_with_repeated_shingles(spark):
     items, docs = [], []
     for n in range(30):  # the document lacks six shingles of the item and holds its last one seven times: 48 of 60
