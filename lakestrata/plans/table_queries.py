@@ -18,7 +18,8 @@ from lakestrata.plans.registry import _EVOLVED_OUT, _EVOLVED_SQL, _FACT_OUT, _H,
 from lakestrata.plans.star import portable, with_ctes
 from lakestrata.functions.timefmt import parse_date
 from lakestrata.session import scratch_dir
-from lakestrata.sources.landing import list_landed_files, new_files_since, write_landing_csv
+from lakestrata.plans.views import deploy_views
+from lakestrata.sources.landing import list_landed_files, new_files_since, take_unseen, write_landing_csv
 from lakestrata.sources.tables import LOAD_ID, create_schema, register_table
 
 _TAG = "DH_CUSTOMERS_19950101_000000"
@@ -217,6 +218,47 @@ def q_landed_files_since(spark, d):
     return new_files_since(files, marks.union(done)).select("entity", "name")
 
 
+_LISTING = "SELECT event_type || '_' || strftime(ts, '%Y%m%d') || '.csv' AS path, count(*) AS length, max(ts) AS modified FROM events"
+
+
+@register("relanded_files", f"""SELECT path, length FROM ({_LISTING} GROUP BY 1)
+  ANTI JOIN ({_LISTING} WHERE ts < TIMESTAMP '2024-01-15 12:00:00' GROUP BY 1) USING (path, length, modified)""")
+def q_relanded_files(spark, d):
+    """One file for each event type and day, listed twice: in between, the files of one day were written anew and others
+    landed. The second run, which is repeated, takes just those."""
+    seen, root = _names(spark, "seen")
+
+    def listing(events):
+        path = F.concat("event_type", F.lit("_"), F.date_format("ts", "yyyyMMdd"), F.lit(".csv"))
+        return events.groupBy(path.alias("path")).agg(F.count(F.lit(1)).alias("length"), F.max("ts").alias("modified")).withColumn("name", F.col("path"))
+
+    events = _t(spark, d, "events")
+    take_unseen(spark, listing(events.filter("ts < TIMESTAMP_NTZ '2024-01-15 12:00:00'")), seen, root, "run-1")
+    for _ in range(2):
+        taken = take_unseen(spark, listing(events), seen, root, "run-2")
+    return taken.select("path", "length")
+
+
+@register("deployed_views", """SELECT n_name || '; nation' AS label, count(*) AS customers
+  FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
+def q_deployed_views(spark, d):
+    """Scripts of views in two schemas; the one deployed first reads those deployed after it."""
+    name, root = _names(spark, "views")
+    scripts = {"a": ("report.sql", f"""-- customers; by nation
+        CREATE OR REPLACE VIEW {name}_a.report AS SELECT label, count(*) AS customers
+        FROM {name}_b.customers JOIN {name}_b.nations ON c_nationkey = n_nationkey GROUP BY label;"""),
+               "b": ("views.sql", f"""CREATE OR REPLACE VIEW {name}_b.customers AS SELECT * FROM parquet.`env_dir/customer.parquet`;
+        CREATE OR REPLACE VIEW {name}_b.nations AS /* the label; in quotes */
+        SELECT n_nationkey, n_name || '; nation' AS label FROM parquet.`env_dir/nation.parquet`""")}
+    for sub, (file, text) in scripts.items():
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}_{sub}/{file}")
+        out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+        out.write(bytearray(text.encode()))
+        out.close()
+    deploy_views(spark, root, {"env_dir": d.rstrip("/")}, create_schemas=True)
+    return spark.table(f"{name}_a.report")
+
+
 @register("rescued_lines", """SELECT CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_suppkey AS VARCHAR) END AS supplier_id,
     CASE WHEN s_suppkey % 3 = 0 THEN '"' || s_suppkey || '","' || s_name || '","surplus"' END AS rescued FROM supplier""")
 def q_rescued_lines(spark, d):

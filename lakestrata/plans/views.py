@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import warnings
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakestrata.contract import END_DATE
 from lakestrata.operators.merge import OPEN_END
+from lakestrata.sources.tables import list_folders, quoted
 
 # Loyalty tier names and bounds; supplier role names and the default dominance share.
 TIERS = ("Bronze", "Silver", "Gold", "Platinum")
@@ -79,37 +80,62 @@ def category_share_window(fact: DataFrame, products: DataFrame, suppliers: DataF
     return supplier_category(fact, products, suppliers, threshold)
 
 
+#: What a statement consists of where a semicolon does not end it: quoted text and names, comments; else any character.
+_PIECE = re.compile(r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`(?:[^`]|``)*`|--[^\n]*|/\*.*?\*/|.""", re.DOTALL)
+
+
+def split_statements(text: str) -> list[str]:
+    """The statements of an SQL script. A semicolon in quotes, in a quoted name or in a comment ends none; comments are
+    left out."""
+    out, now = [], []
+    for piece in _PIECE.findall(text):
+        if piece == ";":
+            out.append("".join(now))
+            now = []
+        else:
+            now.append(" " if piece.startswith("--") or piece.startswith("/*") else piece)
+    return [s.strip() for s in [*out, "".join(now)] if s.strip()]
+
+
+def _waits_for_another(exc: Exception) -> bool:
+    """Did a statement fail because a table or view is not there (yet)?"""
+    return "TABLE_OR_VIEW_NOT_FOUND" in str(exc) or "SCHEMA_NOT_FOUND" in str(exc)
+
+
 def deploy_views(spark: SparkSession, root: str, substitutions: dict | None = None, min_len: int = 10,
                  create_schemas: bool = False) -> list[str]:
     """Run every ``.sql`` file below ``root`` (one schema per sub-folder, created first when
-    ``create_schemas``): statements split on ';', environment names substituted, pieces of ``min_len``
-    characters or fewer skipped; a warning names those that hold more than white space. Failures are collected and
-    raised together after all files ran."""
-    errors, ran = [], []
-    for sub in sorted(os.listdir(root)):
-        folder = os.path.join(root, sub)
-        if not os.path.isdir(folder):
-            continue
+    ``create_schemas``): environment names substituted, statements split (``split_statements``), those of ``min_len``
+    characters or fewer skipped with a warning.
+
+    Views may read each other across files and folders: a statement that misses a table or view is tried again after the
+    others, as long as a round gets further. What is left, and every other failure, is raised together at the end. Returns the
+    files in the order in which their statements ran."""
+    waiting, errors, ran = [], [], []
+    for folder in sorted(list_folders(spark, root, 1)):
         if create_schemas:
-            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {sub}")
-        for name in sorted(os.listdir(folder)):
-            if not name.endswith(".sql"):
-                continue
-            path = os.path.join(folder, name)
-            with open(path) as fh:
-                text = fh.read()
-            for stmt in text.split(";"):
-                for old, new in (substitutions or {}).items():
-                    stmt = stmt.replace(old, new)
-                if len(stmt.strip()) <= min_len:
-                    if stmt.strip():
-                        warnings.warn(f"{path}: skipped a short statement: {stmt.strip()!r}", stacklevel=2)
-                    continue
-                try:
-                    spark.sql(stmt)
-                    ran.append(path)
-                except Exception as exc:  # collected and raised below
-                    errors.append(f"{path}: {str(exc).split('JVM stacktrace')[0]}")
+            spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quoted(folder.rsplit('/', 1)[1])}")
+        scripts = spark.read.format("binaryFile").option("pathGlobFilter", "*.sql").load(folder)
+        for path, text in scripts.select("path", F.col("content").cast("string")).orderBy("path").collect():
+            for old, new in (substitutions or {}).items():
+                text = text.replace(old, new)
+            for stmt in split_statements(text):
+                if len(stmt) <= min_len:
+                    warnings.warn(f"{path}: skipped a short statement: {stmt!r}", stacklevel=2)
+                else:
+                    waiting.append((path, stmt))
+    while waiting:
+        later = []
+        for path, stmt in waiting:
+            try:
+                spark.sql(stmt)
+                ran.append(path)
+            except Exception as exc:  # raised below
+                (later if _waits_for_another(exc) else errors).append((path, stmt, str(exc).split("JVM stacktrace")[0]))
+        if len(later) == len(waiting):
+            errors += later
+            break
+        waiting = [(path, stmt) for path, stmt, _ in later]
     if errors:
-        raise RuntimeError("view deployment failed:\n" + "\n".join(errors))
+        raise RuntimeError("view deployment failed:\n" + "\n".join(f"{path}: {why}" for path, _, why in errors))
     return ran

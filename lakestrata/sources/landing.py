@@ -57,3 +57,23 @@ def new_files_since(files: DataFrame, watermarks: DataFrame, name_col: str = "na
     joined = stamped.join(wm, stamped["entity"] == wm["_wm_entity"], "left")
     keep = F.col("file_ts").isNotNull() & (F.col("_wm").isNull() | (F.col("file_ts") > F.col("_wm")))
     return joined.filter(keep).drop("_wm_entity", "_wm")
+
+
+FILE_KEY = ("path", "length", "modified")
+
+
+def take_unseen(spark: SparkSession, files: DataFrame, seen: str, root: str, run_id: str) -> DataFrame:
+    """The files of a listing (``list_landed_files``) that no other run took, and note them as taken by ``run_id``.
+
+    A file is known by path, length and modification time: one that was written anew under its old name is taken again,
+    and two of the same second are told apart. The state is the table ``seen``, one load a run (``sources.loads``), so a
+    run that is repeated under its id takes the same files again, and also those that landed since. Only the three columns
+    of the state are joined; nothing passes the driver."""
+    from lakestrata.sources.loads import LOAD_ID, append_table
+
+    rows = files.select("path", "name", "length", "modified")
+    if spark.catalog.tableExists(seen):
+        others = spark.table(seen).filter(F.col(LOAD_ID) != run_id).select(*FILE_KEY)
+        rows = rows.join(others, list(FILE_KEY), "left_anti")
+    append_table(spark, rows, seen, root, run_id)
+    return spark.table(seen).filter(F.col(LOAD_ID) == run_id).drop(LOAD_ID)
