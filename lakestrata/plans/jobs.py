@@ -8,7 +8,9 @@ whose key was missing, which share the member of the default key, are all kept b
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as _dt
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata import contract as C
@@ -19,6 +21,7 @@ from lakestrata.operators.merge import (scd1_changes, scd1_first_load, scd1_stat
                                         scd2_hash_first_load, scd2_state)
 from lakestrata.operators.quality import unreadable_keys
 from lakestrata.session import Scratch
+from lakestrata.sources.control import LOG_SCHEMA, append_log
 from lakestrata.sources.keyed_store import open_rows, publish_changes, top_key
 from lakestrata.sources.loads import append_table, publish_load
 from lakestrata.sources.tables import append_load, incremental_read, missing_tables
@@ -102,16 +105,33 @@ def append_fact(spark: SparkSession, fact: DataFrame, path: str, load_id: str |
 
 
 # ------------------------------------------------------------------------------ layer runs on tables
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df``, and how many rows of it were written, known once it is: counted on the way, by no pass of its own."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def _log(spark: SparkSession, log: str | None, stage: str, entity: str, load_id, status: str, message: str) -> None:
+    if log:
+        row = (load_id, _dt.datetime.now(_dt.timezone.utc).isoformat(timespec="seconds"), "lakestrata", stage, entity, None, status, message)
+        append_log(spark.createDataFrame([row], LOG_SCHEMA), log)
+
+
 def run_silver_job(spark: SparkSession, bronze: DataFrame, contract: C.Contract, table: str, root: str,
-                   watermark=None, load_id: str | None = None, dedup: bool = False) -> bool:
+                   watermark=None, load_id: str | None = None, dedup: bool = False, log: str | None = None) -> bool:
     """Bronze -> silver table, with quarantined rows in ``<table>__quarantine``. Returns whether rows were written: not
     if the batch has columns that neither the table nor the contract knows. ``load_id`` (for instance the bronze batch
-    number) makes a repeated run replace its earlier rows, in both tables by one switch."""
+    number) makes a repeated run replace its earlier rows, in both tables by one switch. With ``log``, the run adds a row to
+    the log table at that path: how many rows it wrote and put in quarantine, counted as they were written."""
     good, bad = silver_split(bronze, contract, watermark, dedup=dedup)
     known = spark.table(table).columns if spark.catalog.tableExists(table) else good.columns
     if not C.evolution_allowed(good.columns, known, contract.columns):
+        _log(spark, log, "silver", table, load_id, "REFUSED", f"columns not in the contract: {sorted(set(good.columns) - set(known) - set(contract.columns))}")
         return False
-    publish_load(spark, {table: (good, SILVER_PARTITIONS), f"{table}__quarantine": (bad, ())}, root, load_id)
+    (good, written), (bad, apart) = _counted(good, "written"), _counted(bad, "quarantined")
+    load_id = publish_load(spark, {table: (good, SILVER_PARTITIONS), f"{table}__quarantine": (bad, ())}, root, load_id)
+    if log:
+        _log(spark, log, "silver", table, load_id, "SUCCESS", f"written {written.get['rows']}, quarantined {apart.get['rows']}")
     return True
 
 

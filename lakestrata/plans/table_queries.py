@@ -218,6 +218,22 @@ def q_landed_files_since(spark, d):
     return new_files_since(files, marks.union(done)).select("entity", "name")
 
 
+@register("job_run_metrics", """SELECT load, status, message FROM (VALUES ('one', 0), ('two', 1), ('three', 2)) v(load, n),
+  LATERAL (SELECT CASE WHEN n < 2 THEN 'SUCCESS' ELSE 'REFUSED' END AS status,
+    CASE n WHEN 0 THEN 'written ' || count(*) FILTER (c_custkey % 4 <> 0) || ', quarantined ' || count(*) FILTER (c_custkey % 4 = 0)
+      WHEN 1 THEN 'written ' || count(*) FILTER (c_custkey % 3 = 0) || ', quarantined 0'
+      ELSE 'columns not in the contract: [''secret_note'']' END AS message FROM customer)""")
+def q_job_run_metrics(spark, d):
+    """The run log of three silver runs: one with unreadable keys, one with part of the rows, one that is refused."""
+    table, root = _names(spark, "run_metrics")
+    key, n, log = F.col("customer_id"), F.col("customer_id").cast("long"), f"{root}/log"
+    raw = fx.raw_customers(spark, d, "all")
+    wrong = raw.withColumn("customer_id", F.when(n % 4 == 0, F.concat(F.lit("key "), key)).otherwise(key))
+    for load, rows in (("one", wrong), ("two", raw.filter(n % 3 == 0)), ("three", raw.withColumn("secret_note", F.lit("x")))):
+        run_silver_job(spark, rows, C.SILVER_CUSTOMERS, table, f"{root}/silver", load_id=load, log=log)
+    return spark.read.parquet(log).select(F.col("job_run_id").alias("load"), "status", "message")
+
+
 _LISTING = "SELECT event_type || '_' || strftime(ts, '%Y%m%d') || '.csv' AS path, count(*) AS length, max(ts) AS modified FROM events"
 
 

@@ -123,3 +123,12 @@ def test_a_folder_load_is_replaced_as_a_whole(spark):
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("tag", "x", "_load_id").collect()) == [("A", 3, "L2"), ("A", 4, "L1")]
     append_load(spark, frame(spark), path, "L2", ["tag"])
     assert [tuple(r) for r in spark.read.parquet(path).select("tag", "x").collect()] == [("A", 4)]
+
+
+def test_run_log_counts_rows_as_they_are_written(spark):
+    root, table = scratch_dir(spark, "t-run-log"), "lakestrata_run_log"
+    raw = fx.raw_customers(spark, SF_SMALL, "all")
+    for load, rows in (("one", raw), ("one", raw.filter("false"))):
+        assert run_silver_job(spark, rows, C.SILVER_CUSTOMERS, table, f"{root}/silver", load_id=load, log=f"{root}/log")
+    got = sorted(r.message for r in spark.read.parquet(f"{root}/log").collect())
+    assert got == sorted([f"written {raw.count()}, quarantined 0", "written 0, quarantined 0"])
