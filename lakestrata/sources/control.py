@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -78,3 +80,48 @@ def holiday_counts(calendar: DataFrame, run_dates: DataFrame, date_col: str = "r
 def append_log(runs: DataFrame, path: str) -> None:
     """Append the run-log rows (``log_rows``) to the log table at ``path``."""
     log_rows(runs).write.mode("append").parquet(path)
+
+
+# ------------------------------------------------------------------ the control table, by versions
+def _fs_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def control_version(spark: SparkSession, root: str) -> int:
+    """The newest committed version of a control table, 0 if there is none."""
+    p, fs = _fs_path(spark, f"{root.rstrip('/')}/commits")
+    return max((int(s.getPath().getName()) for s in fs.listStatus(p)), default=0) if fs.exists(p) else 0
+
+
+def read_control(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The control table as of a version (default: the newest)."""
+    root = root.rstrip("/")
+    version = control_version(spark, root) if version is None else version
+    folder = spark.read.text(f"{root}/commits/{version}").first()[0]
+    return spark.read.parquet(f"{root}/states/{folder}")
+
+
+def commit_control(spark: SparkSession, root: str, state: DataFrame, expected: int) -> bool:
+    """Write ``state`` and make it version ``expected`` + 1, unless someone else did that first. The commit is the rename of a
+    small finished file to the version's name, which fails where the name is taken (a distributed file system decides that
+    in one step; a local one, for tests, looks first). Returns whether this writer made the version."""
+    root, folder = root.rstrip("/"), uuid.uuid4().hex
+    state.write.parquet(f"{root}/states/{folder}")
+    draft, fs = _fs_path(spark, f"{root}/drafts/{folder}")
+    out = fs.create(draft)
+    out.write(bytearray(folder.encode()))
+    out.close()
+    version, _ = _fs_path(spark, f"{root}/commits/{expected + 1}")
+    fs.mkdirs(version.getParent())
+    return not fs.exists(version) and bool(fs.rename(draft, version))
+
+
+def advance_control(spark: SparkSession, root: str, file_events: DataFrame, as_of=None, attempts: int = 50) -> int:
+    """``advance_watermarks`` on a versioned control table: read, advance, commit; where another job committed meanwhile, again
+    from its state, so that no job's advance is lost. Returns the version committed."""
+    for _ in range(attempts):
+        version = control_version(spark, root)
+        if commit_control(spark, root, advance_watermarks(read_control(spark, root, version), file_events, as_of), version):
+            return version + 1
+    raise RuntimeError(f"the control table changed under {attempts} attempts to advance it")
