@@ -39,7 +39,7 @@ HOST_WEIGHT = 10.0  # pseudo-counts that the wider level lends to the narrower
 MIN_POSTERIOR = 0.4
 MIN_KNOWN = 0.4
 MIN_LETTERS = 20
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 SHARE = 1 << 20  # one row, as an integer
 
 

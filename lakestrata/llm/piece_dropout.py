@@ -33,8 +33,8 @@ from lakestrata.llm.token_counts import MARK, tokenizer_path
 
 VARIANTS = 1 << 62  # range of the hash that is an occurrence's variant
 LONG_UNIT = 48
-TOGETHER = 1 << 18  # occurrences merged together, to bound memory
-CHUNK = 1 << 23
+TOGETHER = 1 << 16  # occurrences merged together, to bound memory
+CHUNK = 1 << 21
 _M64 = (1 << 64) - 1
 _NONE = np.int32(2 ** 31 - 1)
 _IRREGULAR = re.compile(r"^ |  | $")
