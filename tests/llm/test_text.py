@@ -407,6 +407,36 @@ def test_pii_query_replaces_all_and_nothing_else(spark):
     assert len(given) == len(of) and not given & set(of)
 
 
+def test_dense_spaces_and_more_formats(spark):
+    n = 40_000
+    at = F.col("id")
+    dense = spark.range(n).select(at.alias("doc_id"), F.concat(
+        F.lit("at 192.168."), (at / 254 + 1).cast("int"), F.lit("."), (at % 254 + 1).cast("int"), F.lit(" now")).alias("text"))
+    out = texts_of(U.replace_entities(dense, "key"))
+    old, new = {t for _, t in texts_of(dense)}, {t for _, t in out}
+    assert len(old) == len(out) == len(new) == n and not old & new
+    assert all(re.fullmatch(r"at (192\.168|10\.\d+)\.\d+\.\d+ now", t) for t in new)
+
+    rows = ["call +33 6 12 34 56 78, 06 12 34 56 78 or 030 1234567", "+34 612 34 56 78; 172.20.1.1",
+            "from 2001:0db8:85a3:0000:0000:8a2e:0370:7334 to fe80::1 or FE80::1AB", "ann@one.example.com bob@one.example.com ann@two.example.org",
+            "Dr. Anna Smith and Mrs Smith", "12:30, 2024:10, a::b, std::x and Face::add and +1 are no entities", "xMr Smith +33612345678"]
+    got = [t for _, t in sorted(texts_of(U.replace_entities(spark.createDataFrame([doc(i, t) for i, t in enumerate(rows)], DOC_SCHEMA), "key")))]
+    forms = [r"call \+33 \d \d\d \d\d \d\d \d\d, 0\d \d\d \d\d \d\d \d\d or 0\d\d \d{7}", r"\+34 \d{3} \d\d \d\d \d\d; 172\.(1[6-9]|2\d|3[01])\.\d+\.\d+",
+             r"from 2001:db8(:[0-9a-f]{4}){6} to 2001:db8(:[0-9a-f]{4}){6} or 2001:DB8(:[0-9A-F]{4}){6}",
+             r"(?P<a>\w+)@(?P<h>\w+\.\w+)\.com (?P<b>\w+)@(?P=h)\.com \w+@(?!(?P=h))\w+\.\w+\.org", r"Dr\. \w+l (\w+r) and Mrs \1"]
+    for a, b, form in zip(rows, got, forms):
+        assert a != b and re.fullmatch(form, b), (a, b)
+    assert got[5] == rows[5] and re.fullmatch(r"xMr Smith \+\d{11}", got[6]) and got[6] != rows[6]
+
+
+def test_surrogate_hosts_differ(spark):
+    """Hosts of one letter have 16 shapes: later ones grow longer, and no two share a surrogate."""
+    rows = [doc(i, f"a@{c}.com") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    new = [t for _, t in texts_of(U.replace_entities(spark.createDataFrame(rows, DOC_SCHEMA), "key"))]
+    hosts = {t.split("@")[1] for t in new}
+    assert len(hosts) == 26 and not hosts & {f"{c}.com" for c in "abcdefghijklmnopqrstuvwxyz"}
+
+
 # ------------------------------------------------------------------ secrets
 def brute_spans(text):
     out = []
