@@ -2,7 +2,8 @@
 
 A fact row finds its dimension surrogate key by a left join on the natural key(s). Versions:
 ``'all'`` joins every version (one fact row per matching version), ``'current'`` only the open version,
-``'as_of'`` the version valid on the fact's date. The join is an equi-join on the natural keys (the
+``'as_of'`` the version valid on the fact's date (``operators.asof`` has a form for very many versions of a key,
+``'as_of_ordered'`` here). The join is an equi-join on the natural keys (the
 validity range is an extra condition), so Spark shuffles both sides on the keys or broadcasts the
 dimension when AQE measures it under the broadcast threshold; a hot key on the fact side is split by
 AQE's skew-join handling.
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakestrata.contract import END_DATE, IS_ACTIVE, START_DATE
+from lakestrata.operators.asof import carry_forward_lookup
 from lakestrata.operators.merge import OPEN_END
 
 
@@ -54,10 +56,15 @@ def resolve_lookups(df: DataFrame, lookups, versions: str = "current", as_of_col
         fkeys = list(lk.keys)
         out = lk.target_column or lk.surrogate_key
         dtypes = dict(dim.dtypes)
+        if mode in ("as_of", "as_of_ordered") and not as_of_col:
+            raise ValueError(f"versions={mode!r} needs as_of_col")
+        if mode == "as_of_ordered":
+            df = carry_forward_lookup(df, dim, lk.surrogate_key, fkeys, as_of_col, dkeys, out, close)
+            continue
         if mode == "current":
             dim = dim.filter(_current_filter(dim))
         elif mode not in ("all", "as_of"):
-            raise ValueError(f"versions must be all/current/as_of, got {mode!r}")
+            raise ValueError(f"versions must be all/current/as_of/as_of_ordered, got {mode!r}")
         names = {k: f"_lk{i}_{k}" for k in dkeys}
         sel = [F.col(k).alias(names[k]) for k in dkeys] + [F.col(lk.surrogate_key).alias(f"_lk{i}_sk")]
         if mode == "as_of":
@@ -70,8 +77,6 @@ def resolve_lookups(df: DataFrame, lookups, versions: str = "current", as_of_col
             c = df[fk].try_cast(dtypes[dk]) == d[names[dk]]
             cond = c if cond is None else cond & c
         if mode == "as_of":
-            if not as_of_col:
-                raise ValueError("versions='as_of' needs as_of_col")
             t = df[as_of_col].cast("date")
             upper = t < d[f"_lk{i}_e"] if close == "same_day" else t <= d[f"_lk{i}_e"]
             cond = cond & (t >= d[f"_lk{i}_s"]) & upper

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakestrata import contract as C
@@ -17,6 +18,7 @@ from lakestrata.plans.jobs import run_gold_job, run_hash_dimension_job, run_silv
 from lakestrata.plans.registry import _EVOLVED_OUT, _EVOLVED_SQL, _FACT_OUT, _H, _evolved_batch, _t, register
 from lakestrata.plans.star import portable, with_ctes
 from lakestrata.functions.timefmt import parse_date
+from lakestrata.operators.lookup import Lookup, resolve_lookups
 from lakestrata.session import scratch_dir
 from lakestrata.plans.views import deploy_views
 from lakestrata.sources.landing import list_landed_files, new_files_since, take_unseen, write_landing_csv
@@ -131,6 +133,22 @@ def q_evolved_table_append(spark, d):
     return portable(spark.table(table).drop(LOAD_ID))
 
 
+@register("asof_many_versions", """WITH v AS (SELECT DISTINCT s_nationkey AS nation, CAST(l_shipdate AS DATE) AS begun FROM lineitem JOIN supplier ON l_suppkey = s_suppkey),
+  spans AS (SELECT nation, begun, lead(begun) OVER (PARTITION BY nation ORDER BY begun) AS ended FROM v)
+  SELECT o_orderkey, spans.nation * 100000 + date_diff('day', DATE '1970-01-01', begun) AS version_sk
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey ASOF LEFT JOIN spans ON c_nationkey = spans.nation AND CAST(o_orderdate AS DATE) >= begun""")
+def q_asof_many_versions(spark, d):
+    """A dimension with a version for every day on which a nation's suppliers shipped, looked up for all orders by date."""
+    supplied = _t(spark, d, "lineitem").join(_t(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    v = supplied.select(F.col("s_nationkey").alias("nation"), F.col("l_shipdate").cast("date").alias(C.START_DATE)).distinct()
+    ended = F.lead(C.START_DATE).over(Window.partitionBy("nation").orderBy(C.START_DATE))
+    day = F.datediff(C.START_DATE, F.lit("1970-01-01").cast("date"))
+    dim = v.withColumns({C.END_DATE: F.coalesce(ended, F.lit("9999-12-31").cast("date")), "version_sk": F.col("nation").cast("long") * 100000 + day})
+    facts = _t(spark, d, "orders").join(_t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+    out = resolve_lookups(facts, [Lookup(dim, "version_sk", ("c_nationkey",), ("nation",))], versions="as_of_ordered", as_of_col="o_orderdate")
+    return out.select("o_orderkey", "version_sk")
+
+
 _SCD2_TABLE_SQL = with_ctes(f"""SELECT t.* REPLACE (CASE WHEN t.customer_id IN (SELECT customer_id FROM sil_c2)
       THEN DATE '{fx.B2_ASOF}' ELSE t.effective_end_date END AS effective_end_date), CAST(NULL AS VARCHAR) AS plan_name
   FROM gold_c1 t
