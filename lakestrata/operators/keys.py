@@ -19,6 +19,8 @@ RANGE_BYTES = 64 << 20
 MAX_RANGES = 100_000
 SAMPLE_A_RANGE = 32
 MAX_SAMPLE = 200_000
+MAX_SPELLED = 1024
+BRANCHES = 4
 
 
 def max_key(df: DataFrame, key_col: str, alias: str = "max_sk") -> DataFrame:
@@ -46,12 +48,28 @@ def cut_points(df: DataFrame, order_cols: list[Column], ranges: int) -> list[T.R
     return [rows[i] for i in at]
 
 
-def range_of(order_cols: list[Column], types: list[T.DataType], cuts: list) -> Column:
-    """How many cut points are not above a row: a binary search (NULLs come first, as in the order)."""
-    if not cuts:
-        return F.lit(0)
-    row = F.struct(*(c.alias(f"k{i}") for i, c in enumerate(order_cols)))
-    points = F.array(*(F.struct(*(F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(cut, types)))) for cut in cuts))
+def _reached(order_cols: list[Column], cut: list[Column | None]) -> Column:
+    """The order columns are at or above a cut point, compared one after the other (None: NULL, which comes first)."""
+    col, value, last = order_cols[0], cut[0], len(cut) == 1
+    if value is None:
+        return F.lit(True) if last else col.isNotNull() | _reached(order_cols[1:], cut[1:])
+    return col >= value if last else (col > value) | (col.eqNullSafe(value) & _reached(order_cols[1:], cut[1:]))
+
+
+def _spelled(order_cols: list[Column], cuts: list, low: int, high: int) -> Column:
+    """How many cut points are not above a row that is at or above the first ``low`` of them and below those from ``high``
+    on: a search tree of CASE expressions."""
+    if low == high:
+        return F.lit(low)
+    step, found = -(-(high - low) // BRANCHES), F
+    for i in reversed(range(low, high, step)):
+        found = found.when(_reached(order_cols, cuts[i]), _spelled(order_cols, cuts, i + 1, min(i + step, high)))
+    return found.otherwise(F.lit(low))
+
+
+def _halved(row: Column, cuts: list[list[Column]]) -> Column:
+    """What ``_spelled`` finds, by a binary search in an array: slower by row, as short for any number of cut points."""
+    points = F.array(*(F.struct(*(v.alias(f"k{i}") for i, v in enumerate(cut))) for cut in cuts))
     pair = lambda low, high: F.struct(low.cast("int").alias("low"), high.cast("int").alias("high"))
 
     def halve(found: Column, _: Column) -> Column:
@@ -64,6 +82,23 @@ def range_of(order_cols: list[Column], types: list[T.DataType], cuts: list) -> C
     return F.aggregate(steps, pair(F.lit(0), F.lit(len(cuts))), halve, lambda found: found["low"])
 
 
+def range_of(order_cols: list[Column], types: list[T.DataType], cuts: list) -> Column:
+    """How many cut points are not above a row (NULLs come first, as in the order). The order columns are bound to the lambda,
+    so they are computed once a row, not at every step of the search (Spark puts their expressions wherever they are named);
+    and a lambda is not compiled, so a long search tree is no long method."""
+    if not cuts:
+        return F.lit(0)
+    names = [f"k{i}" for i in range(len(order_cols))]
+    row = F.struct(*(c.alias(n) for c, n in zip(order_cols, names)))
+    if len(cuts) <= MAX_SPELLED:
+        points = [[None if v is None else F.lit(v).cast(t) for v, t in zip(cut, types)] for cut in cuts]
+        search = lambda r: _spelled([r[n] for n in names], points, 0, len(points))
+    else:
+        points = [[F.lit(v).cast(t) for v, t in zip(cut, types)] for cut in cuts]
+        search = lambda r: _halved(r, points)
+    return F.get(F.transform(F.array(row), search), 0)
+
+
 def dense_keys(df: DataFrame, order_cols, key_col: str, offset=0, num_ranges: int | None = None) -> DataFrame:
     """Add ``key_col = offset + row_number() over (order by order_cols)``.
 

@@ -69,3 +69,27 @@ def test_one_per_key_uses_partial_group_limit(spark):
     li = spark.read.parquet(f"{SF_MID}/lineitem.parquet")
     plan = one_per_key(li, ["l_orderkey", "l_linenumber"], "l_shipdate")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_range_search_computes_the_order_columns_once_and_agrees_with_counting(spark):
+    from pyspark.sql import types as T
+
+    from lakestrata.operators import keys
+
+    rows = [(None if i % 11 == 0 else i % 37, None if i % 7 == 0 else f"v{i % 5}") for i in range(400)]
+    df = spark.createDataFrame(rows, "a int, b string")
+    order = lambda r: tuple((v is not None, v) if v is not None else (False, 0) for v in r)
+    cuts = sorted(set(rows), key=order)[::3]
+    types = [T.IntegerType(), T.StringType()]
+    want = sorted(sum(order(c) <= order(r) for c in cuts) for r in rows)
+    most = keys.MAX_SPELLED
+    try:
+        for keys.MAX_SPELLED in (most, 1):  # search tree, binary search
+            of = keys.range_of([F.col("a"), F.col("b")], types, cuts)
+            assert sorted(r[0] for r in df.select(of).collect()) == want
+            dear = df.select((F.length(F.repeat(F.col("b"), 3)) + F.col("a")).alias("k"))
+            found = dear.select(keys.range_of([F.col("k")], [T.IntegerType()], [(i,) for i in range(40)]).alias("r"))
+            plan = found._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.count("repeat(") == 1
+    finally:
+        keys.MAX_SPELLED = most
