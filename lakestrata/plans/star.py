@@ -81,15 +81,20 @@ class Gold:
     def products(self) -> DataFrame:
         # the supplier key is looked up with every supplier row (SCD1 keeps one row per supplier)
         return self._keep("dim_products_v1", lambda: gold_dimension(
-            None, fx.silver_products(self.spark, self.sf_dir), GOLD_PRODUCTS, fx.B1_ASOF,
+            None, self.silver_products(), GOLD_PRODUCTS, fx.B1_ASOF,
             {"gold.consumer.dim_suppliers": self.suppliers()}))
 
+    def silver_products(self) -> DataFrame:
+        """The silver products, stored: the order lines are grouped once, however often the key numbering reads them."""
+        return self._keep("silver_products", lambda: fx.silver_products(self.spark, self.sf_dir))
+
     def silver_orders(self) -> DataFrame:
         """The silver order lines, cleansed and cast once and stored (the silver layer table)."""
         return self._keep("silver_orders", lambda: fx.silver_orders(self.spark, self.sf_dir))
 
     def orders(self, versions: str = "current") -> DataFrame:
         """Fact rows with dimension keys looked up (all / current / as-of versions) from stored silver."""
+        self.layers()
         dims = {"gold.consumer.dim_customers": self.customers(), "gold.consumer.dim_products": self.products()}
         return gold_fact(self.silver_orders(), C.GOLD_ORDERS, dims, fx.FACT_ASOF, versions=versions,
                          as_of_col="order_date")
@@ -98,17 +103,21 @@ class Gold:
         """The stored gold fact table (current-version keys), as the views read it."""
         return self._keep("fact_orders", lambda: self.orders("current"))
 
-    def build(self, workers: int = 3) -> "Gold":
-        """Build every layer table. Independent entities (customers; suppliers then products; silver
-        orders) run as concurrent Spark jobs, as the entity loads run in parallel; the fact waits for
-        its dimensions."""
+    def layers(self, workers: int = 4) -> "Gold":
+        """Build what the fact needs. Independent entities (silver orders; silver products; customers; suppliers) run as
+        concurrent Spark jobs, as the entity loads run in parallel; the products wait for their suppliers."""
         from concurrent.futures import ThreadPoolExecutor
 
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            chains = [pool.submit(self.customers), pool.submit(lambda: (self.suppliers(), self.products())),
-                      pool.submit(self.silver_orders)]
+            chains = [pool.submit(job) for job in (self.silver_orders, self.silver_products, self.customers, self.suppliers)]
             for job in chains:
                 job.result()
+        self.products()
+        return self
+
+    def build(self, workers: int = 4) -> "Gold":
+        """Build every layer table; the fact waits for its dimensions."""
+        self.layers(workers)
         self.fact()
         return self
 

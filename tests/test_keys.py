@@ -93,3 +93,16 @@ def test_range_search_computes_the_order_columns_once_and_agrees_with_counting(s
             assert plan.count("repeat(") == 1
     finally:
         keys.MAX_SPELLED = most
+
+
+def test_gold_products_group_the_order_lines_once(spark, monkeypatch):
+    from lakestrata.plans import fixtures as fx
+    from lakestrata.plans import star
+
+    key, real = [], star.gold_dimension
+    monkeypatch.setattr(star, "gold_dimension", lambda target, batch, *a: (
+        key.append(batch) if "product_id" in batch.columns else None, real(target, batch, *a))[1])
+    star.Gold(spark, "/root/testdata/sf0.001").layers()
+    read = [f for b in key for f in b.inputFiles()]
+    assert read and not any("lineitem" in f for f in read)
+    assert fx.silver_products(spark, "/root/testdata/sf0.001").count() == key[0].count()
