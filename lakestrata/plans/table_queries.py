@@ -195,7 +195,7 @@ def q_hash_table_load(spark, d):
 def q_fact_table_load_asof(spark, d):
     """The fact job with the dimension versions valid at the order date, its load repeated under its id."""
     table, root = _names(spark, "gold_fact")
-    g = star.Gold.shared(spark, d)
+    g = star.Gold.shared(spark, d).layers()
     dims = {"gold.consumer.dim_customers": g.customers(), "gold.consumer.dim_products": g.products()}
     for _ in range(2):
         run_gold_job(spark, g.silver_orders(), C.GOLD_ORDERS, table, root, fx.FACT_ASOF, dimensions=dims, versions="as_of",
